@@ -11,8 +11,8 @@ whole job.
 (more than ``hot_rows`` rows) into chunks of ``chunk_span`` order units:
 
 1. hot keys are found with a partially-aggregated ``count`` per key; the result
-   has at most ``rows / hot_rows`` entries, so it is small by construction and
-   AQE broadcasts it once its real size is known;
+   has at most ``rows / hot_rows`` entries (1e6 keys for 1e12 rows at the
+   default), a bound by construction, so it is broadcast;
 2. each row gets ``chunk = order div chunk_span`` (hot keys) or ``0`` (others);
 3. the running value is computed inside each ``(key, chunk)`` window;
 4. one summary row per ``(key, chunk)`` carries the chunk total; a window over
@@ -30,6 +30,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 @dataclass(frozen=True)
@@ -77,7 +78,8 @@ def _inner(a: Agg, w) -> Column:
 
 
 def _total(a: Agg, order: Column) -> Column:
-    # ``order`` is a struct of all order columns, so ties are resolved exactly
+    """Aggregate total of one (key, chunk); ``order`` is a struct of the order
+    columns so that ``last`` resolves ties exactly."""
     c = F.col(a.col) if a.col else None
     if a.kind == "count":
         return F.count(F.lit(1)) if c is None else F.count(c)
@@ -115,6 +117,19 @@ def _combine(a: Agg, prefix: Column, inner: Column) -> Column:
     return F.coalesce(inner, prefix)
 
 
+def _default(dt: T.DataType) -> Column:
+    if isinstance(dt, T.StringType):
+        return F.lit("")
+    if isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
+                       T.DecimalType)):
+        return F.lit(0).cast(dt)
+    if isinstance(dt, T.BooleanType):
+        return F.lit(False)
+    if isinstance(dt, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return F.lit(0).cast("timestamp").cast(dt)
+    return F.lit(None).cast(dt)
+
+
 def running(df: DataFrame, keys: list[str], order: list[str], aggs: dict[str, Agg],
             cfg: ScanConfig | None = None) -> DataFrame:
     """Add one column per entry of ``aggs``: the aggregate over all earlier rows
@@ -126,16 +141,25 @@ def running(df: DataFrame, keys: list[str], order: list[str], aggs: dict[str, Ag
     """
     cfg = cfg or scan_config()
     o0 = order[0]
-    kcols = list(keys)
-
-    # (1) hot keys: partial count per key, keep those above the threshold.
+    # Null-safe grouping with plain equality: each key k becomes (coalesce(k, d),
+    # isnull(k)).  The same columns partition the window and key the join-back,
+    # so the big side keeps its partitioning through the join.
+    types = {f.name: f.dataType for f in df.schema.fields}
+    kcols: list[str] = []
+    for i, k in enumerate(keys):
+        df = df.withColumns({f"__nk{i}": F.coalesce(F.col(k), _default(types[k])),
+                             f"__nn{i}": F.col(k).isNull()})
+        kcols += [f"__nk{i}", f"__nn{i}"]
+
+    # (1) hot keys: partial count per key, keep those above the threshold.  At
+    #     most rows/hot_rows keys qualify, a bound set by construction, so the
+    #     set is broadcast and the flagging is a map-side join (no shuffle).
     hk = [f"__hk{i}" for i in range(len(kcols))]
     hot = (df.groupBy(*kcols).agg(F.count(F.lit(1)).alias("__n"))
              .where(F.col("__n") > cfg.hot_rows)
              .select(*[F.col(k).alias(h) for k, h in zip(kcols, hk)], F.lit(True).alias("__hot")))
-    # null-safe join so that null keys keep their own group
-    cond = [F.col(k).eqNullSafe(F.col(h)) for k, h in zip(kcols, hk)]
-    flagged = df.join(hot, cond, "left").drop(*hk)
+    cond = [F.col(k) == F.col(h) for k, h in zip(kcols, hk)]
+    flagged = df.join(F.broadcast(hot), cond, "left").drop(*hk)
 
     # (2) chunk id: 0 for ordinary keys, order div span for hot keys.
     flagged = flagged.withColumn(
@@ -143,31 +167,33 @@ def running(df: DataFrame, keys: list[str], order: list[str], aggs: dict[str, Ag
         F.when(F.col("__hot"), F.floor(F.col(o0) / F.lit(cfg.chunk_span))).otherwise(F.lit(0)).cast("long"),
     ).drop("__hot")
 
+    # (3) running value inside each (key, chunk): the only full shuffle.
     part = kcols + ["__chunk"]
     ocols = [F.col(c).asc() for c in order]
-    w_inc = Window.partitionBy(*part).orderBy(*ocols).rowsBetween(Window.unboundedPreceding, 0)
-    w_exc = Window.partitionBy(*part).orderBy(*ocols).rowsBetween(Window.unboundedPreceding, -1)
-
-    # (3) running value inside each chunk.
-    inner_cols = {f"__in_{n}": _inner(a, w_inc if a.inclusive else w_exc) for n, a in aggs.items()}
-    with_inner = flagged.withColumns(inner_cols)
-
-    # (4) chunk totals -> prefix over earlier chunks -> join back.
+    base = Window.partitionBy(*part).orderBy(*ocols)
+    w_inc = base.rowsBetween(Window.unboundedPreceding, 0)
+    w_exc = base.rowsBetween(Window.unboundedPreceding, -1)
+    with_inner = flagged.withColumns(
+        {f"__in_{n}": _inner(a, w_inc if a.inclusive else w_exc) for n, a in aggs.items()})
+
+    # (4) chunk totals as a hash aggregate with map-side combine (the shuffle
+    #     carries one partial row per (key, chunk) and task, not the data),
+    #     prefix over earlier chunks (#chunks rows per key), join back on
+    #     (key, chunk) - the big side is already partitioned that way.
     ordkey = F.struct(*[F.col(c) for c in order])
-    totals = (flagged.groupBy(*part)
-              .agg(*[_total(a, ordkey).alias(f"__tot_{n}") for n, a in aggs.items()]))
+    totals = flagged.groupBy(*part).agg(*[_total(a, ordkey).alias(f"__tot_{n}") for n, a in aggs.items()])
     w_chunks = Window.partitionBy(*kcols).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
     pk = [f"__pk{i}" for i in range(len(kcols))]
     prefixes = totals.select(*[F.col(k).alias(p) for k, p in zip(kcols, pk)],
                              F.col("__chunk").alias("__pchunk"),
                              *[_prefix(a, f"__tot_{n}", w_chunks).alias(f"__pre_{n}")
                                for n, a in aggs.items()])
-    pcond = [F.col(k).eqNullSafe(F.col(p)) for k, p in zip(kcols, pk)] + \
+    pcond = [F.col(k) == F.col(p) for k, p in zip(kcols, pk)] + \
             [F.col("__chunk") == F.col("__pchunk")]
     joined = with_inner.join(prefixes, pcond, "inner").drop(*pk, "__pchunk")
     out = joined.withColumns({n: _combine(a, F.col(f"__pre_{n}"), F.col(f"__in_{n}"))
                               for n, a in aggs.items()})
-    drop = ["__chunk"] + [f"__in_{n}" for n in aggs] + [f"__pre_{n}" for n in aggs]
+    drop = ["__chunk"] + kcols + [f"__{p}_{n}" for n in aggs for p in ("in", "pre", "tot")]
     return out.drop(*drop)
 
 
