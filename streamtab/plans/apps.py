@@ -63,8 +63,8 @@ def leaderboard(scores: DataFrame, players: DataFrame, products: DataFrame) -> D
     sc = st.select_key(sc, "player_id")
     pl = _keyed(players, S.PLAYER)
     pr = _keyed(products, S.PRODUCT)
-    with_players = tables.asof_lookup(sc, pl.select("key", "seq", F.col("name").alias("player_name")),
-                                      "key", ["seq"], ["player_name"], prefix="")
+    with_players = tables.asof_lookup(sc, pl.select("key", "seq", "name"), "key", ["seq"], ["name"],
+                                      prefix="player_")
     prod_table = tables.latest(pr, "key", "seq", ["name"]).select(
         F.col("key").alias("product_key"), F.col("name").alias("game_name"))
     enriched = joins.global_table_join(with_players, prod_table,
