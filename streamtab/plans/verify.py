@@ -55,8 +55,9 @@ def _rows(cols, rows):
 def compare(spark, name: str, sf_dir: str, con=None, queries=None, sql=None) -> dict:
     from .catalog import QUERIES
     from .oracle import ORACLE_SQL
-    queries = queries or QUERIES
-    sql = sql or ORACLE_SQL
+    from .streams import STREAM_ORACLE_SQL, STREAM_QUERIES
+    queries = queries or {**QUERIES, **STREAM_QUERIES}
+    sql = sql or {**ORACLE_SQL, **STREAM_ORACLE_SQL}
     con = con or duckdb_conn(sf_dir)
     sdf = queries[name](spark, sf_dir)
     s_cols = sdf.columns
@@ -81,9 +82,10 @@ def main(argv=None) -> int:
     import json
     from ..session import get_session
     from .oracle import ORACLE_SQL
+    from .streams import STREAM_ORACLE_SQL
     argv = argv if argv is not None else sys.argv[1:]
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
-    names = argv[1:] or list(ORACLE_SQL)
+    names = argv[1:] or list(ORACLE_SQL) + list(STREAM_ORACLE_SQL)
     spark = get_session("local[8]")
     con = duckdb_conn(sf_dir)
     bad = 0

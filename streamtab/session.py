@@ -41,9 +41,29 @@ def get_session(master: str | None = None, partitions: int = 8,
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``streamtab`` importable in Python workers (stateful processors and
+    pandas functions are pickled by reference): zip the package once and
+    ``addPyFile`` it, which distributes it to every executor."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    import shutil
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    tmp = tempfile.mkdtemp(prefix="streamtab-pkg-")
+    archive = shutil.make_archive(os.path.join(tmp, "streamtab"), "zip",
+                                  root_dir=os.path.dirname(pkg_dir), base_dir="streamtab")
+    spark.sparkContext.addPyFile(archive)
+    _shipped.add(app)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
@@ -65,8 +85,4 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(p: str) -> bool:
-    return not (":" in p.split("/")[0]) or p.startswith("file:")
-
-
-__all__ = ["get_session", "ensure_checkpoint_dir", "scratch_path", "DEFAULT_CONF"]
+__all__ = ["get_session", "ensure_checkpoint_dir", "scratch_path", "ship_package", "DEFAULT_CONF"]
