@@ -9,7 +9,10 @@ Plan: (1) one row per (group, score) with ``min_by(row, order)`` - a hash
 aggregate with map-side combine; (2) ``row_number`` over the group by score
 desc, filtered to ``<= k``.  Spark plans (2) with a partial
 ``WindowGroupLimit`` before the shuffle, so each map task sends at most ``k``
-rows per group: a hot group never reaches one task whole.
+rows per group: a hot group never reaches one task whole.  Keep the payload
+fixed-width (ids, numbers) so (1) is a hash aggregate; attach names after the
+top-k, when only ``k`` rows per group remain (a string payload makes Spark
+fall back to a sort-based aggregate).
 """
 
 from __future__ import annotations
@@ -21,10 +24,16 @@ from pyspark.sql import functions as F
 def top_k_distinct(df: DataFrame, group: list[str], score: str, order: list[str], k: int = 3,
                    rank: str = "rank") -> DataFrame:
     cols = [c for c in df.columns if c not in group and c != score]
-    firsts = (df.groupBy(*group, score)
-                .agg(F.min_by(F.struct(*[F.col(c) for c in cols]),
-                              F.struct(*[F.col(o) for o in order])).alias("__r"))
-                .select(*group, score, "__r.*"))
+    if len(order) == 1:
+        # one min_by per column: fixed-width buffers, so a hash aggregate
+        o = F.col(order[0])
+        firsts = df.groupBy(*group, score).agg(
+            *[(F.min(c) if c == order[0] else F.min_by(c, o)).alias(c) for c in cols])
+    else:
+        firsts = (df.groupBy(*group, score)
+                    .agg(F.min_by(F.struct(*[F.col(c) for c in cols]),
+                                  F.struct(*[F.col(x) for x in order])).alias("__r"))
+                    .select(*group, score, "__r.*"))
     w = Window.partitionBy(*group).orderBy(F.col(score).desc())
     return firsts.withColumn(rank, F.row_number().over(w)).where(F.col(rank) <= k)
 

@@ -38,3 +38,10 @@ def test_hot_key_path_matches_oracle_sf001(spark, duck01, name):
     finally:
         set_scan_config(prev)
     assert r["values_match"], r
+
+
+@pytest.mark.parametrize("name", ["stream_tumbling_final", "stream_interval_join", "stream_latest_table",
+                                  "stream_twin_changelog", "stream_leaderboard", "stream_ctas_counts"])
+def test_stream_query_matches_batch_oracle_sf0001(spark, duck001, name):
+    r = compare(spark, name, SF001, duck001)
+    assert r["values_match"], r
