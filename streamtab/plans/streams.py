@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators import joins
 from ..operators import state as twin_ops
 from ..plans import catalog as C
 from ..sources.declared import parse_time
@@ -96,7 +97,7 @@ def stream_leaderboard(spark, d):  # A8 E3 streaming (transformWithState)
     o = table_stream(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     c = t.customer.select("c_custkey", "c_name", "c_nationkey")
     n = t.nation.select("n_nationkey", "n_name")
-    en = (o.join(c, o["o_custkey"] == c["c_custkey"]).join(F.broadcast(n), F.col("c_nationkey") == n["n_nationkey"])
+    en = (o.join(c, o["o_custkey"] == c["c_custkey"]).join(joins.broadcast_if_small(n), F.col("c_nationkey") == n["n_nationkey"])
            .select("n_nationkey", F.col("o_totalprice").alias("score"), F.col("o_orderkey").alias("seq"),
                    "n_name", "o_custkey", "c_name"))
     payload = T.StructType([en.schema["n_name"], en.schema["o_custkey"], en.schema["c_name"]])
