@@ -401,8 +401,8 @@ def twin_ttl(spark, d):  # T5 F10
 # ---- change monitoring (E6) ---------------------------------------------------------------
 
 def _production_changes(spark, d) -> DataFrame:
-    e = _t(spark, d).events
-    k = _k()
+    e = _t(spark, d).events.withColumn("__k", _k())  # parse props once, reuse the column
+    k = F.col("__k")
     ep = F.floor("value").cast("int")
     before = fx.make_struct(season_id=k % 3, episode_count=ep % 13)
     after = F.when(F.col("event_id") % 4 != 0, fx.make_struct(season_id=k % 3, episode_count=(ep + k) % 13))
