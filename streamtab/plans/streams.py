@@ -43,6 +43,20 @@ def stream_hopping_final(spark, d):  # W7 streaming
     return _ntz(runner.run_append(spark, agg, "hopping"), "window_start", "window_end")
 
 
+def stream_session_final(spark, d):  # W8 streaming (session_window, append)
+    e = event_time(table_stream(spark, d, "events").select("user_id", "ts"))
+    agg = jobs.session_final(e, ["user_id"], "ts", C.SESSION_GAP, C.GRACE, [F.count(F.lit(1)).alias("n")])
+    return _ntz(runner.run_append(spark, agg, "sessions"), "window_start", "window_end")
+
+
+def stream_tumbling_refining(spark, d):  # A7 S13 streaming: update mode changelog, last value per window
+    e = event_time(table_stream(spark, d, "events").select("user_id", "ts"))
+    agg = (e.groupBy("user_id", F.window("ts", C.DAY).alias("w")).agg(F.count(F.lit(1)).alias("n"))
+             .select("user_id", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "n"))
+    final = runner.final_rows(runner.run_changelog(spark, agg, "refining"), ["user_id", "window_start"])
+    return _ntz(final, "window_start", "window_end")
+
+
 def stream_interval_join(spark, d):  # J4 streaming
     e = event_time(table_stream(spark, d, "events").select("event_id", "user_id", "event_type", "ts"))
     c = e.where(F.col("event_type") == "click").select(F.col("event_id").alias("click_id"), "user_id",
@@ -129,7 +143,8 @@ def stream_ctas_counts(spark, d):  # Q11 E6 streaming: chained join -> windowed
 
 
 STREAM_QUERIES = {f.__name__: f for f in [
-    stream_greeting, stream_tumbling_final, stream_hopping_final, stream_interval_join, stream_table_join_live,
+    stream_greeting, stream_tumbling_final, stream_hopping_final, stream_session_final, stream_tumbling_refining,
+    stream_interval_join, stream_table_join_live,
     stream_latest_table, stream_twin_changelog, stream_leaderboard, stream_ctas_counts,
 ]}
 
@@ -149,6 +164,10 @@ def _stream_oracles() -> dict[str, str]:
         "stream_greeting": O["greet_projection"],
         "stream_tumbling_final": O["tumbling_final"],
         "stream_hopping_final": hop_closed,
+        "stream_session_final": f"""
+      SELECT * FROM ({O['session_count']})
+      WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 2 HOUR""",
+        "stream_tumbling_refining": O["tumbling_count"],
         "stream_interval_join": O["interval_join"],
         "stream_table_join_live": O["stream_table_join"],
         "stream_latest_table": O["latest_table_tombstones"],
