@@ -22,7 +22,7 @@ def estimated_bytes(df: DataFrame) -> int | None:
     """Optimizer size estimate of ``df`` (after column pruning), no job run."""
     try:
         stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(stats.sizeInBytes().toString())
+        return int(str(stats.sizeInBytes()))
     except Exception:  # noqa: BLE001 - estimate unavailable (e.g. remote session)
         return None
 
