@@ -79,18 +79,25 @@ def latest_table(stream: DataFrame, key: list[str], order: list[str], values: li
 
 
 def twin(stream_inputs: DataFrame, key_type: T.DataType, ttl_days: int = 7,
-         event_time_col: str | None = None, delay: str = "0 seconds") -> DataFrame:
+         event_time_col: str | None = None, delay: str = "0 seconds",
+         wall_clock_check_ms: int | None = None) -> DataFrame:
     """T1-T5 streaming: ``transformWithStateInPandas`` over the union of both
     inputs grouped by device key.  With ``event_time_col`` the input is
     watermarked and event-time timers implement the TTL (T4/T5); without it
-    the state never expires (T1/T2 only)."""
+    the state never expires (T1/T2 only).  ``wall_clock_check_ms`` instead
+    checks every key periodically against the wall clock (T3, the reference's
+    behaviour); such a query needs a processing-time trigger."""
     inp = stream_inputs
-    if event_time_col:
+    if wall_clock_check_ms:
+        proc = TwinProcessor(ttl_days, processing_check_ms=wall_clock_check_ms)
+        mode = "ProcessingTime"
+    elif event_time_col:
         inp = inp.withWatermark(event_time_col, delay)
-    proc = TwinProcessor(ttl_days, use_timers=bool(event_time_col))
+        proc, mode = TwinProcessor(ttl_days, use_timers=True), "EventTime"
+    else:
+        proc, mode = TwinProcessor(ttl_days), "None"
     return (inp.groupBy("key")
-            .transformWithStateInPandas(proc, twin_output_schema(key_type), "Update",
-                                        "EventTime" if event_time_col else "None"))
+            .transformWithStateInPandas(proc, twin_output_schema(key_type), "Update", mode))
 
 
 def top_k(stream: DataFrame, key_cols: list[str], payload: T.StructType, k: int = 3) -> DataFrame:

@@ -56,9 +56,11 @@ def _none(v):
 class TwinProcessor(StatefulProcessor):
     """Input columns: key, event_id, emit_idx, type, timestamp, wind_speed_mph, power."""
 
-    def __init__(self, ttl_days: int = 7, use_timers: bool = False):
+    def __init__(self, ttl_days: int = 7, use_timers: bool = False, processing_check_ms: int | None = None):
         self.ttl_ms = ttl_days * DAY_MS
-        self.use_timers = use_timers  # timers need timeMode="EventTime"
+        self.use_timers = use_timers  # event-time TTL timer (timeMode="EventTime", T4/T5)
+        # wall-clock periodic TTL check every N ms (timeMode="ProcessingTime", T3 - the reference's punctuator)
+        self.check_ms = processing_check_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -81,7 +83,10 @@ class TwinProcessor(StatefulProcessor):
         res = pd.DataFrame(out)
         final = tuple(_none(res[c].iloc[-1]) for c in TWIN_STATE_SCHEMA.fieldNames())
         self.state.update(final)
-        if self.use_timers:
+        if self.check_ms:
+            if not list(self.handle.listTimers()):
+                self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.check_ms)
+        elif self.use_timers:
             # one TTL timer per key, at reported time + ttl
             for t in list(self.handle.listTimers()):
                 self.handle.deleteTimer(t)
@@ -94,9 +99,11 @@ class TwinProcessor(StatefulProcessor):
                            ) -> Iterator[pd.DataFrame]:
         if self.state.exists():
             rep_ts = self.state.get()[3]
-            if rep_ts is not None and \
-                    int(pd.Timestamp(rep_ts).value // 1_000_000) + self.ttl_ms <= expiredTimerInfo.getExpiryTimeInMs():
+            now = timerValues.getCurrentProcessingTimeInMs() if self.check_ms else expiredTimerInfo.getExpiryTimeInMs()
+            if rep_ts is not None and int(pd.Timestamp(rep_ts).value // 1_000_000) + self.ttl_ms <= now:
                 self.state.clear()  # expiry emits nothing
+            elif self.check_ms:
+                self.handle.registerTimer(now + self.check_ms)  # periodic: check again later
         return iter([])
 
     def close(self) -> None:
