@@ -19,6 +19,9 @@ whole job.
    the summaries (``#chunks`` rows per key) gives the prefix of all earlier
    chunks, which is joined back on ``(key, chunk)`` and combined.
 
+With ``adaptive`` (default) one small job first checks whether any key is
+hot; if none is, the plain window plan is used (one shuffle by key).
+
 The combine step needs an associative aggregate: count, sum, max, min and
 last-non-null are provided.  The result does not depend on ``hot_rows`` or
 ``chunk_span``; tests run the same query with tiny values to cover both paths.
@@ -37,6 +40,7 @@ from pyspark.sql import types as T
 class ScanConfig:
     hot_rows: int = 1 << 20     # a key with more rows than this is split
     chunk_span: int = 1 << 20   # order units per chunk of a hot key
+    adaptive: bool = True       # look for hot keys first; none -> plain window plan
 
 
 DEFAULT_SCAN = ScanConfig()
@@ -130,6 +134,23 @@ def _default(dt: T.DataType) -> Column:
     return F.lit(None).cast(dt)
 
 
+def has_hot_keys(df: DataFrame, keys: list[str], cfg: ScanConfig | None = None) -> bool:
+    """One small job: does any key hold more than ``hot_rows`` rows?  (A partial
+    aggregate per key; only a yes/no reaches the driver.)"""
+    cfg = cfg or scan_config()
+    return bool(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+                  .where(F.col("__n") > cfg.hot_rows).limit(1).count())
+
+
+def running_plain(df: DataFrame, keys: list[str], order: list[str], aggs: dict[str, Agg]) -> DataFrame:
+    """The window form, for inputs without hot keys: one shuffle by key (and
+    chained scans over the same key reuse that partitioning)."""
+    base = Window.partitionBy(*keys).orderBy(*[F.col(c).asc() for c in order])
+    w_inc = base.rowsBetween(Window.unboundedPreceding, 0)
+    w_exc = base.rowsBetween(Window.unboundedPreceding, -1)
+    return df.withColumns({n: _inner(a, w_inc if a.inclusive else w_exc) for n, a in aggs.items()})
+
+
 def running(df: DataFrame, keys: list[str], order: list[str], aggs: dict[str, Agg],
             cfg: ScanConfig | None = None) -> DataFrame:
     """Add one column per entry of ``aggs``: the aggregate over all earlier rows
@@ -140,6 +161,15 @@ def running(df: DataFrame, keys: list[str], order: list[str], aggs: dict[str, Ag
     windows.
     """
     cfg = cfg or scan_config()
+    if cfg.adaptive and not has_hot_keys(df, keys, cfg):
+        return running_plain(df, keys, order, aggs)
+    return running_chunked(df, keys, order, aggs, cfg)
+
+
+def running_chunked(df: DataFrame, keys: list[str], order: list[str], aggs: dict[str, Agg],
+                    cfg: ScanConfig | None = None) -> DataFrame:
+    """The hot-key-safe plan (steps 1-4 of the module docstring)."""
+    cfg = cfg or scan_config()
     o0 = order[0]
     # Null-safe grouping with plain equality: each key k becomes (coalesce(k, d),
     # isnull(k)).  The same columns partition the window and key the join-back,
@@ -197,4 +227,5 @@ def running(df: DataFrame, keys: list[str], order: list[str], aggs: dict[str, Ag
     return out.drop(*drop)
 
 
-__all__ = ["Agg", "ScanConfig", "running", "set_scan_config", "scan_config", "DEFAULT_SCAN"]
+__all__ = ["Agg", "ScanConfig", "running", "running_plain", "running_chunked", "has_hot_keys",
+           "set_scan_config", "scan_config", "DEFAULT_SCAN"]

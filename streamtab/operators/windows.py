@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import micros
-from .scan import Agg, ScanConfig, running
+from ..session import ensure_checkpoint_dir
+from .scan import Agg, ScanConfig, has_hot_keys, running, running_chunked, running_plain, scan_config
 
 
 def _seconds(spec: str | int) -> int:
@@ -107,21 +108,33 @@ def refining_counts(df: DataFrame, keys: list[str], order: list[str], ts: str, s
 
 
 def sessions(df: DataFrame, keys: list[str], ts: str, gap: str | int, tiebreak: str,
-             aggs: list[Column] | None = None, cfg: ScanConfig | None = None) -> DataFrame:
+             aggs: list[Column] | None = None, cfg: ScanConfig | None = None,
+             checkpoint: bool = True) -> DataFrame:
     """W8 session windows.  Rows at most ``gap`` apart join one session;
     ``window_end = last event + gap`` (Spark's convention).
 
     Skew-safe form: the previous event time per key is a running max
     (exclusive), a new session starts after a gap, and the session number is a
-    running sum of starts; both are scans, then a plain hash aggregate.
+    running sum of starts; both are scans, then a plain hash aggregate.  Without
+    hot keys both scans are windows over the same key partitioning (one
+    shuffle).  With hot keys the chunked second scan reads its input three
+    times, so the first scan's result is checkpointed (reliable, below
+    ``spark.checkpoint.dir``) instead of being recomputed.
     """
     g_us = _seconds(gap) * 1_000_000
+    cfg = cfg or scan_config()
     d = df.withColumn("__tsu", micros(ts))
     order = ["__tsu", tiebreak]
-    d = running(d, keys, order, {"__prev": Agg("max", "__tsu", inclusive=False)}, cfg)
+    hot = has_hot_keys(d, keys, cfg) if cfg.adaptive else True
+    scan = (lambda x, a: running_chunked(x, keys, order, a, cfg)) if hot else \
+           (lambda x, a: running_plain(x, keys, order, a))
+    d = scan(d, {"__prev": Agg("max", "__tsu", inclusive=False)})
     d = d.withColumn("__new", F.when(F.col("__prev").isNull() |
                                      (F.col("__tsu") - F.col("__prev") > F.lit(g_us)), 1).otherwise(0))
-    d = running(d, keys, order, {"__sid": Agg("sum", "__new")}, cfg)
+    if hot and checkpoint:
+        ensure_checkpoint_dir(d.sparkSession)
+        d = d.checkpoint(eager=True)
+    d = scan(d, {"__sid": Agg("sum", "__new")})
     extra = aggs or []
     out = d.groupBy(*keys, "__sid").agg(
         F.min(ts).alias("window_start"),
