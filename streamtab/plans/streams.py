@@ -57,6 +57,17 @@ def stream_tumbling_refining(spark, d):  # A7 S13 streaming: update mode changel
     return _ntz(final, "window_start", "window_end")
 
 
+def stream_vitals_alerts(spark, d):  # E4 streaming: final windowed count -> filter -> interval join
+    e = event_time(table_stream(spark, d, "events").select("event_id", "user_id", "ts", "value"))
+    temps = e.where(F.col("value") > C.HIGH_VALUE).select(
+        "event_id", F.col("user_id").alias("r_key"), F.col("ts").alias("temp_ts"), "value")
+    j = jobs.alerts_from_windows(e.select("user_id", "ts"), temps, "user_id", "ts", "temp_ts", C.DAY, C.GRACE,
+                                 C.HIGH_COUNT, C.ALERT_BOUND_S)
+    j = j.select("user_id", "window_start", "heart_rate", "event_id", "value",
+                 F.greatest("beat_ts", "temp_ts").alias("alert_ts"))
+    return _ntz(runner.run_append(spark, j, "vitals"), "window_start", "alert_ts")
+
+
 def stream_interval_join(spark, d):  # J4 streaming
     e = event_time(table_stream(spark, d, "events").select("event_id", "user_id", "event_type", "ts"))
     c = e.where(F.col("event_type") == "click").select(F.col("event_id").alias("click_id"), "user_id",
@@ -144,7 +155,7 @@ def stream_ctas_counts(spark, d):  # Q11 E6 streaming: chained join -> windowed
 
 STREAM_QUERIES = {f.__name__: f for f in [
     stream_greeting, stream_tumbling_final, stream_hopping_final, stream_session_final, stream_tumbling_refining,
-    stream_interval_join, stream_table_join_live,
+    stream_vitals_alerts, stream_interval_join, stream_table_join_live,
     stream_latest_table, stream_twin_changelog, stream_leaderboard, stream_ctas_counts,
 ]}
 
@@ -168,6 +179,9 @@ def _stream_oracles() -> dict[str, str]:
       SELECT * FROM ({O['session_count']})
       WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 2 HOUR""",
         "stream_tumbling_refining": O["tumbling_count"],
+        "stream_vitals_alerts": f"""
+      SELECT * FROM ({O['vitals_alerts']})
+      WHERE window_start + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 2 HOUR""",
         "stream_interval_join": O["interval_join"],
         "stream_table_join_live": O["stream_table_join"],
         "stream_latest_table": O["latest_table_tombstones"],

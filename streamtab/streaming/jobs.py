@@ -107,3 +107,32 @@ def top_k(stream: DataFrame, key_cols: list[str], payload: T.StructType, k: int
     key_fields = [stream.schema[c] for c in key_cols]
     out = T.StructType(list(proc.state_schema.fields) + [T.StructField("rank", T.IntegerType())] + key_fields)
     return stream.groupBy(*key_cols).transformWithStateInPandas(proc, out, "Update", "None")
+
+
+def alerts_from_windows(pulses: DataFrame, readings: DataFrame, key: str, ts: str, reading_ts: str,
+                        size: str, grace: str, min_count: int, bound_s: int,
+                        reading_key: str = "r_key", reading_delay: str | None = None) -> DataFrame:
+    """E4 streaming, two chained stateful operators (append mode): final
+    windowed counts per key (emitted once the watermark passes window end +
+    grace), filtered to ``count >= min_count``, then joined with the readings
+    stream on ``|reading_ts - beat_ts| <= bound``.  ``beat_ts`` (the window's
+    last event) is the aggregate's record time; the implied bounds against
+    ``window_time`` let Spark evict join state by watermark (SURVEY H4)."""
+    size_s = _secs(size)
+    beats = (pulses.withWatermark(ts, grace).groupBy(key, F.window(ts, size).alias("w"))
+                   .agg(F.count(F.lit(1)).alias("heart_rate"), F.max(ts).alias("beat_ts")))
+    high = (beats.where(F.col("heart_rate") >= min_count)
+                 .select(key, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+                         "heart_rate", "beat_ts", F.window_time("w").alias("__wt")))
+    r = readings.withWatermark(reading_ts, reading_delay or grace)
+    b = F.expr(f"INTERVAL {int(bound_s)} SECONDS")
+    cond = ((F.col(key) == F.col(reading_key)) &
+            (F.col(reading_ts) >= F.col("beat_ts") - b) & (F.col(reading_ts) <= F.col("beat_ts") + b) &
+            (F.col(reading_ts) >= F.col("__wt") - F.expr(f"INTERVAL {size_s} SECONDS") - b) &
+            (F.col(reading_ts) <= F.col("__wt") + b))
+    return high.join(r, cond, "inner").drop("__wt")
+
+
+def _secs(spec: str) -> int:
+    n, unit = spec.split()
+    return int(n) * {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.rstrip("s")]
