@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import joins
+from ..operators.windows import _seconds
 from .processors import TopKDistinctProcessor, TwinProcessor, twin_output_schema
 
 
@@ -118,7 +119,7 @@ def alerts_from_windows(pulses: DataFrame, readings: DataFrame, key: str, ts: st
     stream on ``|reading_ts - beat_ts| <= bound``.  ``beat_ts`` (the window's
     last event) is the aggregate's record time; the implied bounds against
     ``window_time`` let Spark evict join state by watermark (SURVEY H4)."""
-    size_s = _secs(size)
+    size_s = _seconds(size)
     beats = (pulses.withWatermark(ts, grace).groupBy(key, F.window(ts, size).alias("w"))
                    .agg(F.count(F.lit(1)).alias("heart_rate"), F.max(ts).alias("beat_ts")))
     high = (beats.where(F.col("heart_rate") >= min_count)
@@ -131,8 +132,3 @@ def alerts_from_windows(pulses: DataFrame, readings: DataFrame, key: str, ts: st
             (F.col(reading_ts) >= F.col("__wt") - F.expr(f"INTERVAL {size_s} SECONDS") - b) &
             (F.col(reading_ts) <= F.col("__wt") + b))
     return high.join(r, cond, "inner").drop("__wt")
-
-
-def _secs(spec: str) -> int:
-    n, unit = spec.split()
-    return int(n) * {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.rstrip("s")]
