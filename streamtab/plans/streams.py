@@ -93,6 +93,19 @@ def stream_table_join_live(spark, d):  # J1 streaming, table re-read per batch (
     return spark.read.parquet(out).select("event_id", "user_id", "c_name", "c_mktsegment", "value")
 
 
+def stream_table_asof(spark, d):  # J1/J2 streaming, exact (transformWithState over stream + changelog)
+    runner.use_rocksdb(spark)
+    e = table_stream(spark, d, "events")
+    purchases = e.where(F.col("event_type") == "purchase").select("event_id", "user_id", "value")
+    changelog = e.where(F.col("event_type").isin("signup", "error")).select(
+        F.col("event_id"), "user_id", F.col("event_id").alias("t_event_id"), F.col("value").alias("t_value"),
+        (F.col("event_type") == "error").alias("__is_error"))
+    j = jobs.asof_join(purchases, changelog, "user_id", "event_id", ["event_id", "user_id", "value"],
+                       ["t_event_id", "t_value"], tombstone=F.col("__is_error"))
+    out = runner.run_append(spark, j, "asof")
+    return out.select(F.col("seq").alias("event_id"), "user_id", "value", "t_event_id", "t_value")
+
+
 def stream_latest_table(spark, d):  # S3 T6 S13 streaming
     e = table_stream(spark, d, "events")
     lt = jobs.latest_table(e, ["user_id"], ["event_id"], ["event_type", "value"], F.col("event_type") == "error")
@@ -155,7 +168,7 @@ def stream_ctas_counts(spark, d):  # Q11 E6 streaming: chained join -> windowed
 
 STREAM_QUERIES = {f.__name__: f for f in [
     stream_greeting, stream_tumbling_final, stream_hopping_final, stream_session_final, stream_tumbling_refining,
-    stream_vitals_alerts, stream_interval_join, stream_table_join_live,
+    stream_vitals_alerts, stream_interval_join, stream_table_join_live, stream_table_asof,
     stream_latest_table, stream_twin_changelog, stream_leaderboard, stream_ctas_counts,
 ]}
 
@@ -184,6 +197,7 @@ def _stream_oracles() -> dict[str, str]:
       WHERE window_start + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 2 HOUR""",
         "stream_interval_join": O["interval_join"],
         "stream_table_join_live": O["stream_table_join"],
+        "stream_table_asof": O["stream_table_asof"],
         "stream_latest_table": O["latest_table_tombstones"],
         "stream_twin_changelog": O["twin_changelog"],
         "stream_leaderboard": O["leaderboard_top3"],

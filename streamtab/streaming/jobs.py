@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from ..operators import joins
 from ..operators.windows import _seconds
-from .processors import TopKDistinctProcessor, TwinProcessor, twin_output_schema
+from .processors import AsOfJoinProcessor, TopKDistinctProcessor, TwinProcessor, twin_output_schema
 
 
 def windowed_final(stream: DataFrame, keys: list[str], ts: str, size: str, grace: str,
@@ -132,3 +132,25 @@ def alerts_from_windows(pulses: DataFrame, readings: DataFrame, key: str, ts: st
             (F.col(reading_ts) >= F.col("__wt") - F.expr(f"INTERVAL {size_s} SECONDS") - b) &
             (F.col(reading_ts) <= F.col("__wt") + b))
     return high.join(r, cond, "inner").drop("__wt")
+
+
+def asof_join(stream: DataFrame, changelog: DataFrame, key: str, seq: str, stream_cols: list[str],
+              table_cols: list[str], tombstone: Column | None = None) -> DataFrame:
+    """J1/J2 streaming, exact arrival-order semantics: the stream and
+    the table changelog are one keyed input to a stateful processor holding the
+    latest table value per key, so table updates that arrive while the job runs
+    are seen by later stream rows.  Column names of both sides must differ."""
+    dead = tombstone if tombstone is not None else F.lit(False)
+    s_part = stream.select(F.col(key).alias("asof_key"), F.col(seq).alias("seq"), F.lit(0).alias("asof_side"),
+                           F.lit(False).alias("asof_dead"), *[F.col(c) for c in stream_cols if c != seq],
+                           *[F.lit(None).cast(changelog.schema[c].dataType).alias(c) for c in table_cols])
+    t_part = changelog.select(F.col(key).alias("asof_key"), F.col(seq).alias("seq"), F.lit(1).alias("asof_side"),
+                              dead.alias("asof_dead"),
+                              *[F.lit(None).cast(stream.schema[c].dataType).alias(c) for c in stream_cols if c != seq],
+                              *[F.col(c) for c in table_cols])
+    both = s_part.unionByName(t_part)
+    out_cols = [c for c in stream_cols if c != seq] + ["seq"]
+    table_schema = T.StructType([changelog.schema[c] for c in table_cols])
+    out_schema = T.StructType([both.schema[c] for c in out_cols] + list(table_schema.fields))
+    proc = AsOfJoinProcessor(out_cols, table_cols, table_schema)
+    return both.groupBy("asof_key").transformWithStateInPandas(proc, out_schema, "Append", "None")

@@ -140,3 +140,46 @@ class TopKDistinctProcessor(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+class AsOfJoinProcessor(StatefulProcessor):
+    """J1/J2 streaming, exact: input is the keyed union of stream rows
+    (``asof_side = 0``) and table changelog rows (``asof_side = 1``, ``asof_dead`` marks
+    a tombstone), ordered by ``seq``.  Table rows update the state; each stream
+    row is emitted with the table value as of its arrival, or dropped when the
+    key has no live value (inner join).  Table-side columns are ``table_cols``."""
+
+    def __init__(self, stream_cols: list[str], table_cols: list[str], table_schema: StructType):
+        self.stream_cols, self.table_cols, self.table_schema = stream_cols, table_cols, table_schema
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.value = handle.getValueState("table", self.table_schema)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues: TimerValues
+                        ) -> Iterator[pd.DataFrame]:
+        pdf = pd.concat(list(rows), ignore_index=True).sort_values("seq", kind="stable").reset_index(drop=True)
+        prev = self.value.get() if self.value.exists() else None
+        is_tab = pdf["asof_side"] == 1
+        pos = pd.Series(np.arange(len(pdf)), dtype="float64")
+        last = pos.where(is_tab).ffill().fillna(-1).astype("int64")   # latest table row so far
+        src = last.clip(lower=0)
+        out = pdf.loc[~is_tab, self.stream_cols].copy()
+        sel = last[~is_tab]
+        for j, c in enumerate(self.table_cols):
+            vals = pdf[c].reindex(src[~is_tab]).reset_index(drop=True).astype(object)
+            fallback = prev[j] if prev is not None else None
+            out[c] = vals.where(sel.reset_index(drop=True) >= 0, fallback).values
+        dead = pdf["asof_dead"].reindex(src[~is_tab]).reset_index(drop=True)
+        prev_dead = prev is None
+        live = np.where(sel.reset_index(drop=True) >= 0, ~dead.astype(bool), not prev_dead)
+        out = out[live]
+        if is_tab.any():
+            row = pdf[is_tab].iloc[-1]
+            if bool(row["asof_dead"]):
+                self.value.clear()
+            else:
+                self.value.update(tuple(_none(row[c]) for c in self.table_cols))
+        yield out.reset_index(drop=True)
+
+    def close(self) -> None:
+        pass

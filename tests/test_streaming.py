@@ -178,3 +178,19 @@ def test_vitals_chained_stream_multi_batch_equals_batch(spark, duck001):
     res = duck001.execute(STREAM_ORACLE_SQL["stream_vitals_alerts"])
     exp_cols = [x[0] for x in res.description]
     assert _rows(out.columns, [tuple(r) for r in out.collect()]) == _rows(exp_cols, res.fetchall())
+
+
+def test_asof_join_stream_sees_table_updates_across_batches(spark):
+    """A player renamed while the job runs is seen by later scores only."""
+    runner.use_rocksdb(spark)
+    rows = [("t", 1, "Ann", None, 0), ("t", 2, "Bo", None, 1), ("s", 1, None, 50.0, 2), ("s", 2, None, 50.0, 3),
+            ("s", 2, None, 40.0, 4), ("t", 2, "Bob", None, 5), ("s", 2, None, 30.0, 6), ("s", 9, None, 99.0, 7),
+            ("t", 1, None, None, 8), ("s", 1, None, 10.0, 9)]          # seq 8: tombstone for player 1
+    df = spark.createDataFrame(rows, "kind string, player_id long, name string, score double, seq long")
+    s = _replay(spark, df, 5)
+    stream = s.where(F.col("kind") == "s").select("player_id", "score", "seq")
+    table = s.where(F.col("kind") == "t").select("player_id", "seq", F.col("name").alias("player_name"))
+    j = jobs.asof_join(stream, table, "player_id", "seq", ["player_id", "score", "seq"], ["player_name"],
+                       tombstone=F.col("player_name").isNull())
+    got = sorted((r.seq, r.player_name) for r in runner.run_append(spark, j, "asof-replay").collect())
+    assert got == [(2, "Ann"), (3, "Bo"), (4, "Bo"), (6, "Bob")]
