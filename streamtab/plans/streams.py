@@ -93,7 +93,7 @@ def stream_table_join_live(spark, d):  # J1 streaming, table re-read per batch (
     return spark.read.parquet(out).select("event_id", "user_id", "c_name", "c_mktsegment", "value")
 
 
-def stream_table_asof(spark, d):  # J1/J2 streaming, exact (transformWithState over stream + changelog)
+def stream_asof_join(spark, d):  # J1/J2 streaming, exact (transformWithState over stream + changelog)
     runner.use_rocksdb(spark)
     e = table_stream(spark, d, "events")
     purchases = e.where(F.col("event_type") == "purchase").select("event_id", "user_id", "value")
@@ -168,7 +168,7 @@ def stream_ctas_counts(spark, d):  # Q11 E6 streaming: chained join -> windowed
 
 STREAM_QUERIES = {f.__name__: f for f in [
     stream_greeting, stream_tumbling_final, stream_hopping_final, stream_session_final, stream_tumbling_refining,
-    stream_vitals_alerts, stream_interval_join, stream_table_join_live, stream_table_asof,
+    stream_vitals_alerts, stream_interval_join, stream_table_join_live, stream_asof_join,
     stream_latest_table, stream_twin_changelog, stream_leaderboard, stream_ctas_counts,
 ]}
 
@@ -197,7 +197,7 @@ def _stream_oracles() -> dict[str, str]:
       WHERE window_start + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 2 HOUR""",
         "stream_interval_join": O["interval_join"],
         "stream_table_join_live": O["stream_table_join"],
-        "stream_table_asof": O["stream_table_asof"],
+        "stream_asof_join": O["stream_table_asof"],
         "stream_latest_table": O["latest_table_tombstones"],
         "stream_twin_changelog": O["twin_changelog"],
         "stream_leaderboard": O["leaderboard_top3"],

@@ -45,3 +45,10 @@ def test_hot_key_path_matches_oracle_sf001(spark, duck01, name):
 def test_stream_query_matches_batch_oracle_sf0001(spark, duck001, name):
     r = compare(spark, name, SF001, duck001)
     assert r["values_match"], r
+
+
+def test_registered_names_are_unique_and_complete():
+    from streamtab.plans.streams import STREAM_ORACLE_SQL, STREAM_QUERIES
+    assert not set(QUERIES) & set(STREAM_QUERIES)
+    assert set(QUERIES) == set(ORACLE_SQL)
+    assert set(STREAM_QUERIES) == set(STREAM_ORACLE_SQL)
