@@ -45,13 +45,13 @@ _TOP3 = """
   f AS (
     SELECT * FROM e
     QUALIFY row_number() OVER (PARTITION BY n_nationkey, o_totalprice ORDER BY o_orderkey) = 1)
-  SELECT *, row_number() OVER (PARTITION BY n_nationkey ORDER BY o_totalprice DESC) AS rank
+  SELECT *, CAST(row_number() OVER (PARTITION BY n_nationkey ORDER BY o_totalprice DESC) AS INTEGER) AS rank
   FROM f QUALIFY rank <= 3"""
 
 _LB_ARRAY = f"""
   SELECT n_nationkey,
-         to_json(list(struct_pack(rank := rank, o_orderkey := o_orderkey, c_name := c_name,
-                                  o_totalprice := o_totalprice) ORDER BY rank)) AS entries
+         CAST(to_json(list(struct_pack(rank := rank, o_orderkey := o_orderkey, c_name := c_name,
+                                       o_totalprice := o_totalprice) ORDER BY rank)) AS VARCHAR) AS entries
   FROM ({_TOP3}) GROUP BY n_nationkey"""
 
 _POWER = f"CASE WHEN {K} % 2 = 0 THEN 'ON' ELSE 'OFF' END"
@@ -151,12 +151,12 @@ ORACLE_SQL: dict[str, str] = {
       WHERE branch IS NOT NULL GROUP BY branch""",
 
     "branch_translate_merge": f"""
-      SELECT doc_id, lang, translated, length(text) AS text_len, md5(text) AS text_md5
+      SELECT doc_id, lang, translated, CAST(length(text) AS INTEGER) AS text_len, md5(text) AS text_md5
       FROM ({_MERGED_DOCS})""",
 
     "entity_flatmap": f"""
       SELECT doc_id, pos, entity FROM (
-        SELECT doc_id, unnest(generate_series(1, len(toks))) AS pos, unnest(toks) AS entity
+        SELECT doc_id, CAST(unnest(generate_series(1, len(toks))) AS INTEGER) AS pos, unnest(toks) AS entity
         FROM (SELECT doc_id, string_split(replace(lower(text), '#', ''), ' ') AS toks FROM documents))
       WHERE entity IN {TRACKED}""",
 
@@ -166,7 +166,8 @@ ORACLE_SQL: dict[str, str] = {
         UNION ALL
         SELECT doc_id, 'Translated: ' || text FROM documents WHERE NOT (source = 'src1') AND lang <> 'en'),
       t AS (
-        SELECT doc_id AS id, text_md5, unnest(generate_series(1, len(toks))) AS pos, unnest(toks) AS entity
+        SELECT doc_id AS id, text_md5, CAST(unnest(generate_series(1, len(toks))) AS INTEGER) AS pos,
+               unnest(toks) AS entity
         FROM (SELECT doc_id, md5(text) AS text_md5, string_split(replace(lower(text), '#', ''), ' ') AS toks FROM m))
       SELECT id, pos, entity, text_md5,
              ((id * 31 + pos * 17) % 1000) / 1000.0 AS sentiment_score,

@@ -126,7 +126,7 @@ def stream_twin_changelog(spark, d):  # T1 T2 P11 E5 streaming (transformWithSta
     inputs = twin_ops.twin_inputs(rep, des).withColumn("emit_idx", F.col("emit_idx").cast("long"))
     out = jobs.twin(inputs, T.LongType())
     ch = runner.run_changelog(spark, out, "twin").drop("batch_id")
-    return _ntz(ch, "desired_timestamp", "reported_timestamp")
+    return _ntz(ch, "desired_timestamp", "reported_timestamp").withColumn("emit_idx", F.col("emit_idx").cast("int"))
 
 
 def stream_leaderboard(spark, d):  # A8 E3 streaming (transformWithState)
