@@ -22,9 +22,12 @@ def keep(df: DataFrame, cond) -> DataFrame:
 
 # P3 filterNot.  SQL logic: a null flag is neither kept by ``filter`` nor by
 # ``filterNot`` (the reference throws on it); ``observe`` counts such rows.
-def drop_where(df: DataFrame, cond, observe_name: str | None = None) -> DataFrame:
+def drop_where(df: DataFrame, cond, observe_name=None) -> DataFrame:
+    """``observe_name``: a name or a :class:`pyspark.sql.Observation`; the
+    metric ``null_flag_rows`` counts rows whose flag is null (neither kept nor
+    silently lost: they are reported)."""
     c = F.expr(cond) if isinstance(cond, str) else cond
-    if observe_name:
+    if observe_name is not None:
         df = df.observe(observe_name, F.sum(F.when(c.isNull(), 1).otherwise(0)).alias("null_flag_rows"))
     return df.where(~c)
 
@@ -99,8 +102,8 @@ def greet(df: DataFrame, name: str = "value", out: str = "greeting") -> DataFram
     return df.select("*", F.concat(F.lit("Hello, "), F.col(name)).alias(out))
 
 
-# P13 peek: observe metrics without changing the rows
-def peek(df: DataFrame, name: str, *aggs: Column) -> DataFrame:
+# P13 peek: observe metrics without changing the rows (a name, or an Observation)
+def peek(df: DataFrame, name, *aggs: Column) -> DataFrame:
     return df.observe(name, *(aggs or (F.count(F.lit(1)).alias("rows"),)))
 
 

@@ -112,10 +112,14 @@ def test_branch_first_match_and_null(spark):
     assert [r.id for r in b1.collect()] == [3]
 
 
-def test_filter_not_counts_null_flags(spark):
+def test_filter_not_counts_null_flags_and_peek(spark):
+    from pyspark.sql import Observation
     df = spark.createDataFrame([(1, True), (2, False), (3, None)], "id long, rt boolean")
-    kept = st.drop_where(df, F.col("rt"), observe_name="retweets")
+    obs, seen = Observation("retweets"), Observation("peek")
+    kept = st.peek(st.drop_where(df, F.col("rt"), observe_name=obs), seen)
     assert [r.id for r in kept.collect()] == [2]
+    assert obs.get["null_flag_rows"] == 1
+    assert seen.get["rows"] == 1
 
 
 def test_malformed_policies(spark):
