@@ -59,9 +59,10 @@ def test_interval_join_brute_force(spark):
     assert got == exp and exp
 
 
-def test_sliding_brute_force(spark):
+@pytest.mark.parametrize("method", ["auto", "range", "prefix"])
+def test_sliding_brute_force(spark, method):
     df, rows = _events(spark, 250, 2, seed=5, null_key=False)
-    out = win.sliding(df.select("off", "k", "ts", "v"), ["k"], "ts", "1 hour", "v")
+    out = win.sliding(df.select("off", "k", "ts", "v"), ["k"], "ts", "1 hour", "v", method=method)
     got = {r.off: (r.window_count, round(r.window_sum, 6)) for r in out.collect()}
     exp = {}
     for off, k, ts, v, _ in rows:
