@@ -445,28 +445,37 @@ def ctas_counts(spark, d):  # Q11: J1 + A3 W1 W2 A4 A5
 
 # ---- lookups over materialized results (Q1-Q8) -------------------------------------------------
 
+def _leaderboard_store(spark, d) -> DataFrame:
+    return lookups.materialize(leaderboard_array(spark, d), "leaderboards", ["n_nationkey"])
+
+
+def _window_store(spark, d) -> DataFrame:
+    return lookups.materialize(tumbling_count(spark, d), "pulse-counts", ["window_start", "user_id"])
+
+
 def store_all(spark, d):  # Q1
-    return lookups.store_all(leaderboard_array(spark, d))
+    return lookups.store_all(_leaderboard_store(spark, d))
 
 
 def store_get(spark, d):  # Q2
-    return lookups.store_get(leaderboard_array(spark, d), "n_nationkey", LOOKUP_NATION)
+    return lookups.store_get(_leaderboard_store(spark, d), "n_nationkey", LOOKUP_NATION)
 
 
 def store_count(spark, d):  # Q3
-    return lookups.store_count(leaderboard_array(spark, d))
+    return lookups.store_count(_leaderboard_store(spark, d))
 
 
 def window_range(spark, d):  # Q4 Q5
-    return lookups.window_range(tumbling_count(spark, d), _ts(RANGE_FROM), _ts(RANGE_TO))
+    return lookups.window_range(_window_store(spark, d), _ts(RANGE_FROM), _ts(RANGE_TO))
 
 
 def window_key_range(spark, d):  # Q6
-    return lookups.window_key_range(tumbling_count(spark, d), "user_id", LOOKUP_USER, _ts(RANGE_FROM), _ts(RANGE_TO))
+    return lookups.window_key_range(_window_store(spark, d), "user_id", LOOKUP_USER, _ts(RANGE_FROM), _ts(RANGE_TO))
 
 
 def pull_windowstart(spark, d):  # Q7 Q8
-    return lookups.pull(ctas_counts(spark, d), "key", PULL_KEY, _ts(PULL_START))
+    store = lookups.materialize(ctas_counts(spark, d), "season-length-change-counts", ["key", "window_start"])
+    return lookups.pull(store, "key", PULL_KEY, _ts(PULL_START))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
