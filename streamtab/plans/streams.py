@@ -90,7 +90,7 @@ def stream_table_join_live(spark, d):  # J1 streaming, table re-read per batch (
 
     body = jobs.live_table_join(load, lambda b, t: b["user_id"] == t["c_custkey"])
     out = runner.run_foreach_batch(spark, e, "live-join", body)
-    return spark.read.parquet(out).select("event_id", "user_id", "c_name", "c_mktsegment", "value")
+    return spark.read.parquet(f"{out}/batch=*").select("event_id", "user_id", "c_name", "c_mktsegment", "value")
 
 
 def stream_asof_join(spark, d):  # J1/J2 streaming, exact (transformWithState over stream + changelog)

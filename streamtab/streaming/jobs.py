@@ -65,7 +65,9 @@ def live_table_join(load_table: Callable[[], DataFrame], on, how: str = "inner",
     def body(batch: DataFrame, batch_id: int, out: str) -> None:
         table = load_table()
         cond = on(batch, table) if callable(on) else on
-        joins.stream_table_join(batch, table, cond, how).write.mode("append").format(out_fmt).save(out)
+        # one folder per batch id, overwritten on replay: exactly once per batch
+        (joins.stream_table_join(batch, table, cond, how).write.mode("overwrite").format(out_fmt)
+              .save(f"{out}/batch={batch_id}"))
     return body
 
 

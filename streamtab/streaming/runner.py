@@ -34,13 +34,14 @@ def run_append(spark: SparkSession, sdf: DataFrame, name: str, fmt: str = "parqu
 
 def run_changelog(spark: SparkSession, sdf: DataFrame, name: str, mode: str = "update") -> DataFrame:
     """Update/append query whose every emitted row is kept with its batch id
-    (the table's changelog, S13).  ``foreachBatch`` appends each micro-batch
-    to parquet; the write is idempotent per batch id on restart."""
+    (the table's changelog, S13).  ``foreachBatch`` writes each micro-batch to
+    its own ``batch=<id>`` folder in overwrite mode, so a batch replayed after
+    a failure replaces its own output: exactly once per batch id."""
     base = scratch_path(spark, f"stream-{name}")
     out = f"{base}/out"
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(f"{out}/batch={batch_id}")
+        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
     q = (sdf.writeStream.outputMode(mode).foreachBatch(sink)
             .option("checkpointLocation", f"{base}/checkpoint")
@@ -57,7 +58,9 @@ def final_rows(changelog: DataFrame, key: list[str]) -> DataFrame:
 
 
 def run_foreach_batch(spark: SparkSession, sdf: DataFrame, name: str, fn) -> str:
-    """Run ``fn(batch_df, batch_id, out_path)`` per micro-batch; returns the output path."""
+    """Run ``fn(batch_df, batch_id, out_path)`` per micro-batch; returns the
+    output path.  ``fn`` should write below ``out_path`` idempotently per batch
+    id (see ``jobs.live_table_join``)."""
     base = scratch_path(spark, f"stream-{name}")
     out = f"{base}/out"
     q = (sdf.writeStream.foreachBatch(lambda b, i: fn(b, i, out))
