@@ -3,7 +3,6 @@
 
 import datetime as dt
 
-import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,7 +14,7 @@ from streamtab.sources.declared import parse_time
 from streamtab.streaming import jobs, runner
 from streamtab.streaming.sources import replay, replay_stream
 
-from .test_fixtures import PLAYERS, PRODUCTS, REPORTED, _changes, _lines, _pulse_lines, _titles
+from .test_fixtures import REPORTED, _changes, _lines, _pulse_lines, _titles
 
 
 def _replay(spark, df, chunks):
