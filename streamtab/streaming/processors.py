@@ -125,12 +125,16 @@ class TopKDistinctProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues: TimerValues
                         ) -> Iterator[pd.DataFrame]:
         cols = self.state_schema.fieldNames()
-        new = pd.concat([r[cols] for r in rows], ignore_index=True)
-        held = pd.DataFrame(list(self.top.get()), columns=cols) if self.top.exists() else new.iloc[0:0]
-        cand = pd.concat([held, new], ignore_index=True)
-        # equal scores: the earliest arrival stays; then the k highest scores
-        firsts = cand.sort_values(["score", "seq"], ascending=[False, True]).drop_duplicates("score")
-        top = firsts.head(self.k).reset_index(drop=True)
+        top = pd.DataFrame(list(self.top.get()), columns=cols) if self.top.exists() else None
+        # fold the batch chunk by chunk (the reduction is associative), so a hot
+        # group never sits in memory whole: one Arrow chunk + k rows at a time
+        for chunk in rows:
+            cand = chunk[cols] if top is None else pd.concat([top, chunk[cols]], ignore_index=True)
+            # equal scores: the earliest arrival stays; then the k highest scores
+            firsts = cand.sort_values(["score", "seq"], ascending=[False, True]).drop_duplicates("score")
+            top = firsts.head(self.k).reset_index(drop=True)
+        if top is None:
+            return
         self.top.put([tuple(_none(v) for v in r) for r in top.itertuples(index=False, name=None)])
         out = top.copy()
         out["rank"] = np.arange(1, len(top) + 1, dtype="int32")
