@@ -151,7 +151,12 @@ def entity_flatmap(spark, d):  # P8 F4 F5
 
 
 def entity_sentiment(spark, d):  # E2: P3 P5 P7 P6 P8 F4-F6
-    doc = _t(spark, d).documents.select("doc_id", "text", "lang", "source")
+    return entity_sentiment_of(_t(spark, d).documents)
+
+
+def entity_sentiment_of(documents: DataFrame) -> DataFrame:
+    """The E2 flow on a documents frame (batch or streaming)."""
+    doc = documents.select("doc_id", "text", "lang", "source")
     kept = st.drop_where(doc, F.col("source") == RETWEET_SOURCE)
     m = _merged_documents(kept.select("doc_id", "lang", "text"))
     toks = m.select(F.col("doc_id").alias("id"), F.md5(F.col("text").cast("binary")).alias("text_md5"),

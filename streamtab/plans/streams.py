@@ -31,6 +31,11 @@ def stream_greeting(spark, d):  # E1 S1 P12 Q9
     return out
 
 
+def stream_entity_sentiment(spark, d):  # E2 streaming: stateless flow, typed sink
+    docs = table_stream(spark, d, "documents")
+    return runner.run_append(spark, C.entity_sentiment_of(docs), "sentiment")
+
+
 def stream_tumbling_final(spark, d):  # W1 W4 S11
     e = event_time(table_stream(spark, d, "events").select("user_id", "ts"))
     agg = jobs.windowed_final(e, ["user_id"], "ts", C.DAY, C.GRACE, [F.count(F.lit(1)).alias("n")])
@@ -167,7 +172,7 @@ def stream_ctas_counts(spark, d):  # Q11 E6 streaming: chained join -> windowed
 
 
 STREAM_QUERIES = {f.__name__: f for f in [
-    stream_greeting, stream_tumbling_final, stream_hopping_final, stream_session_final, stream_tumbling_refining,
+    stream_greeting, stream_entity_sentiment, stream_tumbling_final, stream_hopping_final, stream_session_final, stream_tumbling_refining,
     stream_vitals_alerts, stream_interval_join, stream_table_join_live, stream_asof_join,
     stream_latest_table, stream_twin_changelog, stream_leaderboard, stream_ctas_counts,
 ]}
@@ -186,6 +191,7 @@ def _stream_oracles() -> dict[str, str]:
     del DAY_BUCKET
     return {
         "stream_greeting": O["greet_projection"],
+        "stream_entity_sentiment": O["entity_sentiment"],
         "stream_tumbling_final": O["tumbling_final"],
         "stream_hopping_final": hop_closed,
         "stream_session_final": f"""
