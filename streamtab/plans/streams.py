@@ -48,6 +48,18 @@ def stream_hopping_final(spark, d):  # W7 streaming
     return _ntz(runner.run_append(spark, agg, "hopping"), "window_start", "window_end")
 
 
+def stream_tumbling_grace(spark, d):  # W2 streaming, exact per record and partition (transformWithState)
+    runner.use_rocksdb(spark)
+    e = event_time(table_stream(spark, d, "events").select("event_id", "user_id", "ts"))
+    e = (e.withColumn("arr", F.col("event_id") + (F.col("event_id") * 7919 % 50) * 4)
+          .withColumn("b", F.col("user_id") % C.PARTITIONS))
+    m = jobs.mark_late_stream(e, "b", "arr", "ts", C.DAY, C.GRACE)
+    agg = m.where(~F.col("is_late")).groupBy("user_id", "window_start", "window_end").agg(
+        F.count(F.lit(1)).alias("n"))
+    final = runner.final_rows(runner.run_changelog(spark, agg, "grace"), ["user_id", "window_start"])
+    return _ntz(final, "window_start", "window_end")
+
+
 def stream_session_final(spark, d):  # W8 streaming (session_window, append)
     e = event_time(table_stream(spark, d, "events").select("user_id", "ts"))
     agg = jobs.session_final(e, ["user_id"], "ts", C.SESSION_GAP, C.GRACE, [F.count(F.lit(1)).alias("n")])
@@ -172,7 +184,7 @@ def stream_ctas_counts(spark, d):  # Q11 E6 streaming: chained join -> windowed
 
 
 STREAM_QUERIES = {f.__name__: f for f in [
-    stream_greeting, stream_entity_sentiment, stream_tumbling_final, stream_hopping_final, stream_session_final, stream_tumbling_refining,
+    stream_greeting, stream_entity_sentiment, stream_tumbling_final, stream_tumbling_grace, stream_hopping_final, stream_session_final, stream_tumbling_refining,
     stream_vitals_alerts, stream_interval_join, stream_table_join_live, stream_asof_join,
     stream_latest_table, stream_twin_changelog, stream_leaderboard, stream_ctas_counts,
 ]}
@@ -193,6 +205,7 @@ def _stream_oracles() -> dict[str, str]:
         "stream_greeting": O["greet_projection"],
         "stream_entity_sentiment": O["entity_sentiment"],
         "stream_tumbling_final": O["tumbling_final"],
+        "stream_tumbling_grace": O["tumbling_grace"],
         "stream_hopping_final": hop_closed,
         "stream_session_final": f"""
       SELECT * FROM ({O['session_count']})

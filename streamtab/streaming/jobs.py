@@ -23,7 +23,8 @@ from pyspark.sql import types as T
 
 from ..operators import joins
 from ..operators.windows import _seconds
-from .processors import AsOfJoinProcessor, TopKDistinctProcessor, TwinProcessor, twin_output_schema
+from .processors import (AsOfJoinProcessor, GraceProcessor, TopKDistinctProcessor, TwinProcessor,
+                         twin_output_schema)
 
 
 def windowed_final(stream: DataFrame, keys: list[str], ts: str, size: str, grace: str,
@@ -156,3 +157,23 @@ def asof_join(stream: DataFrame, changelog: DataFrame, key: str, seq: str, strea
     out_schema = T.StructType([both.schema[c] for c in out_cols] + list(table_schema.fields))
     proc = AsOfJoinProcessor(out_cols, table_cols, table_schema)
     return both.groupBy("asof_key").transformWithStateInPandas(proc, out_schema, "Append", "None")
+
+
+def mark_late_stream(stream: DataFrame, partition: str, seq: str, ts: str, size: str, grace: str) -> DataFrame:
+    """W2/W3 streaming with the reference's exact rule: per input
+    partition, in arrival order ``seq``, a row is late when its window end is
+    not after the partition's stream time minus ``grace``.  Unlike a watermark
+    this is per record (also inside one micro-batch) and per partition, and it
+    works in front of further stateful operators.  Adds ``window_start``,
+    ``window_end``, ``stream_time`` and ``is_late``; ``ts`` must be TIMESTAMP."""
+    en = (stream.withColumn("seq", F.col(seq)) if seq != "seq" else stream)
+    en = (en.withColumn("__w", F.window(ts, size))
+            .withColumn("window_start", F.col("__w.start")).withColumn("window_end", F.col("__w.end"))
+            .drop("__w")
+            .withColumn("ts_us", F.unix_micros(ts)).withColumn("window_end_us", F.unix_micros("window_end")))
+    schema = T.StructType(list(en.schema.fields) + [T.StructField("stream_time_us", T.LongType()),
+                                                    T.StructField("is_late", T.BooleanType())])
+    proc = GraceProcessor(_seconds(grace) * 1_000_000)
+    marked = en.groupBy(partition).transformWithStateInPandas(proc, schema, "Append", "None")
+    return (marked.withColumn("stream_time", F.timestamp_micros("stream_time_us"))
+                  .drop("ts_us", "window_end_us", "stream_time_us"))
