@@ -183,10 +183,32 @@ def stream_ctas_counts(spark, d):  # Q11 E6 streaming: chained join -> windowed
     return _ntz(runner.run_append(spark, agg, "ctas"), "window_start", "window_end")
 
 
+def stream_ctas_exact(spark, d):  # E6 streaming with the reference's exact grace rule (no watermark)
+    runner.use_rocksdb(spark)
+    t = C._t(spark, d)
+    e = table_stream(spark, d, "events")
+    k = C._k()
+    ep = F.floor("value").cast("int")
+    s = e.where(F.col("event_type") != "purchase").select(
+        F.col("event_id").alias("uuid"), F.col("user_id").alias("title_id"), (k % 3).alias("season_id"),
+        F.when(F.col("event_id") % 4 != 0, (ep + k) % 13).alias("new_episode_count"),
+        parse_time(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).cast("timestamp").alias("event_ts"))
+    titles = t.customer.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("title"))
+    en = s.join(titles, s["title_id"] == titles["id"]).drop("id").withColumn("b", F.col("title_id") % C.PARTITIONS)
+    m = jobs.mark_late_stream(en, "b", "uuid", "event_ts", C.DAY, "10 minutes")
+    agg = (m.where(~F.col("is_late")).groupBy("title_id", "season_id", "window_start", "window_end")
+             .agg(F.any_value("title").alias("title"), F.count(F.lit(1)).alias("change_count"),
+                  F.max_by("new_episode_count", F.when(F.col("new_episode_count").isNotNull(), F.col("uuid")))
+                   .alias("episode_count")))
+    fin = runner.final_rows(runner.run_changelog(spark, agg, "ctas-exact"), ["title_id", "season_id", "window_start"])
+    fin = fin.withColumn("key", F.concat_ws("|+|", F.col("title_id").cast("string"), F.col("season_id").cast("string")))
+    return _ntz(fin, "window_start", "window_end")
+
+
 STREAM_QUERIES = {f.__name__: f for f in [
     stream_greeting, stream_entity_sentiment, stream_tumbling_final, stream_tumbling_grace, stream_hopping_final, stream_session_final, stream_tumbling_refining,
     stream_vitals_alerts, stream_interval_join, stream_table_join_live, stream_asof_join,
-    stream_latest_table, stream_twin_changelog, stream_leaderboard, stream_ctas_counts,
+    stream_latest_table, stream_twin_changelog, stream_leaderboard, stream_ctas_counts, stream_ctas_exact,
 ]}
 
 
@@ -221,6 +243,7 @@ def _stream_oracles() -> dict[str, str]:
         "stream_twin_changelog": O["twin_changelog"],
         "stream_leaderboard": O["leaderboard_top3"],
         "stream_ctas_counts": ctas_closed,
+        "stream_ctas_exact": _CTAS,
     }
 
 
