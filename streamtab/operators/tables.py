@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .scan import Agg, ScanConfig, running
 
@@ -35,8 +36,18 @@ def latest(df: DataFrame, key: list[str] | str, order: list[str] | str, values:
             dead = dead & F.col(v).isNull()
     else:
         dead = F.expr(tombstone) if isinstance(tombstone, str) else tombstone
-    rec = F.struct(*[F.col(o) for o in order], *[F.col(v) for v in values],
-                   F.coalesce(dead, F.lit(False)).alias("__dead"))
+    dead = F.coalesce(dead, F.lit(False))
+    fixed = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.BooleanType,
+             T.DateType, T.TimestampType, T.TimestampNTZType)
+    if len(order) == 1 and all(isinstance(df.schema[v].dataType, fixed) for v in values):
+        # fixed-width buffers: one max_by per column is a hash aggregate
+        o = F.col(order[0])
+        out = (df.withColumn("__dead", dead).groupBy(*keys)
+                 .agg(F.max(o).alias(order[0]), *[F.max_by(v, o).alias(v) for v in values],
+                      F.max_by("__dead", o).alias("__dead"))
+                 .where(~F.col("__dead")))
+        return out.select(*keys, *((order if keep_order else []) + values))
+    rec = F.struct(*[F.col(o) for o in order], *[F.col(v) for v in values], dead.alias("__dead"))
     out = (df.groupBy(*keys).agg(F.max_by(rec, _order_struct(order)).alias("__r"))
              .where(~F.col("__r.__dead"))
              .select(*keys, *[F.col(f"__r.{c}").alias(c) for c in (order if keep_order else []) + values]))
