@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql.streaming.stateful_processor import (ExpiredTimerInfo, StatefulProcessor,
                                                       StatefulProcessorHandle, TimerValues)
-from pyspark.sql.types import (DoubleType, LongType, StringType, StructField, StructType,
+from pyspark.sql.types import (DoubleType, IntegerType, LongType, StringType, StructField, StructType,
                                TimestampType)
 
 # The processors are shipped by value: the driver-side Python runner that
@@ -53,6 +53,18 @@ def _none(v):
     return v
 
 
+def _typed(v, dt):
+    """Values from a mixed pandas frame (integers become float64 next to NaN)
+    converted back to the state schema's Python type."""
+    if v is None:
+        return None
+    if isinstance(dt, (LongType, IntegerType)):
+        return int(v)
+    if isinstance(dt, DoubleType):
+        return float(v)
+    return v
+
+
 class TwinProcessor(StatefulProcessor):
     """Input columns: key, event_id, emit_idx, type, timestamp, wind_speed_mph, power."""
 
@@ -135,7 +147,9 @@ class TopKDistinctProcessor(StatefulProcessor):
             top = firsts.head(self.k).reset_index(drop=True)
         if top is None:
             return
-        self.top.put([tuple(_none(v) for v in r) for r in top.itertuples(index=False, name=None)])
+        fields = self.state_schema.fields
+        self.top.put([tuple(_typed(_none(v), f.dataType) for v, f in zip(r, fields))
+                      for r in top.itertuples(index=False, name=None)])
         out = top.copy()
         out["rank"] = np.arange(1, len(top) + 1, dtype="int32")
         for c, v in zip(self.key_cols, key):
@@ -182,7 +196,8 @@ class AsOfJoinProcessor(StatefulProcessor):
             if bool(row["asof_dead"]):
                 self.value.clear()
             else:
-                self.value.update(tuple(_none(row[c]) for c in self.table_cols))
+                self.value.update(tuple(_typed(_none(row[c]), f.dataType)
+                                        for c, f in zip(self.table_cols, self.table_schema.fields)))
         yield out.reset_index(drop=True)
 
     def close(self) -> None:

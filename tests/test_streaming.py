@@ -231,7 +231,11 @@ def _matches_oracle(out, duck, sql):
     cols = [x[0] for x in res.description]
     exp = res.fetchall()
     assert exp, "oracle result is empty"
-    assert _rows(out.columns, [tuple(r) for r in out.collect()]) == _rows(cols, exp)
+    got, want = _rows(out.columns, [tuple(r) for r in out.collect()]), _rows(cols, exp)
+    if got != want:
+        sg, sw = set(got), set(want)
+        raise AssertionError(f"{len(got)} vs {len(want)} rows; only stream: {[x for x in got if x not in sw][:5]}; "
+                             f"only batch: {[x for x in want if x not in sg][:5]}; cols {sorted(cols)}")
 
 
 def test_grace_stream_shuffled_arrival_multi_batch_equals_batch(spark, duck001):
@@ -270,3 +274,41 @@ def test_twin_stream_multi_batch_equals_batch(spark, duck001):
                          "reported_timestamp": F.col("reported_timestamp").cast("timestamp_ntz"),
                          "emit_idx": F.col("emit_idx").cast("int")})
     _matches_oracle(ch, duck001, ORACLE_SQL["twin_changelog"])
+
+
+def test_asof_stream_multi_batch_equals_batch(spark, duck001):
+    """J2 on the test table: purchases see the signup table as of their arrival,
+    across 5 micro-batches (errors are tombstones)."""
+    from streamtab.plans.oracle import ORACLE_SQL
+    runner.use_rocksdb(spark)
+    e = _events_replay(spark, F.col("event_id"), 5)
+    purchases = e.where(F.col("event_type") == "purchase").select("event_id", "user_id", "value")
+    changelog = e.where(F.col("event_type").isin("signup", "error")).select(
+        "event_id", "user_id", F.col("event_id").alias("t_event_id"), F.col("value").alias("t_value"),
+        (F.col("event_type") == "error").alias("is_error"))
+    j = jobs.asof_join(purchases, changelog, "user_id", "event_id", ["event_id", "user_id", "value"],
+                       ["t_event_id", "t_value"], tombstone=F.col("is_error"))
+    out = runner.run_append(spark, j, "asof-table").select(
+        F.col("seq").alias("event_id"), "user_id", "value", "t_event_id", "t_value")
+    _matches_oracle(out, duck001, ORACLE_SQL["stream_table_asof"])
+
+
+def test_leaderboard_stream_multi_batch_equals_batch(spark, duck001):
+    """A8 on the test tables: orders replayed in 5 micro-batches."""
+    from streamtab.operators import joins as J
+    from streamtab.plans import catalog as C
+    from streamtab.plans.oracle import ORACLE_SQL
+    from .conftest import SF001
+    runner.use_rocksdb(spark)
+    o = _replay(spark, spark.read.parquet(f"{SF001}/orders.parquet").withColumn("seq", F.col("o_orderkey")), 5)
+    t = C._t(spark, SF001)
+    c = t.customer.select("c_custkey", "c_name", "c_nationkey")
+    n = t.nation.select("n_nationkey", "n_name")
+    en = (o.join(c, o["o_custkey"] == c["c_custkey"]).join(J.broadcast_if_small(n), F.col("c_nationkey") == n["n_nationkey"])
+           .select("n_nationkey", F.col("o_totalprice").alias("score"), "seq", "n_name", "o_custkey", "c_name"))
+    payload = T.StructType([en.schema["n_name"], en.schema["o_custkey"], en.schema["c_name"]])
+    fin = runner.final_rows(runner.run_changelog(spark, jobs.top_k(en, ["n_nationkey"], payload, 3), "lb-replay"),
+                            ["n_nationkey"])
+    out = fin.select("n_nationkey", "n_name", "rank", F.col("seq").alias("o_orderkey"), "o_custkey", "c_name",
+                     F.col("score").alias("o_totalprice"))
+    _matches_oracle(out, duck001, ORACLE_SQL["leaderboard_top3"])
