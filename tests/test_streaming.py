@@ -312,3 +312,31 @@ def test_leaderboard_stream_multi_batch_equals_batch(spark, duck001):
     out = fin.select("n_nationkey", "n_name", "rank", F.col("seq").alias("o_orderkey"), "o_custkey", "c_name",
                      F.col("score").alias("o_totalprice"))
     _matches_oracle(out, duck001, ORACLE_SQL["leaderboard_top3"])
+
+
+def test_change_counts_exact_stream_multi_batch_equals_batch(spark, duck001):
+    """E6 flagship on the test tables: CSAS -> titles join -> exact grace ->
+    count + latest-by-offset, replayed in 5 micro-batches, equals the batch SQL."""
+    from streamtab.plans import catalog as C
+    from streamtab.plans.oracle import ORACLE_SQL
+    from streamtab.sources.declared import parse_time as pt
+    from .conftest import SF001
+    runner.use_rocksdb(spark)
+    e = _events_replay(spark, F.col("event_id"), 5)
+    k = C._k()
+    ep = F.floor("value").cast("int")
+    s = e.where(F.col("event_type") != "purchase").select(
+        F.col("event_id").alias("uuid"), F.col("user_id").alias("title_id"), (k % 3).alias("season_id"),
+        F.when(F.col("event_id") % 4 != 0, (ep + k) % 13).alias("new_episode_count"),
+        pt(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).cast("timestamp").alias("event_ts"))
+    titles = C._t(spark, SF001).customer.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("title"))
+    en = s.join(titles, s["title_id"] == titles["id"]).drop("id").withColumn("b", F.col("title_id") % C.PARTITIONS)
+    m = jobs.mark_late_stream(en, "b", "uuid", "event_ts", C.DAY, "10 minutes")
+    agg = (m.where(~F.col("is_late")).groupBy("title_id", "season_id", "window_start", "window_end")
+             .agg(F.any_value("title").alias("title"), F.count(F.lit(1)).alias("change_count"),
+                  F.max_by("new_episode_count", F.when(F.col("new_episode_count").isNotNull(), F.col("uuid")))
+                   .alias("episode_count")))
+    fin = runner.final_rows(runner.run_changelog(spark, agg, "ctas-replay"), ["title_id", "season_id", "window_start"])
+    fin = (fin.withColumn("key", F.concat_ws("|+|", F.col("title_id").cast("string"), F.col("season_id").cast("string")))
+              .withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")}))
+    _matches_oracle(fin, duck001, ORACLE_SQL["ctas_counts"])
