@@ -340,3 +340,19 @@ def test_change_counts_exact_stream_multi_batch_equals_batch(spark, duck001):
     fin = (fin.withColumn("key", F.concat_ws("|+|", F.col("title_id").cast("string"), F.col("season_id").cast("string")))
               .withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")}))
     _matches_oracle(fin, duck001, ORACLE_SQL["ctas_counts"])
+
+
+@pytest.mark.parametrize("name", ["stream_hopping_final", "stream_session_final"])
+def test_watermark_windows_multi_batch_equal_batch(spark, duck001, name):
+    """W7/W8 streaming with watermarks over 6 micro-batches (arrival in event
+    order, so nothing is late) equal the batch SQL restricted to closed windows."""
+    from streamtab.plans import catalog as C
+    from streamtab.plans.streams import STREAM_ORACLE_SQL
+    e = _events_replay(spark, F.col("event_id"), 6).select("user_id", F.col("ts").cast("timestamp").alias("ts"))
+    if name == "stream_hopping_final":
+        agg = jobs.windowed_final(e, ["user_id"], "ts", "2 days", C.GRACE, [F.count(F.lit(1)).alias("n")], slide=C.DAY)
+    else:
+        agg = jobs.session_final(e, ["user_id"], "ts", C.SESSION_GAP, C.GRACE, [F.count(F.lit(1)).alias("n")])
+    out = runner.run_append(spark, agg, name)
+    out = out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
+    _matches_oracle(out, duck001, STREAM_ORACLE_SQL[name])
