@@ -17,6 +17,7 @@ from __future__ import annotations
 import os
 import zlib
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -34,7 +35,13 @@ END_ID = 1
 
 
 class WordIds:
-    """Little-endian uint32 ids of white-space separated words, cached."""
+    """Little-endian uint32 ids of white-space separated words, cached.
+
+    White space never lies inside a token, so a text's ids are its words' ids.
+    An ASCII word has the ids of its lower-case form, and a single full stop or
+    comma after an ASCII letter or digit is always a token of its own.  The
+    cache keeps two generations: words in use move to the newer one.
+    """
 
     def __init__(self, path: str, cache_words: int = CACHE_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -42,23 +49,50 @@ class WordIds:
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
         self.cache: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
         self.cache_words = cache_words
 
-    def learn(self, words) -> None:
-        import numpy as np
+    def learn(self, words: set[bytes]) -> None:
         if len(self.cache) > self.cache_words:
-            self.cache.clear()
-        new = [w for w in words if w not in self.cache]
-        for i in range(0, len(new), 50_000):
-            part = new[i:i + 50_000]
-            got = self.tok.encode_batch([w.decode() for w in part], add_special_tokens=False)
-            for w, e in zip(part, got):
-                self.cache[w] = np.asarray(e.ids, "<u4").tobytes()
+            self.old, self.cache = self.cache, {}
+        cache, old = self.cache, self.old
+        parts, need = [], set()
+        for w in words - cache.keys():
+            if (got := old.get(w)) is not None:
+                cache[w] = got
+                continue
+            base, tail = w.lower() if w.isascii() else w, b""
+            if base[-1:] in (b".", b",") and base[-2:-1].isalnum():
+                base, tail = base[:-1], base[-1:]
+            parts.append((w, base, tail))
+            need.update((base, tail) if tail else (base,))
+        new = [x for x in need if x not in cache]
+        for i in range(0, len(new), 20_000):
+            part = new[i:i + 20_000]
+            for w, e in zip(part, self.tok.encode_batch_fast([x.decode() for x in part], add_special_tokens=False)):
+                cache[w] = np.array(e.ids, "<u4").tobytes()
+        for w, base, tail in parts:
+            cache[w] = cache[base] + cache[tail] if tail else cache[base]
+
+    def encode_all(self, bodies: list[bytes | None]):
+        """The ids of every body, in order."""
+        lists, size = [], 0
+        for body in bodies:
+            lists.append(body.split() if body else [])
+            size += len(body or b"")
+            if size > 8 << 20:
+                yield from self._flush(lists)
+                lists, size = [], 0
+        yield from self._flush(lists)
+
+    def _flush(self, lists):
+        self.learn(set().union(*lists))
+        get = self.cache.__getitem__
+        for words in lists:
+            yield b"".join(map(get, words))
 
     def encode(self, body: bytes | None) -> bytes:
-        words = body.split() if body else []
-        self.learn(dict.fromkeys(words))
-        return b"".join(map(self.cache.__getitem__, words))
+        return next(iter(self.encode_all([body])))
 
 
 PIECES = T.StructType([T.StructField("piece", T.IntegerType()), T.StructField("start", T.LongType()),
@@ -81,8 +115,8 @@ def tokenize(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "
         for b in batches:
             at, cols, size = [], [[] for _ in types], 0
             keys = b.column(0)
-            for i, body in enumerate(b.column(1).to_pylist()):
-                ids = words.encode(body) + end
+            for i, ids in enumerate(words.encode_all(b.column(1).to_pylist())):
+                ids += end
                 for p, lo in enumerate(range(0, len(ids), step)):
                     part = ids[lo:lo + step]
                     at.append(i)

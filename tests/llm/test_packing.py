@@ -34,7 +34,7 @@ def check_packing(rows, capacity):
 
 def test_word_cache_equals_whole_text_encoding():
     texts = ["It's  they'll WE'VE don't", "A\u0301 e\u0301te\u0301 \u00c9T\u00c9 \u0130stanbul \u03a3\u03a3", "x\u00a0y\u2003z 12,345.67 a1b2", "don 't I 'm",
-             "\u4f60\u597d \u4e16\u754c \U0001f600\U0001f600 ok\u0000zero", "", " \n\t", "\u0915\u094d\u0937 \u0301alone tail\u200bword"]
+             "\u4f60\u597d \u4e16\u754c \U0001f600\U0001f600 ok\u0000zero", "", " \n\t", "Word, word. WORD., a,. (x). 3. 4, \u00e9. \u00c9, n\u0303., it's. l'll,", "\u0915\u094d\u0937 \u0301alone tail\u200bword"]
     w = packing.WordIds(P.path("word_bpe_49k.json"))
     for t in texts:
         assert np.frombuffer(w.encode(t.encode()), "<u4").tolist() + [1] == whole_ids(t), t
