@@ -12,9 +12,14 @@
    shingles, and verified links are joined into classes.
 
 A bucket is never expanded into all pairs.  In each round a few members of a
-bucket (1, 4, 16, ...) are compared with those members that are still in other
+bucket (1, 16, 64, ...) are compared with those members that are still in other
 classes, then they leave the bucket, until every bucket holds one class or no
-member: every pair of a bucket is compared, or already in one class.
+member: every pair of a bucket is compared, ruled out, or already in one class.
+Ruled out are pairs whose registers agree too little (3.5 standard deviations
+below the threshold), and pairs by a bound: if a set holds the share u of its weight in
+elements that no other set has, and its partner v, their probability Jaccard is
+at most (1 - u)(1 - v) / (1 - u v).  Members with the least such share go first,
+since they link most.
 
 Defined results: a null text is a class of its own (class_id is its doc_id);
 texts without a word are copies of each other only if equal; a text of fewer
@@ -37,6 +42,12 @@ from streamtab.llm.decontaminate import words_of
 WIDTH = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 25, 5
+#: Registers of a signature: the first BANDS * ROWS are banded, all estimate the similarity.
+REGISTERS = 250
+#: Standard deviations by which a pair's estimate may fall below the threshold.
+SIGMAS = 3.5
+#: Bits kept of every register, for the estimate of a pair's similarity.
+SKETCH_BITS = 4
 #: Most members compared at once per bucket and round (Spark limits groups before the shuffle up to 1,000).
 GROUP_LIMIT = 1000
 #: Shingles hashed together in one numpy pass.
@@ -108,6 +119,21 @@ def band_hashes(won: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return out.view(np.int64)
 
 
+def sketches(won: np.ndarray) -> np.ndarray:
+    """(n, words) int64: SKETCH_BITS bits of every register's winner.  Winners
+    that differ differ in half of their bits."""
+    bits = ((_mix(won ^ _M2)[:, :, None] >> np.arange(SKETCH_BITS, dtype=np.uint64)) & np.uint64(1)).astype(np.uint8)
+    flat = bits.reshape(len(won), -1)
+    packed = np.packbits(np.pad(flat, ((0, 0), (0, -flat.shape[1] % 64))), axis=1)
+    return np.ascontiguousarray(packed).view(np.int64)
+
+
+def sketch_limit(m: int, threshold: float) -> int:
+    """Most differing bits that a pair at the threshold shows, up to SIGMAS standard deviations."""
+    far, b = 1 - threshold, SKETCH_BITS
+    return int(m * far * b / 2 + SIGMAS * (m * (far * b / 4 + threshold * far * b * b / 4)) ** 0.5)
+
+
 def probability_jaccard(ea: np.ndarray, wa: np.ndarray, eb: np.ndarray, wb: np.ndarray) -> float:
     """Exact probability Jaccard of two weighted sets (sorted elements):
     the sum over common i of 1 / sum_j max(a_j / a_i, b_j / b_i)."""
@@ -125,7 +151,7 @@ def probability_jaccard(ea: np.ndarray, wa: np.ndarray, eb: np.ndarray, wb: np.n
     return float((x / total).sum())
 
 
-def _signature(bands: int, rows: int, width: int):
+def _signature(bands: int, rows: int, width: int, m: int):
     def run(batches):
         hashes = WordHash()
         for b in batches:
@@ -138,13 +164,15 @@ def _signature(bands: int, rows: int, width: int):
                 if size > PASS_SHINGLES or i == len(bodies) - 1:
                     lens = np.array([len(p[0]) for p in part])
                     won = registers(np.concatenate([p[0] for p in part]), np.concatenate([p[1] for p in part]),
-                                    np.repeat(np.arange(len(part)), lens), len(part), bands * rows)
+                                    np.repeat(np.arange(len(part)), lens), len(part), m)
                     got = band_hashes(won, bands, rows)
+                    sk = sketches(won)
+                    sk = pa.ListArray.from_arrays(pa.array(np.arange(len(part) + 1) * sk.shape[1], pa.int32()), pa.array(sk.reshape(-1)))
                     flat = pa.array(got[lens > 0].reshape(-1), pa.int64())
                     ends = np.concatenate([[0], np.cumsum(np.where(lens > 0, bands, 0))]).astype(np.int32)
                     yield pa.RecordBatch.from_arrays(
-                        [keys.slice(lo, len(part)), ids.slice(lo, len(part)), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)],
-                        names=["key", "id", "bands"])
+                        [keys.slice(lo, len(part)), ids.slice(lo, len(part)), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat), sk],
+                        names=["key", "id", "bands", "sketch"])
                     part, size, lo = [], 0, i + 1
     return run
 
@@ -160,6 +188,25 @@ def _vectors(width: int):
     return run
 
 
+def _shares():
+    """(key, element, share of the set's weight) of every shingle."""
+    def run(batches):
+        for b in batches:
+            for k, e, w in zip(*(b.column(i).to_pylist() for i in range(3))):
+                w = np.frombuffer(w, np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array([k] * len(w), pa.binary()), pa.array(np.frombuffer(e, np.int64)),
+                                                  pa.array(w / w.sum())], names=["key", "element", "share"])
+    return run
+
+
+def own_shares(vectors: DataFrame) -> DataFrame:
+    """(key, own): the share of a set's weight in elements that no other set holds."""
+    e = vectors.mapInArrow(_shares(), "key binary, element long, share double")
+    once = e.groupBy("element").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("key"), F.min("share").alias("share")).where("n = 1")
+    own = once.groupBy("key").agg(F.sum("share").alias("own"))
+    return vectors.select("key").join(own, "key", "left").select("key", F.coalesce("own", F.lit(0.0)).alias("own"))
+
+
 def _verify(threshold: float):
     def run(batches):
         for b in batches:
@@ -202,17 +249,23 @@ def components(edges: DataFrame) -> DataFrame:
     return e.select(F.col("a").alias("key"), F.col("b").alias("root")).union(e.select(F.col("b").alias("key"), F.col("b").alias("root")).distinct())
 
 
+def _mixed(rooted: DataFrame, group: str) -> DataFrame:
+    """The groups that hold more than one root."""
+    return rooted.groupBy(group).agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select(group)
+
+
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH,
-            threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+            threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS, m: int = REGISTERS) -> DataFrame:
     """(doc_id, text_key, class_key, class_id) per row: class_id is the smallest
     doc_id of the row's class, text_key the digest of its text and class_key
     the smallest text_key of the class (both null for a null text)."""
     common.prepare(docs.sparkSession)
     base = docs.select(F.col(key).alias("id"), F.col(text).cast("binary").alias("body")).withColumn("key", F.unhex(F.md5("body")))
     texts = base.where("body is not null")
-    signed = texts.select("key", "id", "body").mapInArrow(_signature(bands, rows, width), T.StructType(
-        [T.StructField("key", T.BinaryType()), base.schema["id"], T.StructField("bands", T.ArrayType(T.LongType()))]))
-    reps = common.materialize(signed.groupBy("key").agg(F.min("id").alias("id"), F.first("bands").alias("bands")), "signatures")
+    signed = texts.select("key", "id", "body").mapInArrow(_signature(bands, rows, width, max(m, bands * rows)), T.StructType(
+        [T.StructField("key", T.BinaryType()), base.schema["id"], T.StructField("bands", T.ArrayType(T.LongType())),
+         T.StructField("sketch", T.ArrayType(T.LongType()))]))
+    reps = common.materialize(signed.groupBy("key").agg(F.min("id").alias("id"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "signatures")
 
     banded = reps.select("key", F.explode("bands").alias("hash"))
     shared = banded.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("rep")).where("n > 1")
@@ -232,19 +285,26 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int
     links = common.materialize(verified(first), "verified")
     roots = components(links)
     alive = members.where("key <> rep").select("hash", "key")
-    k = 4
+    k, facts = 16, None
+    m = max(m, bands * rows)
     while True:
         # members still in more than one class of their bucket
         rooted = alive.join(roots, "key", "left").select("hash", "key", F.coalesce("root", "key").alias("root"))
-        open_ = (rooted.groupBy("hash").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-                 .where("lo <> hi").select("hash"))
-        alive = common.materialize(rooted.join(open_, "hash"), "open")
+        alive = common.materialize(rooted.join(_mixed(rooted, "hash"), "hash"), "open")
         if alive.isEmpty():
             break
-        rank = F.row_number().over(Window.partitionBy("hash").orderBy("key"))
-        picked = alive.withColumn("rank", rank).where(F.col("rank") <= k)
-        p = picked.select("hash", F.col("key").alias("a"), F.col("root").alias("ra"), "rank")
-        pairs = (alive.join(p, "hash").where("root <> ra")
+        if facts is None:
+            some = alive.select("key").distinct()
+            facts = common.materialize(own_shares(vectors.join(some, "key", "left_semi")).join(reps.select("key", "sketch", "bands"), "key"), "facts")
+        alive = alive.join(facts, "key")
+        rank = F.row_number().over(Window.partitionBy("hash").orderBy("own", "key"))
+        p = common.materialize(alive.withColumn("rank", rank).where(F.col("rank") <= k)
+                               .select("hash", F.col("key").alias("a"), F.col("root").alias("ra"), F.col("own").alias("oa"), F.col("sketch").alias("sa"), F.col("bands").alias("ba")), "picked")
+        bound = (1 - F.col("own")) * (1 - F.col("oa")) >= (threshold - 1e-9) * (1 - F.col("own") * F.col("oa"))
+        differ = sum((F.bit_count(F.get("sketch", i).bitwiseXOR(F.get("sa", i))) for i in range(-(-m * SKETCH_BITS // 64))), F.lit(0))
+        # of the buckets that a pair shares, that of the least hash compares it
+        once = F.col("hash") == F.array_min(F.array_intersect("bands", "ba"))
+        pairs = (alive.join(p, "hash").where((F.col("root") != F.col("ra")) & bound & (differ <= sketch_limit(m, threshold)) & once)
                  .select(F.least("a", "key").alias("a"), F.greatest("a", "key").alias("b")).distinct())
         links = common.materialize(links.union(verified(pairs)), "verified")
         roots = components(links)

@@ -97,7 +97,7 @@ def test_every_pair_of_a_bucket_is_tried(spark):
     got = [r.class_id for r in nd.classes(df, bands=1, rows=1, threshold=0.7).orderBy("doc_id").collect()]
     vec = bags(texts)
     won = nd.registers(np.concatenate([v[0] for v in vec]), np.concatenate([v[1] for v in vec]),
-                       np.repeat(np.arange(40), [len(v[0]) for v in vec]), 40, 1)[:, 0]
+                       np.repeat(np.arange(40), [len(v[0]) for v in vec]), 40, nd.REGISTERS)[:, 0]
     root = list(range(40))
     for _ in range(40):
         for i in range(40):
