@@ -95,6 +95,16 @@ class WordIds:
         return next(iter(self.encode_all([body])))
 
 
+_WORDS: dict[str, WordIds] = {}
+
+
+def word_ids(path: str) -> WordIds:
+    """The cache of this Python worker, kept from task to task."""
+    if path not in _WORDS:
+        _WORDS[path] = WordIds(path)
+    return _WORDS[path]
+
+
 PIECES = T.StructType([T.StructField("piece", T.IntegerType()), T.StructField("start", T.LongType()),
                        T.StructField("length", T.LongType()), T.StructField("ids", T.BinaryType())])
 
@@ -110,7 +120,7 @@ def tokenize(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "
     step = capacity * 4
 
     def run(batches):
-        words = WordIds(tokenizer)
+        words = word_ids(tokenizer)
         types = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64()]
         for b in batches:
             at, cols, size = [], [[] for _ in types], 0
