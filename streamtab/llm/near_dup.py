@@ -12,7 +12,7 @@
    shingles, and verified links are joined into classes.
 
 A bucket is never expanded into all pairs.  In each round a few members of a
-bucket (1, 16, 64, ...) are compared with those members that are still in other
+bucket (1, 32, then up to 1,000) are compared with those members that are still in other
 classes, then they leave the bucket, until every bucket holds one class or no
 member: every pair of a bucket is compared, ruled out, or already in one class.
 Ruled out are pairs whose registers agree too little (3.5 standard deviations
@@ -48,6 +48,8 @@ REGISTERS = 250
 SIGMAS = 3.5
 #: Bits kept of every register, for the estimate of a pair's similarity.
 SKETCH_BITS = 4
+#: Members of a mixed bucket that are compared first.
+FIRST_MEMBERS = 32
 #: Most members compared at once per bucket and round (Spark limits groups before the shuffle up to 1,000).
 GROUP_LIMIT = 1000
 #: Shingles hashed together in one numpy pass.
@@ -223,15 +225,11 @@ def components(edges: DataFrame) -> DataFrame:
     """(key, root) for every key of the links (a, b): root is the smallest key
     of its connected component.  Alternates large-star and small-star steps,
     whose messages stay proportional to the links; each round is written to
-    the shared folder, and the loop ends when the links no longer change."""
+    the shared folder, and the loop ends when the links are stars."""
     e = common.materialize(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "links")
     if e.isEmpty():
         return e.select(F.col("a").alias("key"), F.col("b").alias("root"))
 
-    def print_of(d):
-        return tuple(d.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-
-    before = print_of(e)
     while True:
         # large star: every larger neighbour links to the smallest neighbour (or the node itself)
         both = e.select("a", "b").union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -242,10 +240,10 @@ def components(edges: DataFrame) -> DataFrame:
         small = (large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .union(low.select("a", F.col("m").alias("b"))).where("a <> b").distinct())
         e = common.materialize(small, "links")
-        after = print_of(e)
-        if after == before:
+        # done when every node has one link, to a node that has none itself
+        ends = e.select("a", F.lit(1).alias("out")).union(e.select("b", F.lit(0)).distinct()).groupBy("a")
+        if ends.agg(F.sum("out").alias("out"), F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
             break
-        before = after
     return e.select(F.col("a").alias("key"), F.col("b").alias("root")).union(e.select(F.col("b").alias("key"), F.col("b").alias("root")).distinct())
 
 
@@ -285,18 +283,17 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int
     links = common.materialize(verified(first), "verified")
     roots = components(links)
     alive = members.where("key <> rep").select("hash", "key")
-    k, facts = 16, None
+    k, facts = FIRST_MEMBERS, None
     m = max(m, bands * rows)
     while True:
         # members still in more than one class of their bucket
-        rooted = alive.join(roots, "key", "left").select("hash", "key", F.coalesce("root", "key").alias("root"))
+        rooted = alive.drop("root").join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
         alive = common.materialize(rooted.join(_mixed(rooted, "hash"), "hash"), "open")
         if alive.isEmpty():
             break
         if facts is None:
-            some = alive.select("key").distinct()
-            facts = common.materialize(own_shares(vectors.join(some, "key", "left_semi")).join(reps.select("key", "sketch", "bands"), "key"), "facts")
-        alive = alive.join(facts, "key")
+            facts = own_shares(vectors.join(alive.select("key").distinct(), "key", "left_semi")).join(reps.select("key", "sketch", "bands"), "key")
+            alive = common.materialize(alive.join(facts, "key"), "open")
         rank = F.row_number().over(Window.partitionBy("hash").orderBy("own", "key"))
         p = common.materialize(alive.withColumn("rank", rank).where(F.col("rank") <= k)
                                .select("hash", F.col("key").alias("a"), F.col("root").alias("ra"), F.col("own").alias("oa"), F.col("sketch").alias("sa"), F.col("bands").alias("ba")), "picked")
@@ -308,8 +305,8 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int
                  .select(F.least("a", "key").alias("a"), F.greatest("a", "key").alias("b")).distinct())
         links = common.materialize(links.union(verified(pairs)), "verified")
         roots = components(links)
-        alive = alive.join(p.select("hash", F.col("a").alias("key")), ["hash", "key"], "left_anti").select("hash", "key")
-        k = min(4 * k, GROUP_LIMIT)
+        alive = alive.join(p.select("hash", F.col("a").alias("key")), ["hash", "key"], "left_anti")
+        k = min(32 * k, GROUP_LIMIT)
 
     named = reps.select("key", "id").join(roots, "key", "left").select("key", "id", F.coalesce("root", "key").alias("root"))
     least = named.groupBy("root").agg(F.min("id").alias("class_id"))
