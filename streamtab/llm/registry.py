@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamtab.llm import common, decontaminate, near_dup, packing, url_filter
+from streamtab.llm import (common, decontaminate, html_extract, langid, near_dup, packing, quality, quality_rules,
+                           toxicity, url_filter)
 
 
 def tokenizer_path(name: str) -> str:
@@ -21,10 +22,35 @@ URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.
              ("com", "/fr/", "allow"), ("com", "/de/", "block")]
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    common.prepare(spark)
+    docs = common.table(spark, sf_dir, "documents")
+    left_out = common.remainder("doc_id", 3) == 1
+    profiles = langid.learn(docs.where(~left_out))
+    found = langid.identify(docs.select("doc_id", "text"), profiles)
+    return found.select("doc_id", left_out.alias("held_out"), "lang_pred", "score")
+
+
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(common.table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
+    left_out = common.remainder("doc_id", 5) == 0
+    model = toxicity.learn(docs.where(~left_out), common.table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select("doc_id", left_out.alias("held_out"), "score", "predicted")
+
+
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.classes(common.table(spark, sf_dir, "documents")).select("doc_id", "class_id")
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality_rules.judge(common.table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.search(docs, common.table(spark, sf_dir, "benchmark"))
@@ -37,6 +63,13 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op9_quality_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
+    left_out = common.remainder("doc_id", 4) == 2
+    model = quality.learn(docs.where(~left_out), common.table(spark, sf_dir, "labels"))
+    return quality.score(docs, model).select("doc_id", left_out.alias("held_out"), "score", "predicted")
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     common.prepare(spark)
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
@@ -45,7 +78,9 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_near_duplicates, op6_decontamination, op7_packing, op10_url_filter)
+    f.__name__: f for f in (
+        op1_language_id, op2_html_text, op3_toxicity, op4_near_duplicates, op5_quality_rules, op6_decontamination,
+        op7_packing, op9_quality_neighbours, op10_url_filter)
 }
 
 ORACLE_SQL: dict[str, str] = {
