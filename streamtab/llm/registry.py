@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamtab.llm import (common, decontaminate, html_extract, langid, near_dup, packing, quality, quality_rules,
+from streamtab.llm import (common, decontaminate, html_extract, langid, lm_score, near_dup, packing, quality, quality_rules,
                            toxicity, url_filter)
 
 
@@ -63,6 +63,11 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lm_score.score(docs, tokenizer_path("byte_bpe_50k.json"), common.remainder("doc_id", 7) == 2)
+
+
 def op9_quality_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
     left_out = common.remainder("doc_id", 4) == 2
@@ -80,7 +85,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_language_id, op2_html_text, op3_toxicity, op4_near_duplicates, op5_quality_rules, op6_decontamination,
-        op7_packing, op9_quality_neighbours, op10_url_filter)
+        op7_packing, op8_lm_score, op9_quality_neighbours, op10_url_filter)
 }
 
 ORACLE_SQL: dict[str, str] = {
