@@ -25,7 +25,7 @@ DIM = 8
 #: Words averaged together (a few words decide).
 WINDOW = 2
 #: Labelled documents trained on, at most, of either label.
-TRAIN_TOXIC, TRAIN_CLEAN = 2_000, 4_000
+TRAIN_TOXIC, TRAIN_CLEAN = 1_200, 2_400
 EPOCHS = 5
 STRIP = "".join(map(chr, range(33, 48))) + ":;<=>?@[\\]^_`{|}~"
 _P = np.uint64(0x100000001B3)
@@ -36,6 +36,15 @@ def words_of(body: bytes | None) -> list[str]:
 
 
 def subwords(words: list[str], buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
+    """As ``_subwords``, in parts of bounded size."""
+    parts = [_subwords(words[i:i + 20_000], buckets) for i in range(0, len(words), 20_000)]
+    if not parts:
+        return np.empty(0, np.int32), np.zeros(1, np.int64)
+    ends = np.cumsum([0] + [len(p[0]) for p in parts])
+    return np.concatenate([p[0] for p in parts]), np.concatenate([[0]] + [p[1][1:] + e for p, e in zip(parts, ends)])
+
+
+def _subwords(words: list[str], buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """Bucket numbers of all words' subwords, and where each word's start (one longer than words)."""
     bare = ["<" + (w.strip(STRIP) or w) + ">" for w in words]
     lens = np.array([len(w) for w in bare], np.int64)
@@ -64,7 +73,7 @@ def subwords(words: list[str], buckets: int = BUCKETS) -> tuple[np.ndarray, np.n
         x ^= x >> np.uint64(32)
     owner = np.concatenate(owner)
     order = np.argsort(owner, kind="stable")
-    return (x[order] % np.uint64(buckets)).astype(np.int64), np.searchsorted(owner[order], np.arange(len(words) + 1))
+    return (x[order] % np.uint64(buckets)).astype(np.int32), np.searchsorted(owner[order], np.arange(len(words) + 1))
 
 
 def windows_best(s: np.ndarray, width: int) -> tuple[float, int, int]:
@@ -92,11 +101,12 @@ class Model:
         return (np.add.reduceat(table[ids], at[:-1]) / np.diff(at)).astype(np.float32)
 
 
-def fit(texts: list[list[str]], labels: np.ndarray, prior: float, seed: int = 7, width: int = WINDOW) -> Model:
-    """Joint training by Adagrad on each document's highest window."""
+def fit(texts, labels: np.ndarray, prior: float, seed: int = 7, width: int = WINDOW) -> Model:
+    """Joint training by Adagrad on each document's highest window.  ``texts``:
+    lists of words, read once."""
     rng = np.random.default_rng(seed)
-    vocab = {w: i for i, w in enumerate(dict.fromkeys(w for t in texts for w in t))}
-    docs = [np.fromiter((vocab[w] for w in t), np.int64, len(t)) for t in texts]
+    vocab: dict[str, int] = {}
+    docs = [np.fromiter((vocab.setdefault(w, len(vocab)) for w in t), np.int32, len(t)) for t in texts]
     y = labels.astype(np.float64)
     share = min(max(float(y.mean()), 1e-6), 1 - 1e-6)
     prior = min(max(prior, 1e-6), 1 - 1e-6)
@@ -176,7 +186,7 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
             part = part.where(F.pmod(F.xxhash64(key), F.lit(1 << 40)) < int((1 << 40) * 0.98 * limit / n[y]))
         some += [(r.t, r.y) for r in part.select("t", "y").orderBy(F.xxhash64("t")).collect()]
     total = n.get(0, 0) + n.get(1, 0)
-    return fit([words_of(t.encode()) for t, _ in some], np.array([y for _, y in some], np.int64), n.get(1, 0) / total if total else 0.5)
+    return fit((words_of(t.encode()) for t, _ in some), np.array([y for _, y in some], np.int64), n.get(1, 0) / total if total else 0.5)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
