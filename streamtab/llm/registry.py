@@ -65,7 +65,7 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
-    return lm_score.score(docs, tokenizer_path("byte_bpe_50k.json"), common.remainder("doc_id", 7) == 2)
+    return lm_score.score(docs, tokenizer_path("byte_bpe_50k.tiktoken"), common.remainder("doc_id", 7) == 2)
 
 
 def op9_quality_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
