@@ -57,7 +57,9 @@ class WordIds:
             self.old, self.cache = self.cache, {}
         cache, old = self.cache, self.old
         parts, need = [], set()
-        for w in words - cache.keys():
+        for w in words:
+            if w in cache:
+                continue
             if (got := old.get(w)) is not None:
                 cache[w] = got
                 continue

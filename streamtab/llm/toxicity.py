@@ -203,7 +203,7 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             lists = [words_of(x) for x in bodies]
             if len(cache) > 400_000:
                 cache.clear()
-            new = list(set().union(*lists) - cache.keys()) if lists else []
+            new = [w for w in set().union(*lists) if w not in cache]
             for lo in range(0, len(new), 50_000):
                 part = new[lo:lo + 50_000]
                 cache.update(zip(part, m.word_scores(part, table).tolist()))
