@@ -20,9 +20,10 @@ NO_LANGUAGE = 0.999
 
 def _decide(docs: DataFrame, work, keep) -> DataFrame:
     """The rows of ``docs`` that ``keep`` holds for, after ``work`` added its
-    columns to (row, text): input columns of any name stay as they are."""
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text").alias("body"))
-    return work(rows).where(keep).select("row.*")
+    columns.  Input columns go by number meanwhile, so that any name may occur."""
+    numbered = {c: "body" if c == "text" else f"in{i}" for i, c in enumerate(docs.columns)}
+    rows = docs.select(*[F.col(f"`{c}`").alias(k) for c, k in numbered.items()])
+    return work(rows).where(keep).select(*[F.col(k).alias(c) for c, k in numbered.items()])
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from streamtab.session import ensure_checkpoint_dir, scratch_path, ship_package
 
 #: Rows per Arrow batch: texts may be long, so batches stay small.
-ARROW_ROWS = 1000
+ARROW_ROWS = 400
 
 
 def prepare(spark: SparkSession) -> None:

@@ -53,7 +53,7 @@ FIRST_MEMBERS = 32
 #: Most members compared at once per bucket and round (Spark limits groups before the shuffle up to 1,000).
 GROUP_LIMIT = 1000
 #: Shingles hashed together in one numpy pass.
-PASS_SHINGLES = 1_000_000
+PASS_SHINGLES = 150_000
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -70,7 +70,7 @@ class WordHash(dict):
     """word -> 64-bit hash, filled on demand."""
 
     def __missing__(self, w: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 150_000:
             self.clear()
         h = self[w] = xxhash.xxh64_intdigest(w)
         return h

@@ -30,7 +30,7 @@ CAPACITY = 4096
 #: Open bins per task.
 OPEN_BINS = 512
 #: Distinct words whose ids a task caches before it starts again.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 250_000
 END_ID = 1
 
 

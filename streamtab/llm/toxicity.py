@@ -201,7 +201,7 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
         def run(bodies):
             lists = [words_of(x) for x in bodies]
-            if len(cache) > 400_000:
+            if len(cache) > 150_000:
                 cache.clear()
             new = [w for w in set().union(*lists) if w not in cache]
             for lo in range(0, len(new), 50_000):
