@@ -65,8 +65,9 @@ def enum_value(col, allowed) -> Column:
 
 # F10 whole days between two instants, truncating (not calendar midnights)
 def whole_days_between(later, earlier) -> Column:
-    secs = F.unix_timestamp(_c(later).cast("timestamp")) - F.unix_timestamp(_c(earlier).cast("timestamp"))
-    return F.floor(secs / F.lit(86400)).cast("long")
+    micros_between = F.unix_micros(_c(later).cast("timestamp")) - F.unix_micros(_c(earlier).cast("timestamp"))
+    day = F.lit(86_400_000_000)
+    return ((micros_between - micros_between % day) / day).cast("long")
 
 
 # F11 number -> string key

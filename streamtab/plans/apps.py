@@ -84,7 +84,7 @@ def pulse_counts(pulses: DataFrame, final: bool = True) -> DataFrame:
     """Heart rate per patient and 60 s window.  ``final`` keeps windows closed
     by stream time (grace 5 s); otherwise the refining store content."""
     p = _keyed(pulses, S.PULSE).withColumn("ts", parse_time("timestamp", None))
-    p = p.withColumn("b", F.abs(F.hash("key")) % PARTITIONS)
+    p = p.withColumn("b", F.pmod(F.hash("key"), F.lit(PARTITIONS)))
     m = win.mark_late(p, ["b"], ["seq"], "ts", PULSE_WINDOW, PULSE_GRACE)
     counts = (m.where(~F.col("is_late")).groupBy("key", "window_start", "window_end")
                 .agg(F.count(F.lit(1)).alias("heart_rate"), F.max("ts").alias("beat_ts")))
@@ -146,7 +146,7 @@ def change_counts(titles: DataFrame, changes: DataFrame) -> DataFrame:
     s = season_length_changes(changes).withColumn("event_ts", parse_time("created_at"))
     t = tables.latest(titles, "id", "seq", ["title"]).select(F.col("id").alias("t_id"), "title")
     enriched = joins.stream_table_join(s, t, s["title_id"] == t["t_id"]).drop("t_id")
-    m = win.mark_late(enriched.withColumn("b", F.abs(F.hash("rowkey")) % PARTITIONS),
+    m = win.mark_late(enriched.withColumn("b", F.pmod(F.hash("rowkey"), F.lit(PARTITIONS))),
                       ["b"], ["seq"], "event_ts", CHANGE_WINDOW, CHANGE_GRACE)
     return (m.where(~F.col("is_late")).groupBy("title_id", "season_id", "window_start", "window_end")
               .agg(F.any_value("title").alias("title"), F.count(F.lit(1)).alias("change_count"),

@@ -86,7 +86,7 @@ def main(argv=None) -> int:
     argv = argv if argv is not None else sys.argv[1:]
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     names = argv[1:] or list(ORACLE_SQL) + list(STREAM_ORACLE_SQL)
-    spark = get_session("local[8]")
+    spark = get_session("local[8]", partitions=8)
     con = duckdb_conn(sf_dir)
     bad = 0
     for n in names:

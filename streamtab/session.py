@@ -24,17 +24,19 @@ DEFAULT_CONF = {
 }
 
 
-def get_session(master: str | None = None, partitions: int = 8,
+def get_session(master: str | None = None, partitions: int | None = None,
                 app: str = "streamtab", extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the package defaults.
 
-    ``master`` is only applied when given: on a cluster the launcher decides.
+    ``master`` and ``partitions`` are only applied when given: on a cluster the
+    launcher decides.
     """
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(partitions)
+    if partitions:
+        conf["spark.sql.shuffle.partitions"] = str(partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
@@ -68,10 +70,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the launcher sets it to shared storage and we only read it.
-    Only when it is unset (local tests) do we create a private folder.
+    Only on a local master do we create a private folder where it is unset.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder shared by all executors (master {master})")
         d = tempfile.mkdtemp(prefix="streamtab-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:

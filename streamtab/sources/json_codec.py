@@ -34,7 +34,8 @@ def decode(col: str | Column, schema: T.StructType, naming: str = "as_is",
     parsed = F.from_json(c, schema, {"mode": mode})
     if naming == "as_is":
         return parsed
-    return F.struct(*[parsed[f.name].alias(snake(f.name)) for f in schema.fields])
+    renamed = F.struct(*[parsed[f.name].alias(snake(f.name)) for f in schema.fields])
+    return F.when(parsed.isNotNull(), renamed)          # a null text (a tombstone) stays null
 
 
 def decode_columns(df: DataFrame, col: str, schema: T.StructType, naming: str = "as_is",
@@ -54,7 +55,7 @@ def split_keyed_line(line: str | Column = "value", sep: str = "|") -> tuple[Colu
     """Split ``key<sep>json`` on the *first* separator only."""
     c = F.col(line) if isinstance(line, str) else line
     parts = F.split(c, re.escape(sep), 2)
-    return parts.getItem(0), parts.getItem(1)
+    return F.get(parts, F.lit(0)), F.get(parts, F.lit(1))   # no separator: a null value
 
 
 def decode_keyed_text(df: DataFrame, schema: T.StructType, line: str = "value",
