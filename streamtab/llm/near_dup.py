@@ -274,14 +274,14 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int
         .mapInArrow(_vectors(width), "key binary, e binary, w binary"), "shingles")
 
     def verified(pairs: DataFrame) -> DataFrame:
+        """The links (x, y) of those pairs (a, b) that are similar enough."""
         va = vectors.select(F.col("key").alias("a"), F.col("e").alias("ea"), F.col("w").alias("wa"))
         vb = vectors.select(F.col("key").alias("b"), F.col("e").alias("eb"), F.col("w").alias("wb"))
-        return (pairs.join(vb, "b").join(va, "a").select("a", "b", "ea", "wa", "eb", "wb")
+        return (pairs.join(vb, "b").join(va, "a").select("x", "y", "ea", "wa", "eb", "wb")
                 .mapInArrow(_verify(threshold), "a binary, b binary, ok boolean").select("a", "b"))
 
-    first = members.where("key <> rep").select(F.col("rep").alias("a"), F.col("key").alias("b")).distinct()
-    links = common.materialize(verified(first), "verified")
-    roots = components(links)
+    first = members.where("key <> rep").select(F.col("rep").alias("a"), F.col("key").alias("b")).distinct().select("a", "b", F.col("a").alias("x"), F.col("b").alias("y"))
+    roots = components(verified(first))
     alive = members.where("key <> rep").select("hash", "key")
     k, facts = FIRST_MEMBERS, None
     m = max(m, bands * rows)
@@ -302,9 +302,13 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int
         # of the buckets that a pair shares, that of the least hash compares it
         once = F.col("hash") == F.array_min(F.array_intersect("bands", "ba"))
         pairs = (alive.join(p, "hash").where((F.col("root") != F.col("ra")) & bound & (differ <= sketch_limit(m, threshold)) & once)
-                 .select(F.least("a", "key").alias("a"), F.greatest("a", "key").alias("b")).distinct())
-        links = common.materialize(links.union(verified(pairs)), "verified")
-        roots = components(links)
+                 .select(F.least("a", "key").alias("a"), F.greatest("a", "key").alias("b"),
+                         F.least("ra", "root").alias("x"), F.greatest("ra", "root").alias("y")).distinct())
+        # only the roots of similar members are joined anew
+        merged = components(verified(pairs)).withColumnsRenamed({"key": "old", "root": "new"})
+        moved = roots.join(merged, F.col("root") == F.col("old"), "left").select("key", F.coalesce("new", "root").alias("root"))
+        single = merged.join(roots, F.col("old") == F.col("key"), "left_anti").select(F.col("old").alias("key"), F.col("new").alias("root"))
+        roots = common.materialize(moved.union(single), "roots")
         alive = alive.join(p.select("hash", F.col("a").alias("key")), ["hash", "key"], "left_anti")
         k = min(32 * k, GROUP_LIMIT)
 
