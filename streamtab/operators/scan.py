@@ -7,24 +7,25 @@ Spark form is ``Window.partitionBy(key).orderBy(offset)``, which puts every row
 of a key into one task.  If one key holds a third of the data that task is the
 whole job.
 
-``running`` keeps the window form for ordinary keys and splits *hot* keys
-(more than ``hot_rows`` rows) into chunks of ``chunk_span`` order units:
-
-1. hot keys are found with a partially-aggregated ``count`` per key; the result
-   has at most ``rows / hot_rows`` entries (1e6 keys for 1e12 rows at the
-   default), a bound by construction, so it is broadcast;
-2. each row gets ``chunk = order div chunk_span`` (hot keys) or ``0`` (others);
+``running`` splits every key that holds enough rows into chunks whose bounds
+come from the data:
+
+1. one aggregate gives count, least and greatest order value per key; a key of
+   n rows gets ``min(n / chunk_rows, sqrt(n))`` chunks, so neither a chunk nor
+   the list of a key's chunks grows faster than sqrt(n) (evenly spread order
+   values assumed; offsets, ids and microseconds alike, since the bounds are
+   relative to the key's own range).  Keys of two or more chunks are written
+   once to the shared folder and broadcast only if their files are small;
+2. each row gets its chunk (``0`` for the other keys, ``-1`` for a null order);
 3. the running value is computed inside each ``(key, chunk)`` window;
 4. one summary row per ``(key, chunk)`` carries the chunk total; a window over
-   the summaries (``#chunks`` rows per key) gives the prefix of all earlier
-   chunks, which is joined back on ``(key, chunk)`` and combined.
+   the summaries gives the prefix of all earlier chunks, which is joined back
+   on ``(key, chunk)`` and combined.
 
-With ``adaptive`` (default) one small job first checks whether any key is
-hot; if none is, the plain window plan is used (one shuffle by key).
+If no key has a second chunk, steps 2 and 4 have nothing to do and are left out.
 
 The combine step needs an associative aggregate: count, sum, max, min and
-last-non-null are provided.  The result does not depend on ``hot_rows`` or
-``chunk_span``; tests run the same query with tiny values to cover both paths.
+last-non-null are provided.  The result does not depend on ``chunk_rows``.
 """
 
 from __future__ import annotations
@@ -35,12 +36,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import scratch_path
+from .joins import broadcast_if_small
+
 
 @dataclass(frozen=True)
 class ScanConfig:
-    hot_rows: int = 1 << 20     # a key with more rows than this is split
-    chunk_span: int = 1 << 20   # order units per chunk of a hot key
-    adaptive: bool = True       # look for hot keys first; none -> plain window plan
+    chunk_rows: int = 512       # least mean number of rows in a chunk
 
 
 DEFAULT_SCAN = ScanConfig()
@@ -134,12 +136,31 @@ def _default(dt: T.DataType) -> Column:
     return F.lit(None).cast(dt)
 
 
-def has_hot_keys(df: DataFrame, keys: list[str], cfg: ScanConfig | None = None) -> bool:
-    """One small job: does any key hold more than ``hot_rows`` rows?  (A partial
-    aggregate per key; only a yes/no reaches the driver.)"""
+def _key_columns(df: DataFrame, keys: list[str], prefix: str) -> dict[str, Column]:
+    """Null-safe grouping with plain equality: each key k becomes
+    (coalesce(k, default), isnull(k))."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    out: dict[str, Column] = {}
+    for i, k in enumerate(keys):
+        out[f"__{prefix}k{i}"] = F.coalesce(F.col(k), _default(types[k]))
+        out[f"__{prefix}n{i}"] = F.col(k).isNull()
+    return out
+
+
+def split_keys(df: DataFrame, keys: list[str], order: list[str], cfg: ScanConfig | None = None) -> DataFrame | None:
+    """Step 1: the keys of two or more chunks with ``__chunks``, ``__lo`` and
+    ``__hi``; None when there is no such key."""
     cfg = cfg or scan_config()
-    return bool(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-                  .where(F.col("__n") > cfg.hot_rows).limit(1).count())
+    kcols = _key_columns(df, keys, "s")
+    o, n = F.col(order[0]).cast("double"), F.col("__n")
+    stats = (df.select(*[c.alias(k) for k, c in kcols.items()], o.alias("__o")).groupBy(*kcols)
+               .agg(F.count(F.lit(1)).alias("__n"), F.min("__o").alias("__lo"), F.max("__o").alias("__hi"))
+               .withColumn("__chunks", F.least(F.floor(n / F.lit(cfg.chunk_rows)), F.ceil(F.sqrt(n))))
+               .where(F.col("__chunks") > 1).drop("__n"))
+    path = scratch_path(df.sparkSession, "split-keys")
+    stats.write.parquet(path)
+    found = df.sparkSession.read.schema(stats.schema).parquet(path)
+    return None if found.isEmpty() else found
 
 
 def running_plain(df: DataFrame, keys: list[str], order: list[str], aggs: dict[str, Agg]) -> DataFrame:
@@ -160,42 +181,25 @@ def running(df: DataFrame, keys: list[str], order: list[str], aggs: dict[str, Ag
     entries break ties.  Keys with null parts form their own group, as in SQL
     windows.
     """
-    cfg = cfg or scan_config()
-    if cfg.adaptive and not has_hot_keys(df, keys, cfg):
-        return running_plain(df, keys, order, aggs)
-    return running_chunked(df, keys, order, aggs, cfg)
+    split = split_keys(df, keys, order, cfg)
+    return running_plain(df, keys, order, aggs) if split is None else running_chunked(df, keys, order, aggs, split)
 
 
 def running_chunked(df: DataFrame, keys: list[str], order: list[str], aggs: dict[str, Agg],
-                    cfg: ScanConfig | None = None) -> DataFrame:
-    """The hot-key-safe plan (steps 1-4 of the module docstring)."""
-    cfg = cfg or scan_config()
-    o0 = order[0]
-    # Null-safe grouping with plain equality: each key k becomes (coalesce(k, d),
-    # isnull(k)).  The same columns partition the window and key the join-back,
-    # so the big side keeps its partitioning through the join.
-    types = {f.name: f.dataType for f in df.schema.fields}
-    kcols: list[str] = []
-    for i, k in enumerate(keys):
-        df = df.withColumns({f"__nk{i}": F.coalesce(F.col(k), _default(types[k])),
-                             f"__nn{i}": F.col(k).isNull()})
-        kcols += [f"__nk{i}", f"__nn{i}"]
-
-    # (1) hot keys: partial count per key, keep those above the threshold.  At
-    #     most rows/hot_rows keys qualify, a bound set by construction, so the
-    #     set is broadcast and the flagging is a map-side join (no shuffle).
-    hk = [f"__hk{i}" for i in range(len(kcols))]
-    hot = (df.groupBy(*kcols).agg(F.count(F.lit(1)).alias("__n"))
-             .where(F.col("__n") > cfg.hot_rows)
-             .select(*[F.col(k).alias(h) for k, h in zip(kcols, hk)], F.lit(True).alias("__hot")))
-    cond = [F.col(k) == F.col(h) for k, h in zip(kcols, hk)]
-    flagged = df.join(F.broadcast(hot), cond, "left").drop(*hk)
-
-    # (2) chunk id: 0 for ordinary keys, order div span for hot keys.
-    flagged = flagged.withColumn(
-        "__chunk",
-        F.when(F.col("__hot"), F.floor(F.col(o0) / F.lit(cfg.chunk_span))).otherwise(F.lit(0)).cast("long"),
-    ).drop("__hot")
+                    split: DataFrame) -> DataFrame:
+    """Steps 2-4 of the module docstring, for the keys in ``split``."""
+    # The same columns partition the window and key the join-back, so the big
+    # side keeps its partitioning through the join.
+    kexpr, sk = _key_columns(df, keys, ""), list(_key_columns(df, keys, "s"))
+    kcols = list(kexpr)
+    df = df.withColumns(kexpr)
+    cond = [F.col(k) == F.col(s) for k, s in zip(kcols, sk)]
+    o0 = F.col(order[0]).cast("double")
+    width = (F.col("__hi") - F.col("__lo") + F.lit(1.0)) / F.col("__chunks")
+    chunk = (F.when(F.col("__chunks").isNull(), 0).when(o0.isNull(), -1)
+              .otherwise(F.floor((o0 - F.col("__lo")) / width)))
+    flagged = (df.join(broadcast_if_small(split), cond, "left").withColumn("__chunk", chunk.cast("long"))
+                 .drop(*sk, "__chunks", "__lo", "__hi"))
 
     # (3) running value inside each (key, chunk): the only full shuffle.
     part = kcols + ["__chunk"]
@@ -227,5 +231,5 @@ def running_chunked(df: DataFrame, keys: list[str], order: list[str], aggs: dict
     return out.drop(*drop)
 
 
-__all__ = ["Agg", "ScanConfig", "running", "running_plain", "running_chunked", "has_hot_keys",
+__all__ = ["Agg", "ScanConfig", "running", "running_plain", "running_chunked", "split_keys",
            "set_scan_config", "scan_config", "DEFAULT_SCAN"]

@@ -43,11 +43,24 @@ def branch_id(*preds) -> Column:
 
 def branch(df: DataFrame, *preds) -> list[DataFrame]:
     """One ``when`` chain computes the branch id once; each branch is a filter on
-    it.  The branches share one scan when written together (e.g. a union)."""
+    it.  Each branch reads the input anew; ``branch_map`` maps all in one pass."""
     tagged = df.withColumn("__branch", branch_id(*preds))
     return [tagged.where(F.col("__branch") == i).drop("__branch") for i in range(len(preds))]
 
 
+# P5 + P7 + P6 in one pass: each row takes the value of its branch; rows of no
+# branch are dropped, as they would be by branching and merging.
+def branch_map(df: DataFrame, preds, **cols) -> DataFrame:
+    tagged = df.withColumn("__branch", branch_id(*preds)).where(F.col("__branch").isNotNull())
+
+    def choose(values):
+        out = F.when(F.col("__branch") == 0, values[0])
+        for i, v in enumerate(values[1:], 1):
+            out = out.when(F.col("__branch") == i, v)
+        return out
+    return tagged.withColumns({c: choose(v) for c, v in cols.items()}).drop("__branch")
+
+
 # P6 merge: bag union by name (UNION ALL, no dedup, no order)
 def merge(*dfs: DataFrame) -> DataFrame:
     out = dfs[0]
@@ -66,10 +79,13 @@ def translate(df: DataFrame, text: str = "text", prefix: str = "Translated: ") -
     return df.withColumn(text, F.concat(F.lit(prefix), F.col(text)))
 
 
-# P8 flatMapValues: 0..n outputs per row, position kept (1-based)
-def flat_map(df: DataFrame, array_col, out: str = "item", pos: str = "pos") -> DataFrame:
-    return (df.select("*", F.posexplode(_c(array_col)).alias("__p", out))
-              .withColumn(pos, F.col("__p") + 1).drop("__p"))
+# P8 flatMapValues: 0..n outputs per row, position kept (1-based).  ``keep``
+# drops items before they become rows.
+def flat_map(df: DataFrame, array_col, out: str = "item", pos: str = "pos", keep=None) -> DataFrame:
+    items = F.transform(_c(array_col), lambda x, i: F.struct(x.alias(out), (i + 1).alias(pos)))
+    if keep is not None:
+        items = F.filter(items, lambda s: keep(s[out]))
+    return df.select("*", F.inline(items))
 
 
 # P9 re-key a windowed key to the plain key (keep window bounds as columns)

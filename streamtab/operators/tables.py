@@ -88,8 +88,9 @@ def asof_lookup(stream: DataFrame, changelog: DataFrame, key: str, order: list[s
         F.lit(None).cast(tab.schema["__tv"].dataType).alias("__tv"),
         F.struct(*stream.columns).alias("__s"),
     )
-    both = tab.unionByName(srow)
-    ocols = [f"__o{i}" for i in range(len(order))]
+    # at one position the stream row comes first: it sees earlier records only
+    both = tab.withColumn("__side", F.lit(1)).unionByName(srow.withColumn("__side", F.lit(0)))
+    ocols = [f"__o{i}" for i in range(len(order))] + ["__side"]
     scanned = running(both, ["__k"], ocols, {"__seen": Agg("last", "__tv")}, cfg)
     out = scanned.where(F.col("__s").isNotNull())
     live = F.col("__seen").isNotNull() & ~F.col("__seen.__dead")

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import micros
 from ..session import ensure_checkpoint_dir
-from .scan import Agg, ScanConfig, has_hot_keys, running, running_chunked, running_plain, scan_config
+from .scan import Agg, ScanConfig, running, running_chunked, running_plain, split_keys
 
 
 def _seconds(spec: str | int) -> int:
@@ -115,23 +115,21 @@ def sessions(df: DataFrame, keys: list[str], ts: str, gap: str | int, tiebreak:
 
     Skew-safe form: the previous event time per key is a running max
     (exclusive), a new session starts after a gap, and the session number is a
-    running sum of starts; both are scans, then a plain hash aggregate.  Without
-    hot keys both scans are windows over the same key partitioning (one
-    shuffle).  With hot keys the chunked second scan reads its input three
-    times, so the first scan's result is checkpointed (reliable, below
+    running sum of starts; both are scans over the same key and order, then a
+    plain hash aggregate.  Where keys are split, the second scan reads its input
+    twice, so the first scan's result is checkpointed (reliable, below
     ``spark.checkpoint.dir``) instead of being recomputed.
     """
     g_us = _seconds(gap) * 1_000_000
-    cfg = cfg or scan_config()
     d = df.withColumn("__tsu", micros(ts))
     order = ["__tsu", tiebreak]
-    hot = has_hot_keys(d, keys, cfg) if cfg.adaptive else True
-    scan = (lambda x, a: running_chunked(x, keys, order, a, cfg)) if hot else \
-           (lambda x, a: running_plain(x, keys, order, a))
+    split = split_keys(d, keys, order, cfg)
+    scan = (lambda x, a: running_plain(x, keys, order, a)) if split is None else \
+           (lambda x, a: running_chunked(x, keys, order, a, split))
     d = scan(d, {"__prev": Agg("max", "__tsu", inclusive=False)})
     d = d.withColumn("__new", F.when(F.col("__prev").isNull() |
                                      (F.col("__tsu") - F.col("__prev") > F.lit(g_us)), 1).otherwise(0))
-    if hot and checkpoint:
+    if split is not None and checkpoint:
         ensure_checkpoint_dir(d.sparkSession)
         d = d.checkpoint(eager=True)
     d = scan(d, {"__sid": Agg("sum", "__new")})
@@ -150,35 +148,14 @@ def sessions_native(df: DataFrame, keys: list[str], ts: str, gap: str | int,
                          .agg(*aggs))
 
 
-DENSE_FRAME_ROWS = 10_000
-
-
-def sliding(df: DataFrame, keys: list[str], ts: str, size: str | int, value: str,
-            tiebreak: str | None = None, method: str = "auto",
-            dense_rows: int = DENSE_FRAME_ROWS) -> DataFrame:
+def sliding(df: DataFrame, keys: list[str], ts: str, size: str | int, value: str) -> DataFrame:
     """W9 record-aligned sliding aggregation: for every row, count and sum of
     ``value`` over the same key with event time in ``[ts - size, ts]``.
 
-    ``method="auto"`` runs one small job: if some key has more than
-    ``dense_rows`` rows inside one window-sized span, frames are dense and the
-    prefix method is used; otherwise the range-frame window is cheaper.  Both
-    use the same bucketed partitioning, so a hot key is spread either way.
-    """
-    if method == "auto":
-        size_us = _seconds(size) * 1_000_000
-        dense = (df.groupBy(*keys, F.floor(micros(ts) / F.lit(size_us)).alias("__s"))
-                   .agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > dense_rows)
-                   .limit(1).count() > 0)
-        method = "prefix" if dense else "range"
-    if method == "range":
-        return sliding_range(df, keys, ts, size, value)
-    return sliding_prefix(df, keys, ts, size, value)
-
-
-def sliding_range(df: DataFrame, keys: list[str], ts: str, size: str | int, value: str) -> DataFrame:
-    """W9 with a range-frame window per (key, 4*size bucket) plus context rows
-    (the last ``size`` of the previous bucket).  Spark re-aggregates a range
-    frame whenever its lower bound moves: cheap for sparse frames."""
+    A range-frame window per (key, 4*size bucket) plus context rows (the last
+    ``size`` of the previous bucket), so a hot key is spread over its buckets.
+    Each frame is summed from its own rows: an infinity, NaN or huge value
+    counts only in the frames that hold it."""
     size_us = _seconds(size) * 1_000_000
     width = 4 * size_us
     d = df.withColumn("__tsu", micros(ts)).withColumn("__b", F.floor(F.col("__tsu") / F.lit(width)).cast("long"))
@@ -192,66 +169,6 @@ def sliding_range(df: DataFrame, keys: list[str], ts: str, size: str | int, valu
     return out.select(*df.columns, "window_count", "window_sum")
 
 
-def sliding_prefix(df: DataFrame, keys: list[str], ts: str, size: str | int, value: str) -> DataFrame:
-    """W9 for dense frames, O(n) after the sort.
-
-    * Time buckets four window sizes wide; rows in the last ``size`` of a
-      bucket are copied into the next bucket as context, so each
-      ``(key, bucket)`` partition holds every row its frames need and a hot key
-      is spread over its buckets.
-    * Inside a partition, every row adds two probes: a lower one at
-      ``ts - size`` (ordered before data at that instant) and an upper one at
-      ``ts`` (after data at that instant).  One running sum (ROWS frame, O(n))
-      over the data rows gives a prefix at each probe; the frame is
-      ``upper - lower``.  Spark's range frame would re-aggregate the frame
-      every time its lower bound moves (rows x frame).  Prefixes span at most
-      a few frames, so double sums keep their precision.
-    * The two probes of a row meet in a window over ``(key, bucket, row)``,
-      which the ``(key, bucket)`` hash partitioning already satisfies.
-    """
-    size_us = _seconds(size) * 1_000_000
-    width = 4 * size_us
-    d = (df.withColumn("__tsu", micros(ts))
-           .withColumn("__b", F.floor(F.col("__tsu") / F.lit(width)).cast("long"))
-           .withColumn("__rid", F.monotonically_increasing_id()))
-    payload = [c for c in df.columns if c not in keys]
-    val = F.col(value).cast("double")
-    tsu, b = F.col("__tsu"), F.col("__b")
-
-    def rec(bucket, pos, kind, w, v, nv, with_payload):
-        return F.struct(bucket.alias("__b"), pos.alias("__pos"), F.lit(kind).alias("__kind"),
-                        F.lit(w).alias("__w"), v.alias("__v"), nv.alias("__nv"),
-                        *[(F.col(c) if with_payload else F.lit(None).cast(df.schema[c].dataType)).alias(c)
-                          for c in payload])
-
-    nv = F.when(val.isNotNull(), 1).otherwise(0)
-    zero, none = F.lit(0.0), F.lit(0)
-    # one input row -> its data row, its context copy (if any), its two probes;
-    # one explode, so the row id is evaluated once for all of them
-    is_ctx = tsu >= (b + 1) * F.lit(width) - F.lit(size_us)
-    recs = F.array(rec(b, tsu, 1, 1, val, nv, False),
-                   F.when(is_ctx, rec(b + 1, tsu, 1, 1, val, nv, False)),
-                   rec(b, tsu - F.lit(size_us), 0, 0, zero, none, False),
-                   rec(b, tsu, 2, 0, zero, none, True))
-    allr = (d.select(*keys, "__rid", F.explode(recs).alias("__r")).where(F.col("__r").isNotNull())
-              .select(*keys, "__rid", "__r.*"))
-    w_run = (Window.partitionBy(*keys, "__b").orderBy("__pos", "__kind")
-                   .rowsBetween(Window.unboundedPreceding, 0))
-    pref = allr.withColumns({"__c": F.sum("__w").over(w_run), "__s": F.sum("__v").over(w_run),
-                             "__n": F.sum("__nv").over(w_run)})
-    probes = pref.where(F.col("__kind") != 1)
-    w_row = Window.partitionBy(*keys, "__b", "__rid")
-
-    def lower_of(c, default):
-        return F.coalesce(F.max(F.when(F.col("__kind") == 0, F.col(c))).over(w_row), default)
-
-    n_vals = F.col("__n") - lower_of("__n", F.lit(0))
-    out = (probes.withColumns({"window_count": F.col("__c") - lower_of("__c", F.lit(0)),
-                               "window_sum": F.when(n_vals > 0, F.col("__s") - lower_of("__s", zero))})
-                 .where(F.col("__kind") == 2))
-    return out.select(*df.columns, "window_count", "window_sum")
-
-
 def event_time_with_fallback(df: DataFrame, partition: list[str], order: list[str], ts: str,
                              out: str = "event_ts", policy: str = "fallback",
                              cfg: ScanConfig | None = None) -> DataFrame:

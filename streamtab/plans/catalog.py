@@ -132,9 +132,9 @@ def branch_first_match(spark, d):  # P5
 
 def _merged_documents(doc: DataFrame) -> DataFrame:
     """E2 front half: branch by language, translate the non-English branch, merge."""
-    en, other = st.branch(doc, F.col("lang") == "en", F.col("lang") != "en")
-    return st.merge(en.withColumn("translated", F.lit(False)),
-                    st.translate(other, "text").withColumn("translated", F.lit(True)))
+    return st.branch_map(doc, [F.col("lang") == "en", F.col("lang") != "en"],
+                         translated=[F.lit(False), F.lit(True)],
+                         text=[F.col("text"), F.concat(F.lit("Translated: "), F.col("text"))])
 
 
 def branch_translate_merge(spark, d):  # P5 P7 P6
@@ -146,8 +146,9 @@ def branch_translate_merge(spark, d):  # P5 P7 P6
 
 def entity_flatmap(spark, d):  # P8 F4 F5
     doc = _t(spark, d).documents.select("doc_id", "text")
-    ex = st.flat_map(doc.select("doc_id", fx.tokens("text").alias("toks")), "toks", "entity", "pos")
-    return ex.where(fx.tracked("entity", TRACKED_ENTITIES)).select("doc_id", "pos", "entity")
+    ex = st.flat_map(doc.select("doc_id", fx.tokens("text").alias("toks")), "toks", "entity", "pos",
+                     keep=lambda t: fx.tracked(t, TRACKED_ENTITIES))
+    return ex.select("doc_id", "pos", "entity")
 
 
 def entity_sentiment(spark, d):  # E2: P3 P5 P7 P6 P8 F4-F6
@@ -161,8 +162,7 @@ def entity_sentiment_of(documents: DataFrame) -> DataFrame:
     m = _merged_documents(kept.select("doc_id", "lang", "text"))
     toks = m.select(F.col("doc_id").alias("id"), F.md5(F.col("text").cast("binary")).alias("text_md5"),
                     fx.tokens("text").alias("toks"))
-    ex = st.flat_map(toks, "toks", "entity", "pos").drop("toks")
-    ex = ex.where(fx.tracked("entity", TRACKED_ENTITIES))
+    ex = st.flat_map(toks, "toks", "entity", "pos", keep=lambda t: fx.tracked(t, TRACKED_ENTITIES)).drop("toks")
     return ex.select("id", "pos", "entity", "text_md5", *[c.alias(n) for n, c in fx.sentiment_scores("id", "pos").items()])
 
 

@@ -76,10 +76,10 @@ def stream_tumbling_refining(spark, d):  # A7 S13 streaming: update mode changel
 
 def stream_vitals_alerts(spark, d):  # E4 streaming: final windowed count -> filter -> interval join
     e = event_time(table_stream(spark, d, "events").select("event_id", "user_id", "ts", "value"))
-    temps = e.where(F.col("value") > C.HIGH_VALUE).select(
+    temps = e.select(
         "event_id", F.col("user_id").alias("r_key"), F.col("ts").alias("temp_ts"), "value")
     j = jobs.alerts_from_windows(e.select("user_id", "ts"), temps, "user_id", "ts", "temp_ts", C.DAY, C.GRACE,
-                                 C.HIGH_COUNT, C.ALERT_BOUND_S)
+                                 C.HIGH_COUNT, C.ALERT_BOUND_S, reading_keep=F.col("value") > C.HIGH_VALUE)
     j = j.select("user_id", "window_start", "heart_rate", "event_id", "value",
                  F.greatest("beat_ts", "temp_ts").alias("alert_ts"))
     return _ntz(runner.run_append(spark, j, "vitals"), "window_start", "alert_ts")
@@ -87,13 +87,13 @@ def stream_vitals_alerts(spark, d):  # E4 streaming: final windowed count -> fil
 
 def stream_interval_join(spark, d):  # J4 streaming
     e = event_time(table_stream(spark, d, "events").select("event_id", "user_id", "event_type", "ts"))
-    c = e.where(F.col("event_type") == "click").select(F.col("event_id").alias("click_id"), "user_id",
+    c = e.select(F.col("event_id").alias("click_id"), "user_id", F.col("event_type").alias("c_type"),
                                                         F.col("ts").alias("click_ts"))
-    p = e.where(F.col("event_type") == "purchase").select(F.col("event_id").alias("purchase_id"),
-                                                          F.col("user_id").alias("p_user_id"),
+    p = e.select(F.col("event_id").alias("purchase_id"), F.col("user_id").alias("p_user_id"),
+                                                          F.col("event_type").alias("p_type"),
                                                           F.col("ts").alias("purchase_ts"))
     j = jobs.interval_join(c, p, "user_id", "p_user_id", "click_ts", "purchase_ts", C.CLICK_PURCHASE_BOUND_S,
-                           "1 hour", "1 hour")
+                           "1 hour", "1 hour", F.col("c_type") == "click", F.col("p_type") == "purchase")
     j = j.select("click_id", "purchase_id", "user_id", "click_ts", "purchase_ts",
                  F.greatest("click_ts", "purchase_ts").alias("joined_ts"))
     return _ntz(runner.run_append(spark, j, "interval"), "click_ts", "purchase_ts", "joined_ts")

@@ -8,7 +8,7 @@ Notes on Spark semantics versus the reference (see SURVEY H1-H7):
   periods act at batch granularity; exact per-record lateness is the batch
   form (``windows.mark_late``);
 * a filter below a watermark can stall event time (H2) - filters on watermarked
-  inputs here are applied *after* the watermark node;
+  inputs here go through ``above_watermark``;
 * a stream-static join reads a static snapshot (H7); ``live_table_join``
   re-reads the table in every micro-batch instead.
 """
@@ -27,6 +27,28 @@ from .processors import (AsOfJoinProcessor, GraceProcessor, TopKDistinctProcesso
                          twin_output_schema)
 
 
+def _as_text(df: DataFrame, cols: list[str]) -> DataFrame:
+    """64-bit integers as text: next to nulls pandas would turn them into
+    doubles, which hold 53 bits."""
+    return df.withColumns({c: F.col(c).cast("string") for c in cols})
+
+
+def _as_long(df: DataFrame, cols: list[str]) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast("long") for c in cols})
+
+
+def _longs(schema: T.StructType, cols) -> list[str]:
+    return [c for c in cols if isinstance(schema[c].dataType, T.LongType)]
+
+
+def above_watermark(df: DataFrame, ts: str, cond: Column) -> DataFrame:
+    """Filter that stays above the watermark on ``ts`` (H2): rows it drops still
+    move event time on.  The optimizer pushes a predicate below a watermark
+    unless it reads the event time, so this one compares with it; rows without
+    event time are dropped."""
+    return df.where(F.coalesce(cond, F.lit(False)).eqNullSafe(F.unix_micros(ts) > F.lit(-(2 ** 63))))
+
+
 def windowed_final(stream: DataFrame, keys: list[str], ts: str, size: str, grace: str,
                    aggs: list[Column], slide: str | None = None) -> DataFrame:
     """Windowed aggregate emitted once per window when the watermark
@@ -46,11 +68,15 @@ def session_final(stream: DataFrame, keys: list[str], ts: str, gap: str, grace:
 
 
 def interval_join(left: DataFrame, right: DataFrame, key: str, right_key: str, left_ts: str, right_ts: str,
-                  bound_s: int, left_delay: str, right_delay: str) -> DataFrame:
+                  bound_s: int, left_delay: str, right_delay: str, left_keep: Column | None = None,
+                  right_keep: Column | None = None) -> DataFrame:
     """J4 streaming: both sides watermarked; the time-range condition lets Spark
-    drop join state older than watermark - bound (append mode)."""
+    drop join state older than watermark - bound (append mode).  ``left_keep``
+    and ``right_keep`` filter above the watermarks."""
     lw = left.withWatermark(left_ts, left_delay)
     rw = right.withWatermark(right_ts, right_delay)
+    lw = lw if left_keep is None else above_watermark(lw, left_ts, left_keep)
+    rw = rw if right_keep is None else above_watermark(rw, right_ts, right_keep)
     cond = (F.col(key) == F.col(right_key)) & \
            (F.col(right_ts) >= F.col(left_ts) - F.expr(f"INTERVAL {bound_s} SECONDS")) & \
            (F.col(right_ts) <= F.col(left_ts) + F.expr(f"INTERVAL {bound_s} SECONDS"))
@@ -107,15 +133,19 @@ def twin(stream_inputs: DataFrame, key_type: T.DataType, ttl_days: int = 7,
 def top_k(stream: DataFrame, key_cols: list[str], payload: T.StructType, k: int = 3) -> DataFrame:
     """A8 streaming: bounded top-k per group (update mode: every batch emits the
     current list of the groups it touched)."""
+    longs = _longs(payload, payload.fieldNames())
+    payload = T.StructType([T.StructField(f.name, T.StringType() if f.name in longs else f.dataType) for f in payload])
+    stream = _as_text(stream, longs)
     proc = TopKDistinctProcessor(key_cols, payload, k)
     key_fields = [stream.schema[c] for c in key_cols]
     out = T.StructType(list(proc.state_schema.fields) + [T.StructField("rank", T.IntegerType())] + key_fields)
-    return stream.groupBy(*key_cols).transformWithStateInPandas(proc, out, "Update", "None")
+    return _as_long(stream.groupBy(*key_cols).transformWithStateInPandas(proc, out, "Update", "None"), longs)
 
 
 def alerts_from_windows(pulses: DataFrame, readings: DataFrame, key: str, ts: str, reading_ts: str,
                         size: str, grace: str, min_count: int, bound_s: int,
-                        reading_key: str = "r_key", reading_delay: str | None = None) -> DataFrame:
+                        reading_key: str = "r_key", reading_delay: str | None = None,
+                        reading_keep: Column | None = None) -> DataFrame:
     """E4 streaming, two chained stateful operators (append mode): final
     windowed counts per key (emitted once the watermark passes window end +
     grace), filtered to ``count >= min_count``, then joined with the readings
@@ -129,6 +159,7 @@ def alerts_from_windows(pulses: DataFrame, readings: DataFrame, key: str, ts: st
                  .select(key, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                          "heart_rate", "beat_ts", F.window_time("w").alias("__wt")))
     r = readings.withWatermark(reading_ts, reading_delay or grace)
+    r = r if reading_keep is None else above_watermark(r, reading_ts, reading_keep)
     b = F.expr(f"INTERVAL {int(bound_s)} SECONDS")
     cond = ((F.col(key) == F.col(reading_key)) &
             (F.col(reading_ts) >= F.col("beat_ts") - b) & (F.col(reading_ts) <= F.col("beat_ts") + b) &
@@ -153,10 +184,12 @@ def asof_join(stream: DataFrame, changelog: DataFrame, key: str, seq: str, strea
                               *[F.col(c) for c in table_cols])
     both = s_part.unionByName(t_part)
     out_cols = [c for c in stream_cols if c != seq] + ["seq"]
-    table_schema = T.StructType([changelog.schema[c] for c in table_cols])
+    longs = _longs(both.schema, out_cols[:-1] + table_cols)
+    both = _as_text(both, longs)
+    table_schema = T.StructType([both.schema[c] for c in table_cols])
     out_schema = T.StructType([both.schema[c] for c in out_cols] + list(table_schema.fields))
     proc = AsOfJoinProcessor(out_cols, table_cols, table_schema)
-    return both.groupBy("asof_key").transformWithStateInPandas(proc, out_schema, "Append", "None")
+    return _as_long(both.groupBy("asof_key").transformWithStateInPandas(proc, out_schema, "Append", "None"), longs)
 
 
 def mark_late_stream(stream: DataFrame, partition: str, seq: str, ts: str, size: str, grace: str) -> DataFrame:
@@ -171,9 +204,11 @@ def mark_late_stream(stream: DataFrame, partition: str, seq: str, ts: str, size:
             .withColumn("window_start", F.col("__w.start")).withColumn("window_end", F.col("__w.end"))
             .drop("__w")
             .withColumn("ts_us", F.unix_micros(ts)).withColumn("window_end_us", F.unix_micros("window_end")))
+    longs = _longs(en.schema, [c for c in en.columns if c not in (partition, "seq", "ts_us", "window_end_us")])
+    en = _as_text(en, longs)
     schema = T.StructType(list(en.schema.fields) + [T.StructField("stream_time_us", T.LongType()),
                                                     T.StructField("is_late", T.BooleanType())])
     proc = GraceProcessor(_seconds(grace) * 1_000_000)
     marked = en.groupBy(partition).transformWithStateInPandas(proc, schema, "Append", "None")
-    return (marked.withColumn("stream_time", F.timestamp_micros("stream_time_us"))
+    return (_as_long(marked, longs).withColumn("stream_time", F.timestamp_micros("stream_time_us"))
                   .drop("ts_us", "window_end_us", "stream_time_us"))

@@ -175,7 +175,9 @@ class AsOfJoinProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues: TimerValues
                         ) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values("seq", kind="stable").reset_index(drop=True)
+        pdf = pd.concat(list(rows), ignore_index=True)
+        # at one position the stream row comes first: it sees earlier records only
+        pdf = pdf.sort_values(["seq", "asof_side"], kind="stable").reset_index(drop=True)
         prev = self.value.get() if self.value.exists() else None
         is_tab = pdf["asof_side"] == 1
         pos = pd.Series(np.arange(len(pdf)), dtype="float64")

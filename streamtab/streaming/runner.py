@@ -24,6 +24,7 @@ def use_rocksdb(spark: SparkSession) -> None:
 
 def run_append(spark: SparkSession, sdf: DataFrame, name: str, fmt: str = "parquet") -> DataFrame:
     """Append-mode query into files; returns the files as a batch DataFrame."""
+    use_rocksdb(spark)
     base = scratch_path(spark, f"stream-{name}")
     q = (sdf.writeStream.outputMode("append").format(fmt)
             .option("checkpointLocation", f"{base}/checkpoint")
@@ -37,6 +38,7 @@ def run_changelog(spark: SparkSession, sdf: DataFrame, name: str, mode: str = "u
     (the table's changelog, S13).  ``foreachBatch`` writes each micro-batch to
     its own ``batch=<id>`` folder in overwrite mode, so a batch replayed after
     a failure replaces its own output: exactly once per batch id."""
+    use_rocksdb(spark)
     base = scratch_path(spark, f"stream-{name}")
     out = f"{base}/out"
 
@@ -61,6 +63,7 @@ def run_foreach_batch(spark: SparkSession, sdf: DataFrame, name: str, fn) -> str
     """Run ``fn(batch_df, batch_id, out_path)`` per micro-batch; returns the
     output path.  ``fn`` should write below ``out_path`` idempotently per batch
     id (see ``jobs.live_table_join``)."""
+    use_rocksdb(spark)
     base = scratch_path(spark, f"stream-{name}")
     out = f"{base}/out"
     q = (sdf.writeStream.foreachBatch(lambda b, i: fn(b, i, out))

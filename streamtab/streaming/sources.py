@@ -18,15 +18,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def table_stream(spark: SparkSession, sf_dir: str, name: str, max_files_per_trigger: int | None = None,
+#: Files that one micro-batch takes from a table, which bounds the rows of a trigger.
+MAX_FILES = 256
+
+
+def table_stream(spark: SparkSession, sf_dir: str, name: str, max_files_per_trigger: int | None = MAX_FILES,
                  fmt: str = "parquet") -> DataFrame:
     path = f"{sf_dir.rstrip('/')}/{name}.{fmt}"
     schema = spark.read.format(fmt).load(path).schema
     r = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    # a glob that matches the table's own file(s): the file source needs a pattern
-    return r.load(f"{sf_dir.rstrip('/')}/{name}*.{fmt}")
+    # the file source needs a pattern; this one matches the table's own path alone
+    return r.load(f"{path[:-1]}[{path[-1]}]")
 
 
 def kafka_stream(spark: SparkSession, servers: str, topic: str, starting: str = "earliest") -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from streamtab.operators import joins, stateless as st, tables, topk, windows as win
-from streamtab.operators.scan import Agg, ScanConfig, running
+from streamtab.operators.scan import Agg, ScanConfig, running, split_keys
 from streamtab.sources import json_codec as jc
 from streamtab.operators import lookups
 
@@ -28,7 +28,7 @@ def _events(spark, n=300, users=3, seed=7, null_key=True):
     return spark.createDataFrame(rows, "off long, k long, ts timestamp_ntz, v double, tag string"), rows
 
 
-@pytest.mark.parametrize("cfg", [ScanConfig(), ScanConfig(hot_rows=5, chunk_span=7)])
+@pytest.mark.parametrize("cfg", [ScanConfig(), ScanConfig(chunk_rows=3)])
 def test_running_matches_brute_force_with_null_keys(spark, cfg):
     df, rows = _events(spark)
     out = running(df, ["k"], ["off"], {"c": Agg("count"), "s": Agg("sum", "v"), "m": Agg("max", "v"),
@@ -59,10 +59,40 @@ def test_interval_join_brute_force(spark):
     assert got == exp and exp
 
 
-@pytest.mark.parametrize("method", ["auto", "range", "prefix"])
-def test_sliding_brute_force(spark, method):
+def test_sliding_infinity_and_large_values_stay_in_their_frames(spark):
+    at = lambda minutes: T0 + dt.timedelta(minutes=minutes)
+    df = spark.createDataFrame([(0, 1, at(0), float("inf")), (1, 1, at(90), 2.0), (2, 1, at(100), 3.0),
+                                (3, 2, at(0), 1e17), (4, 2, at(90), 2.5)], "off long, k long, ts timestamp_ntz, v double")
+    got = {r.off: r.window_sum for r in win.sliding(df, ["k"], "ts", "1 hour", "v").collect()}
+    assert got == {0: float("inf"), 1: 2.0, 2: 5.0, 3: 1e17, 4: 2.5}
+
+
+@pytest.mark.parametrize("step", [1, 60_000_000])
+def test_chunks_of_a_key_grow_with_the_root_of_its_rows(spark, step):
+    df = spark.range(4000).select((F.col("id") * step + 10 ** 15).alias("o"), F.lit(1).alias("k"))
+    split = split_keys(df, ["k"], ["o"], ScanConfig(chunk_rows=100)).collect()
+    assert [r["__chunks"] for r in split] == [40]
+    assert split_keys(df, ["k"], ["o"], ScanConfig(chunk_rows=1)).collect()[0]["__chunks"] == 64
+    assert split_keys(df, ["o"], ["o"]) is None
+
+
+def test_running_keeps_null_order_values_first(spark):
+    rows = [(None, 1)] + [(i, 1) for i in range(20)]
+    df = spark.createDataFrame(rows, "o long, k long")
+    got = running(df, ["k"], ["o"], {"n": Agg("count")}, ScanConfig(chunk_rows=2)).collect()
+    assert sorted((-1 if r.o is None else r.o, r.n) for r in got) == [(i - 1, i + 1) for i in range(21)]
+
+
+def test_asof_tie_goes_to_the_stream_row(spark):
+    s = spark.createDataFrame([(5, 1), (6, 1)], "seq long, k long")
+    t = spark.createDataFrame([(5, 1, 9.0)], "seq long, k long, v double")
+    got = tables.asof_lookup(s, t, "k", ["seq"], ["v"], tombstone=F.lit(False)).collect()
+    assert [(r.seq, r.t_v) for r in got] == [(6, 9.0)]
+
+
+def test_sliding_brute_force(spark):
     df, rows = _events(spark, 250, 2, seed=5, null_key=False)
-    out = win.sliding(df.select("off", "k", "ts", "v"), ["k"], "ts", "1 hour", "v", method=method)
+    out = win.sliding(df.select("off", "k", "ts", "v"), ["k"], "ts", "1 hour", "v")
     got = {r.off: (r.window_count, round(r.window_sum, 6)) for r in out.collect()}
     exp = {}
     for off, k, ts, v, _ in rows:
@@ -76,7 +106,7 @@ def test_sessions_gap_boundary(spark):
             (2, 1, T0 + dt.timedelta(hours=4, seconds=1)),                   # gap + 1 s: new session
             (3, 2, T0)]
     df = spark.createDataFrame(rows, "off long, k long, ts timestamp_ntz")
-    for cfg in (None, ScanConfig(hot_rows=1, chunk_span=1)):
+    for cfg in (None, ScanConfig(chunk_rows=1)):
         out = win.sessions(df, ["k"], "ts", "2 hours", "off", [F.count(F.lit(1)).alias("n")], cfg)
         got = sorted((r.k, r.window_start, r.n) for r in out.collect())
         assert got == [(1, T0, 2), (1, T0 + dt.timedelta(hours=4, seconds=1), 1), (2, T0, 1)]

@@ -32,7 +32,7 @@ def test_query_matches_oracle_sf0001(spark, duck001, name):
 
 @pytest.mark.parametrize("name", SCAN_QUERIES)
 def test_hot_key_path_matches_oracle_sf001(spark, duck01, name):
-    prev = set_scan_config(ScanConfig(hot_rows=25, chunk_span=97))
+    prev = set_scan_config(ScanConfig(chunk_rows=8))
     try:
         r = compare(spark, name, SF01, duck01)
     finally:

@@ -22,7 +22,7 @@ def test_topk_partial_limit_before_shuffle_and_hash_aggregate(spark):
 
 
 def test_hot_keys_are_chunked(spark):
-    prev = set_scan_config(ScanConfig(hot_rows=1, chunk_span=50))
+    prev = set_scan_config(ScanConfig(chunk_rows=1))
     try:
         p = _plan(spark, "tumbling_refining")
     finally:
@@ -30,6 +30,20 @@ def test_hot_keys_are_chunked(spark):
     assert "__chunk" in p and "BroadcastExchange" in p
 
 
+def test_text_flow_reads_once_and_filters_before_explode(spark):
+    p = _plan(spark, "entity_sentiment")
+    assert p.count("FileScan") == 1 and "lambdafunction" in p.split("Generate inline")[1].split("\n")[0]
+
+
+def test_stream_filters_stay_above_the_watermark(spark):
+    from streamtab.streaming import jobs
+    from streamtab.streaming.sources import event_time, table_stream
+    from pyspark.sql import functions as F
+    e = event_time(table_stream(spark, SF001, "events").select("event_id", "ts", "value")).withWatermark("ts", "1 hour")
+    p = jobs.above_watermark(e, "ts", F.col("value") > 150)._jdf.queryExecution().optimizedPlan().toString()
+    assert p.index("Filter") < p.index("EventTimeWatermark")
+
+
 def test_no_hot_keys_plain_window(spark):
     p = _plan(spark, "tumbling_refining")
     assert "__chunk" not in p and p.count("Exchange hashpartitioning") == 1

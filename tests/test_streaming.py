@@ -356,3 +356,21 @@ def test_watermark_windows_multi_batch_equal_batch(spark, duck001, name):
     out = runner.run_append(spark, agg, name)
     out = out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
     _matches_oracle(out, duck001, STREAM_ORACLE_SQL[name])
+
+
+def test_stream_ids_beyond_53_bits(spark, tmp_path):
+    """As-of join and leaderboard keep 64-bit ids next to nulls."""
+    big = 2 ** 60
+    s = spark.createDataFrame([(2, 1, big + 1), (3, 1, big + 5), (4, 1, None)], "seq long, k long, sid long")
+    t = spark.createDataFrame([(1, 1, big + 3), (3, 1, big + 7)], "seq long, k long, tid long")
+    s.write.parquet(f"{tmp_path}/s")
+    t.write.parquet(f"{tmp_path}/t")
+    stream = spark.readStream.schema(s.schema).parquet(f"{tmp_path}/s")
+    table = spark.readStream.schema(t.schema).parquet(f"{tmp_path}/t")
+    j = jobs.asof_join(stream, table, "k", "seq", ["k", "sid", "seq"], ["tid"])
+    got = sorted((r.seq, r.sid, r.tid) for r in runner.run_append(spark, j, "asof-big").collect())
+    assert got == [(2, big + 1, big + 3), (3, big + 5, big + 3), (4, None, big + 7)]
+    payload = T.StructType([T.StructField("sid", T.LongType())])
+    top = jobs.top_k(stream.withColumn("score", F.col("seq").cast("double")), ["k"], payload, 3)
+    rows = runner.final_rows(runner.run_changelog(spark, top, "top-big"), ["k"]).collect()
+    assert sorted((r["rank"], r.sid) for r in rows) == [(1, None), (2, big + 5), (3, big + 1)]
