@@ -40,8 +40,13 @@ def test_stream_filters_stay_above_the_watermark(spark):
     from streamtab.streaming.sources import event_time, table_stream
     from pyspark.sql import functions as F
     e = event_time(table_stream(spark, SF001, "events").select("event_id", "ts", "value")).withWatermark("ts", "1 hour")
-    p = jobs.above_watermark(e, "ts", F.col("value") > 150)._jdf.queryExecution().optimizedPlan().toString()
+
+    def optimized(df):
+        return spark._jsparkSession.sessionState().optimizer().execute(df._jdf.queryExecution().analyzed()).toString()
+
+    p, plain = optimized(jobs.above_watermark(e, "ts", F.col("value") > 150)), optimized(e.where(F.col("value") > 150))
     assert p.index("Filter") < p.index("EventTimeWatermark")
+    assert plain.index("Filter") > plain.index("EventTimeWatermark")      # what the helper prevents
 
 
 def test_no_hot_keys_plain_window(spark):
