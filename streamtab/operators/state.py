@@ -33,13 +33,20 @@ def twin_inputs(reported: DataFrame, desired: DataFrame, wind: str = "wind_speed
     """The two sources feeding one stateful node.  Reported rows pass the
     high-wind rule first (P11): wind above the threshold with power ON also
     emits a derived DESIRED row with power OFF, ordered right after its parent.
-    A null wind speed never triggers the rule."""
+    A null wind speed never triggers the rule.
+
+    A record that carries its own ``type_col`` keeps it, whatever input it came
+    by (an unset or foreign type changes no state); inputs without that column
+    get the type of their side."""
+    def typed(df: DataFrame, side: str) -> DataFrame:
+        return df if type_col in df.columns else df.withColumn(type_col, F.lit(side))
+
     rep = emit_with_derived(
-        reported.withColumn(type_col, F.lit(REPORTED)),
+        typed(reported, REPORTED),
         (F.col(wind) > F.lit(threshold)) & (F.col(power) == F.lit(POWER_ON)),
         {power: F.lit(POWER_OFF), type_col: F.lit(DESIRED)},
     )
-    des = desired.withColumn(type_col, F.lit(DESIRED)).withColumn("emit_idx", F.lit(0))
+    des = typed(desired, DESIRED).withColumn("emit_idx", F.lit(0))
     return rep.unionByName(des)
 
 

@@ -36,3 +36,13 @@ def test_cluster_without_a_shared_folder_is_refused():
     fake = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: None), sparkContext=SimpleNamespace(master="spark://x:7077"))
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         ensure_checkpoint_dir(fake)
+
+
+def test_twin_inputs_follow_the_record_type(spark):
+    from streamtab.operators import state
+    schema = "key long, seq long, wind_speed_mph double, power string, type string"
+    rep = spark.createDataFrame([(1, 1, 70.0, "ON", "REPORTED"), (1, 2, 5.0, "OFF", None)], schema)
+    des = spark.createDataFrame([(1, 3, 6.0, "ON", "REPORTED")], schema)
+    cols = ["wind_speed_mph", "power"]
+    r = state.twin_latest(state.twin_inputs(rep, des), "key", ["seq", "emit_idx"], cols).first()
+    assert tuple(r.desired) == (70.0, "OFF") and tuple(r.reported) == (6.0, "ON")
