@@ -48,3 +48,7 @@ def test_pair_counts_equal_brute_force(spark):
         table[classes[a] * n + b] += m
         table[lm_score.CLASSES * n + symbol[a] * lm_score.CLASSES + classes[b]] += m
     assert (both == table).all()
+
+
+def test_class_counts_are_those_of_the_whole_model():
+    assert (lm_score.CLASSES, lm_score.SHARED_CLASSES) == (128, 64)
