@@ -1,9 +1,10 @@
 """Quality classifier: nearest-neighbour voting among latent-semantic vectors.
 
-A document is a bag of word forms (letters folded to their case, digits and
-symbols kept), forms of word pairs, line forms and coarse counts; tf-idf
-weights of a bounded labelled sample are reduced by a singular value
-decomposition in numpy.  The labelled vectors (a bounded table) are broadcast,
+A document is two bags of terms, each hashed and of length one: shapes (word
+forms with letters folded to their case, forms of word pairs, coarse counts) and
+vocabulary (whole lower-case words and their four-byte pieces).  tf-idf weights
+of a bounded labelled sample are reduced by a singular value decomposition in
+numpy.  The labelled vectors (a bounded table) are broadcast,
 every document's exact cosine products with all of them are taken in blocks,
 and the nearest labels vote with their similarity.
 
@@ -25,8 +26,12 @@ from pyspark.sql import types as T
 
 from streamtab.llm import common
 
-TERMS = 1 << 12
-DIM = 48
+#: Hashed shape terms and, behind them, hashed words and pieces of words.
+SHAPES, WORDS = 1 << 12, 1 << 16
+TERMS = SHAPES + WORDS
+DIM = 64
+#: Length of the pieces; words longer than KEEP bytes are read whole but not cached.
+PIECE, KEEP = 4, 64
 NEIGHBOURS = 25
 #: Labelled documents in the broadcast table, at most (DIM floats each).
 TRAIN_DOCS = 4_000
@@ -37,38 +42,60 @@ _UP, _LOW, _NUM = re.compile(r"[A-ZÀ-ÖØ-Þ]+"), re.compile(r"[a-zß-öø-
 
 
 class Forms(dict):
-    """word (bytes) -> its form, filled on demand."""
+    """word (bytes) -> its form and the numbers (int32) of its vocabulary terms, filled on demand."""
 
-    def __missing__(self, w: bytes) -> str:
-        if len(self) > 300_000:
-            self.clear()
+    def __missing__(self, w: bytes) -> tuple[str, bytes]:
         s = w.decode("utf-8", "replace")
-        f = self[w] = _UP.sub("A", _LOW.sub("a", _NUM.sub("0", s[:64])))[:12] + ("+" if len(s) > 16 else "")
-        return f
-
-
-def terms(body: bytes | None, forms: Forms) -> Counter:
-    """The document's terms and their counts."""
+        form = _UP.sub("A", _LOW.sub("a", _NUM.sub("0", s))) + ("+" if len(s) > 16 else "")
+        padded = b" " + s.lower().encode() + b" "
+        pieces = {padded, *(padded[i:i + PIECE] for i in range(len(padded) - PIECE + 1))}
+        at = [SHAPES + xxhash.xxh32_intdigest(x, 1) % WORDS for x in pieces]
+        got = form, np.array(at, np.int32).tobytes()
+        if len(w) <= KEEP:
+            if len(self) > 200_000:
+                self.clear()
+            self[w] = got
+        return got
+
+
+def terms(body: bytes | None, forms: Forms) -> tuple[Counter, np.ndarray, np.ndarray]:
+    """The document's shape terms and their counts, its vocabulary terms and their counts."""
     words = body.split() if body else []
     if not words:
-        return Counter()
-    f = [forms[w] for w in words]
+        return Counter(), np.empty(0, np.int32), np.empty(0)
+    many = Counter(words)
+    known = {w: forms[w] for w in many}
+    f = [known[w][0] for w in words]
     out = Counter(f)
     out.update(Counter(zip(f, f[1:])))
     n = len(words)
     lines = [x for x in body.split(b"\n") if x.strip()]
     out[f"n{n.bit_length()}"] = n
-    out[f"distinct{round(10 * len(set(words)) / n)}"] = n
+    out[f"distinct{round(10 * len(many) / n)}"] = n
     out[f"lines{round(10 * len(set(lines)) / len(lines))}"] = n
     out[f"per_line{(n // len(lines)).bit_length()}"] = n
     out[f"mean{min(20, sum(map(len, words)) // n)}"] = n
-    return out
+    parts = [k[1] for k in known.values()]
+    return out, np.frombuffer(b"".join(parts), np.int32), np.repeat(list(many.values()), [len(p) // 4 for p in parts])
+
 
+def hashed(doc) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct term numbers and log counts."""
+    c, word_at, word_n = doc
+    at = np.fromiter((xxhash.xxh32_intdigest(k if isinstance(k, str) else k[0] + " " + k[1]) % SHAPES for k in c), np.int64, len(c))
+    both, where = np.unique(np.concatenate([at, word_at]), return_inverse=True)
+    n = np.concatenate([np.fromiter(c.values(), np.float64, len(c)), word_n])
+    return both, np.log1p(np.bincount(where, n, len(both)))
 
-def hashed(c: Counter) -> tuple[np.ndarray, np.ndarray]:
-    """Term numbers and log counts."""
-    at = np.fromiter((xxhash.xxh32_intdigest(k if isinstance(k, str) else k[0] + " " + k[1]) % TERMS for k in c), np.int64, len(c))
-    return at, np.log1p(np.fromiter(c.values(), np.float64, len(c)))
+
+def weigh(at: np.ndarray, v: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """tf-idf weights; shapes and vocabulary have length one each."""
+    w = v * idf[at]
+    cut = np.searchsorted(at, SHAPES)
+    for part in (w[:cut], w[cut:]):
+        if (n := np.sqrt(part @ part)) > 0:
+            part /= n
+    return w.astype(np.float32)
 
 
 class Model:
@@ -78,10 +105,10 @@ class Model:
         self.idf, self.basis, self.vectors, self.labels, self.prior = idf, basis, vectors, labels, prior
 
     def project(self, rows) -> np.ndarray:
-        x = np.zeros((len(rows), TERMS), np.float32)
+        out = np.zeros((len(rows), self.basis.shape[1]), np.float32)
         for i, (at, v) in enumerate(rows):
-            np.add.at(x[i], at, v)
-        return _unit(_unit(x * self.idf) @ self.basis)
+            out[i] = weigh(at, v, self.idf) @ self.basis[at]
+        return _unit(out)
 
     def score(self, rows) -> np.ndarray:
         """Similarity-weighted share of label 1 among the nearest neighbours."""
@@ -110,20 +137,29 @@ def fit(bodies: list[bytes], labels: np.ndarray, prior: float, dim: int = DIM) -
     rows = [hashed(terms(b, forms)) for b in bodies]
     df = np.zeros(TERMS)
     for at, _ in rows:
-        df[np.unique(at)] += 1
+        df[at] += 1
     idf = np.where(df > 1, np.log((1 + len(rows)) / (1 + df)) + 0.1, 0).astype(np.float32)
     if not rows:
         return Model(idf, np.zeros((TERMS, dim), np.float32), np.empty((0, dim), np.float32), np.empty(0), prior)
-    x = np.zeros((len(rows), TERMS), np.float32)
-    for i, (at, v) in enumerate(rows):
-        np.add.at(x[i], at, v)
-    x = _unit(x * idf)
+    # the sample as a sparse matrix: a term, a row and a weight per entry
+    term = np.concatenate([at for at, _ in rows]).astype(np.int32)
+    row = np.repeat(np.arange(len(rows), dtype=np.int32), [len(at) for at, _ in rows])
+    x = np.concatenate([weigh(at, v, idf) for at, v in rows])
     # right singular vectors by subspace iteration
     rng = np.random.default_rng(11)
     basis = np.linalg.qr(rng.standard_normal((TERMS, dim)).astype(np.float32))[0]
+
+    def times(to, of, m, size):
+        out = np.empty((size, dim), np.float32)
+        for d in range(dim):
+            out[:, d] = np.bincount(to, x * m[:, d][of], size)
+        return out
+
     for _ in range(8):
-        basis = np.linalg.qr(x.T @ (x @ basis))[0]
-    return Model(idf, basis, _unit(x @ basis), labels.astype(np.float64), prior)
+        basis = np.linalg.qr(times(term, row, times(row, term, basis, len(rows)), TERMS))[0]
+    model = Model(idf, basis, np.empty((0, dim), np.float32), labels.astype(np.float64), prior)
+    model.vectors = model.project(rows)
+    return model
 
 
 def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", limit: int = TRAIN_DOCS) -> Model:
