@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamtab.llm import (common, decontaminate, html_extract, langid, lm_score, near_dup, packing, quality, quality_rules,
-                           toxicity, url_filter)
+from streamtab.llm import (common, decontaminate, hard_negatives, html_extract, langid, lm_score, near_dup, packing, periodic,
+                           quality, quality_rules, token_files, toxicity, url_filter)
 
 
 def tokenizer_path(name: str) -> str:
@@ -82,10 +82,29 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(common.table(spark, sf_dir, "embeddings"), label=label)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = periodic.detect(docs, tail=F.crc32(F.col("doc_id").cast("string")))
+    return periodic.digest(found).select("doc_id", "n_runs", "start", "length", "period", "exponent_milli",
+                                         "runs_sha256", "collapsed_sha256")
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents")
+    path = token_files.write(docs, common.scratch_path(spark, "token-files"), tokenizer_path("byte_bpe_50k.json"))
+    return token_files.read(spark, path)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_language_id, op2_html_text, op3_toxicity, op4_near_duplicates, op5_quality_rules, op6_decontamination,
-        op7_packing, op8_lm_score, op9_quality_neighbours, op10_url_filter)
+        op7_packing, op8_lm_score, op9_quality_neighbours, op10_url_filter, op11_hard_negatives, op12_periodic_runs,
+        op13_token_files)
 }
 
 ORACLE_SQL: dict[str, str] = {
