@@ -45,94 +45,154 @@ from streamtab.llm import common
 END_ID = 2
 MAX_BITS = 18
 #: Ids after which a block closes, and between two checkpoints.
-BLOCK_TOKENS, STEP = 1 << 18, 256
-#: Distinct units whose ids a task caches in each of two generations.
-CACHE_UNITS = 200_000
-
-_RUNS = (b"  ", b" \n", b"\n ", b"\t", b"\r", b"\x0b", b"\x0c")
+BLOCK_TOKENS, STEP = 1 << 19, 256
+#: Ids that are written at a time.
+PART_TOKENS = 1 << 16
+#: Distinct units whose ids a Python worker caches before it starts again.
+CACHE_UNITS = 1_000_000
+
+#: Runs of white space in which the pretokeniser does not cut at every character.
+_RUNS = (b"  ", b" \n", b"\n ", b"\n\n\n", b"\t", b"\r", b"\x0b", b"\x0c")
 _WIDE = (b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80")
 _WIDE_E280 = re.compile(rb"\xe2\x80[\x80-\x8a\xa8\xa9\xaf]")
 
 
+def _units(body: bytes) -> list[bytes] | None:
+    """The units of a text (see ``UnitIds``); None where white space runs."""
+    if body[0] == 32 or body[-1] in b" \n" or any(r in body for r in _RUNS):
+        return None
+    if not body.isascii() and (any(r in body for r in _WIDE) or b"\xe2\x80" in body and _WIDE_E280.search(body)):
+        return None
+    units = body.replace(b"\n", b" \n").split(b" ")
+    units[0] = b"\r" + units[0]
+    return units
+
+
+class _Numbers(dict):
+    """Numbers of units; a new unit gets the next one and is noted in ``new``."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[bytes] = []
+
+    def __missing__(self, unit: bytes) -> int:
+        n = self[unit] = len(self)
+        self.new.append(unit)
+        return n
+
+
 class UnitIds:
     """Ids of texts under a byte-level tokenizer, by cached units.
 
-    Its pretokeniser always cuts before a single space between two other
-    characters, so a text without runs of white space is its first unit and units
-    of a space and the characters up to the next one, and the ids of the text are
-    those of its units.  All other texts are encoded whole."""
+    Its pretokeniser always cuts before a single space and around a single line
+    end between other characters, so the ids of a text without runs of white space
+    are those of its units one after the other: the first word, then words with
+    the space or line end before them.  A unit is written without its space, with
+    its line end, and the first one with a carriage return, which no such text
+    holds.  All other texts are encoded whole.  The cache numbers the units and
+    keeps their ids end to end; when full it keeps those used again, at most half."""
 
     def __init__(self, path: str, cache_units: int = CACHE_UNITS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True          # their strings in a text are ordinary text
+        from tokenizers.pre_tokenizers import CharDelimiterSplit
+        self.tok, self.letters = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.tok.encode_special_tokens = self.letters.encode_special_tokens = True     # ordinary text
+        self.letters.pre_tokenizer = CharDelimiterSplit(" ")        # for a space (as its symbol) and ASCII letters
         vocabulary = self.tok.get_vocab()
         self.width = "<u2" if max(vocabulary.values()) < 1 << 16 else "<u4"
-        self.opens = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.opens, self.breaks = (np.zeros(max(vocabulary.values()) + 1, bool) for _ in range(2))
         self.opens[[i for t, i in vocabulary.items() if t.startswith("Ġ")]] = True
-        self.cache: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
+        self.breaks[vocabulary["Ċ"]] = True
         self.cache_units = cache_units
-
-    def _encode(self, texts: list[str]) -> list[np.ndarray]:
-        got = self.tok.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, self.width) for e in got]
-
-    def learn(self, units: set[bytes]) -> None:
-        if len(self.cache) > self.cache_units:
-            self.old, self.cache = self.cache, {}
-        cache, old, new, alone = self.cache, self.old, [], []
-        for u in units:
-            if u in cache:
-                continue
-            if (got := old.get(u)) is not None:
-                cache[u] = got
-            elif b"\n" in u:
-                alone.append(u)
-            else:
-                new.append(u)
-        for i in range(0, len(new), 2_000):              # joined by spaces: each unit's ids begin with a space's
-            part = new[i:i + 2_000]
-            ids = self._encode([" " + b" ".join(part).decode()])[0]
-            size = ids.itemsize
-            cut, raw = (np.flatnonzero(self.opens[ids]) * size).tolist(), ids.tobytes()
-            cache.update(zip(part, (raw[a:b] for a, b in zip(cut, [*cut[1:], len(raw)]))))
-        for i in range(0, len(alone), 2_000):
-            part = alone[i:i + 2_000]
-            cache.update(zip(part, (x.tobytes() for x in self._encode([" " + u.decode() for u in part]))))
+        self._start()
+
+    def _start(self) -> None:
+        self.numbers, self.used = _Numbers(), 0
+        self.flat = np.zeros(1 << 16, self.width)
+        self.at, self.sizes, self.uses = (np.zeros(1 << 16, np.int64) for _ in range(3))
+
+    def _shrink(self) -> None:
+        numbers, n = self.numbers, len(self.numbers)
+        uses = self.uses[:n]
+        keep = np.flatnonzero(uses >= max(2, np.partition(uses, n // 2)[n // 2] + 1))
+        at, sizes, flat, units = self.at[keep], self.sizes[keep], self.flat, np.array(list(numbers), object)[keep]
+        self._start()
+        self.numbers.update(zip(units.tolist(), range(len(keep))))
+        ends = np.cumsum(sizes)
+        place = np.repeat(at - ends + sizes, sizes) + np.arange(int(ends[-1]) if len(ends) else 0)
+        self._grow(len(keep), len(place))
+        self.flat[:len(place)], self.used = flat[place], len(place)
+        self.at[:len(keep)], self.sizes[:len(keep)] = ends - sizes, sizes
+
+    def _grow(self, units: int, ids: int) -> None:
+        while units > len(self.at):
+            self.at, self.sizes, self.uses = (np.append(x, np.zeros_like(x)) for x in (self.at, self.sizes, self.uses))
+        while ids > len(self.flat):
+            self.flat = np.append(self.flat, np.zeros_like(self.flat))
+
+    def _ids(self, tok, text: str) -> np.ndarray:
+        return np.array(tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.width)
+
+    def _learn(self) -> None:
+        """Find the ids of the units that were numbered since the last call."""
+        units, first = self.numbers.new, len(self.numbers) - len(self.numbers.new)
+        self.numbers.new = []
+        self._grow(len(self.numbers), self.used)
+        kinds: list[list[int]] = [[], [], [], []]
+        for i, u in enumerate(units):
+            kinds[0 if u.isalpha() else 2 if u[0] == 13 else 3 if u[0] == 10 else 1].append(i)
+        for kind, which in enumerate(kinds):
+            for lo in range(0, len(which), 2_000):
+                part = which[lo:lo + 2_000]
+                # joined by what the units begin with; each one's ids begin with that of the sign before it
+                if kind == 0:
+                    ids = self._ids(self.letters, "Ġ" + " Ġ".join([units[i].decode() for i in part]))
+                elif kind == 1:
+                    ids = self._ids(self.tok, " " + b" ".join([units[i] for i in part]).decode())
+                else:
+                    ids = self._ids(self.tok, "\n" + b"\n".join([units[i][1:] for i in part]).decode())
+                at = np.flatnonzero((self.opens if kind < 2 else self.breaks)[ids])
+                size = np.diff(np.append(at, len(ids)))
+                if kind == 2:
+                    at, size = at + 1, size - 1
+                self._grow(0, self.used + len(ids))
+                self.flat[self.used:self.used + len(ids)] = ids
+                to = np.array(part) + first
+                self.at[to], self.sizes[to] = at + self.used, size
+                self.used += len(ids)
 
     def encode_all(self, bodies: list[bytes | None]):
         """The ids of every body, in order, as bytes of ``width``."""
         held, size = [], 0
         for body in bodies:
-            held.append(_units(body) if body else b"")
+            units = _units(body) if body else []
+            held.append(self._ids(self.tok, body.decode()).tobytes() if units is None else units)
             size += len(body or b"")
-            if size > 8 << 20:
+            if size > 4 << 20:
                 yield from self._flush(held)
                 held, size = [], 0
         yield from self._flush(held)
 
-    def _flush(self, held):
-        units = set()
-        for h in held:
-            if isinstance(h, list):
-                units.update(h[1:])
-        self.learn(units)
-        heads = list({h[0] for h in held if isinstance(h, list)} | {h for h in held if isinstance(h, bytes)})
-        first = dict(zip(heads, (x.tobytes() for x in self._encode([h.decode() for h in heads]))))
-        get = self.cache.__getitem__
+    def _flush(self, held: list):
+        if len(self.numbers) > self.cache_units:
+            self._shrink()
+        get = self.numbers.__getitem__
+        index = [np.fromiter(map(get, h), np.int64, len(h)) for h in held if isinstance(h, list)]
+        self._learn()
+        if index:
+            used = np.bincount(np.concatenate(index))
+            self.uses[:len(used)] += used
+        index = iter(index)
         for h in held:
-            yield first[h] if isinstance(h, bytes) else first[h[0]] + b"".join(map(get, h[1:]))
-
-
-def _units(body: bytes) -> list[bytes] | bytes:
-    """The first unit and the others without their space; the body where white space runs."""
-    if body[0] == 32 or body[-1] == 32 or any(r in body for r in _RUNS):
-        return body
-    if not body.isascii() and (any(r in body for r in _WIDE) or b"\xe2\x80" in body and _WIDE_E280.search(body)):
-        return body
-    return body.split(b" ")
+            if isinstance(h, bytes):
+                yield h
+                continue
+            at = next(index)
+            n = self.sizes[at]
+            place = np.repeat(self.at[at] - np.cumsum(n) + n, n)
+            place += np.arange(len(place))
+            yield self.flat[place].tobytes()
 
 
 _UNITS: dict[str, UnitIds] = {}
@@ -177,72 +237,86 @@ def code_lengths(counts: np.ndarray, limit: int = MAX_BITS) -> np.ndarray:
 
 
 class Code:
-    """Canonical code of given lengths: codes for writing, tables for reading."""
+    """Canonical code of given lengths: codes for writing, a table for reading."""
 
     def __init__(self, lengths: np.ndarray):
-        self.lengths = lengths.astype(np.uint64)
+        self.lengths = lengths.astype(np.int64)
         used = np.flatnonzero(lengths)
         order = used[np.lexsort((used, lengths[used]))]
         self.bits = max(int(lengths.max(initial=0)), 1)
-        spans = np.left_shift(1, self.bits - lengths[order].astype(np.int64))
+        spans = np.left_shift(1, self.bits - self.lengths[order])
         first = np.concatenate([[0], np.cumsum(spans)])[:-1]
-        self.codes = np.zeros(len(lengths), np.uint64)
-        self.codes[order] = first >> (self.bits - lengths[order].astype(np.int64))
-        self.symbol, self.length = np.zeros(1 << self.bits, np.uint32), np.ones(1 << self.bits, np.uint8)
-        self.symbol[:spans.sum()], self.length[:spans.sum()] = np.repeat(order, spans), np.repeat(lengths[order], spans)
+        self.codes = np.zeros(len(lengths), np.uint64)            # at the top of 64 bits
+        self.codes[order] = first.astype(np.uint64) << np.uint64(64 - self.bits)
+        self.table = np.ones(1 << self.bits, np.uint64)           # id * 32 + code length, by the next bits
+        self.table[:spans.sum()] = np.repeat(order * 32 + self.lengths[order], spans)
 
     def encode(self, rows: list[np.ndarray]) -> bytes:
-        """Payload of one block."""
+        """Payload of one block, written in parts that stay in the processor's cache."""
+        parts, held, size, at = [], [], 0, 0
+        for r in rows:
+            held.append(r)
+            size += len(r)
+            if size >= PART_TOKENS:
+                parts.append(self._part(held, at))
+                held, size, at = [], 0, at + len(parts[-1][3])
+        if held:
+            parts.append(self._part(held, at))
+        sizes, row_at, marks = (np.concatenate(c) for c in list(zip(*parts))[:3])
+        return b"".join((np.array([len(sizes), len(marks)], "<u4").tobytes(), sizes.astype("<u4").tobytes(),
+                         row_at.astype("<u8").tobytes(), marks.astype("<u8").tobytes(), *[p[3] for p in parts]))
+
+    def _part(self, rows: list[np.ndarray], base: int):
+        """Sizes of rows, the byte each begins at (from ``base`` on), checkpoints and bits."""
         sizes = np.array([len(r) for r in rows], np.int64)
         ids = np.concatenate(rows)
-        n_bits = self.lengths[ids].astype(np.int64)
-        ends = np.cumsum(n_bits)
-        before = np.concatenate([[0], ends])
-        row_end = np.cumsum(sizes)
-        row_bits = np.diff(before[np.concatenate([[0], row_end])])
-        row_at = np.concatenate([[0], np.cumsum((row_bits + 7) >> 3)])
-        within = before[:-1] - np.repeat(before[row_end - sizes], sizes)
-        at = within + np.repeat(row_at[:-1] * 8, sizes)
-        word, shift = at >> 5, (64 - (at & 31) - n_bits).astype(np.uint64)
-        value = self.codes[ids] << shift
-        n_words = (int(row_at[-1]) >> 2) + 2
-        # every bit is set once, so sums of disjoint 32-bit values are exact in doubles
-        words = np.bincount(word, (value >> np.uint64(32)).astype(np.float64), n_words)
-        words += np.bincount(word + 1, (value & np.uint64(0xFFFFFFFF)).astype(np.float64), n_words + 1)[:n_words]
-        stream = words.astype(">u4").tobytes()[:int(row_at[-1])]
-        place = np.arange(len(ids)) - np.repeat(row_end - sizes, sizes)
-        marks = within[place % STEP == 0].astype("<u8")
-        return b"".join((np.array([len(rows), len(marks)], "<u4").tobytes(), sizes.astype("<u4").tobytes(),
-                         row_at[:-1].astype("<u8").tobytes(), marks.tobytes(), stream))
+        before = np.cumsum(self.lengths[ids])
+        ends = np.concatenate([[0], before[np.cumsum(sizes) - 1]])
+        row_at = np.concatenate([[0], np.cumsum((np.diff(ends) + 7) >> 3)])
+        row_bit = row_at[:-1] * 8
+        at = np.concatenate([[0], before[:-1]])
+        at += np.repeat(row_bit - ends[:-1], sizes)
+        word = at >> 5
+        value = self.codes[ids] >> (at & 31).astype(np.uint64)    # the bits of a 32-bit word and of the next
+        start = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+        value, word = np.bitwise_or.reduceat(value, start), word[start]
+        words = np.zeros((int(row_at[-1]) >> 2) + 2, np.uint64)
+        words[word] = value >> np.uint64(32)
+        words[word + 1] |= value & np.uint64(0xFFFFFFFF)
+        row, nth = _lanes(sizes)
+        marks = at[(np.cumsum(sizes) - sizes)[row] + nth * STEP] - row_bit[row]
+        return sizes, row_at[:-1] + base, marks, words.astype(">u4").tobytes()[:int(row_at[-1])]
 
     def decode(self, payload: bytes) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows of a block, one after the other, and the number of each row."""
         n, n_marks = np.frombuffer(payload, "<u4", 2).tolist()
         sizes = np.frombuffer(payload, "<u4", n, 8).astype(np.int64)
-        row_at = np.frombuffer(payload, "<u8", n, 8 + 4 * n).astype(np.int64)
-        marks = np.frombuffer(payload, "<u8", n_marks, 8 + 12 * n).astype(np.int64)
+        row_at = np.frombuffer(payload, "<u8", n, 8 + 4 * n)
+        marks = np.frombuffer(payload, "<u8", n_marks, 8 + 12 * n)
         stream = payload[8 + 12 * n + 8 * n_marks:]
         words = np.frombuffer(stream + bytes(12 - len(stream) % 4), ">u4").astype(np.uint64)
-        lanes = (sizes + STEP - 1) // STEP
-        lane_row = np.repeat(np.arange(n), lanes)
-        nth = np.arange(len(lane_row)) - np.repeat(np.cumsum(lanes) - lanes, lanes)
-        left = np.minimum(sizes[lane_row] - nth * STEP, STEP)
-        out_at = (np.cumsum(sizes) - sizes)[lane_row] + nth * STEP
-        longest = np.argsort(-left, kind="stable")
-        left, out_at = left[longest], out_at[longest]
-        at = (marks + row_at[lane_row] * 8)[longest]
-        active = np.searchsorted(-left, -np.arange(STEP), side="left")      # lanes with more than t ids
-        out = np.empty(int(sizes.sum()), np.uint32)
-        down, mask = np.uint64(64 - self.bits), np.uint64((1 << self.bits) - 1)
-        for t in range(int(left[0]) if len(left) else 0):
-            m = active[t]
-            o = at[:m]
-            w = o >> 5
-            window = (words[w] << np.uint64(32)) | words[w + 1]
-            key = (window >> (down - (o & 31).astype(np.uint64))) & mask
-            out[out_at[:m] + t] = self.symbol[key]
-            at[:m] += self.length[key]
-        return out, sizes
+        windows = (words[:-1] << np.uint64(32)) | words[1:]
+        row, nth = _lanes(sizes)
+        left = np.minimum(sizes[row] - nth * STEP, STEP)
+        order = np.argsort(-left, kind="stable")
+        at = (marks + row_at[row] * np.uint64(8))[order]
+        active = np.searchsorted(-left[order], -np.arange(STEP), side="left").tolist()      # lanes with more than t ids
+        out = np.empty((STEP, len(row)), np.uint32)
+        five, low, down, mask = np.uint64(5), np.uint64(31), np.uint64(64 - self.bits), np.uint64((1 << self.bits) - 1)
+        for t in range(int(left.max(initial=0))):
+            o = at[:active[t]]
+            entry = self.table[(windows[o >> five] >> (down - (o & low))) & mask]
+            out[t, :active[t]] = entry >> five
+            o += entry & low
+        lanes = np.empty((len(row), STEP), np.uint32)
+        lanes[order] = out.T
+        return lanes[np.arange(STEP) < left[:, None]], sizes
+
+
+def _lanes(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The row of every checkpoint and its number within the row."""
+    n = (sizes + STEP - 1) // STEP
+    return np.repeat(np.arange(len(sizes)), n), np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
 
 
 # ---- files -----------------------------------------------------------------------
@@ -282,11 +356,10 @@ def _counts(ids: DataFrame, width: str) -> np.ndarray:
     def run(batches):
         total = np.zeros(0, np.int64)
         for b in batches:
-            for raw in b.column(0):
-                got = np.bincount(np.frombuffer(raw.as_buffer(), width))
-                if len(got) > len(total):
-                    total = np.concatenate([total, np.zeros(len(got) - len(total), np.int64)])
-                total[:len(got)] += got
+            got = np.bincount(np.frombuffer(b"".join(b.column(0).to_pylist()), width))
+            if len(got) > len(total):
+                total = np.concatenate([total, np.zeros(len(got) - len(total), np.int64)])
+            total[:len(got)] += got
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen])], names=["id", "n"])
 
