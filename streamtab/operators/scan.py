@@ -7,22 +7,27 @@ Spark form is ``Window.partitionBy(key).orderBy(offset)``, which puts every row
 of a key into one task.  If one key holds a third of the data that task is the
 whole job.
 
-``running`` splits every key that holds enough rows into chunks whose bounds
-come from the data:
-
-1. one aggregate gives count, least and greatest order value per key; a key of
-   n rows gets ``min(n / chunk_rows, sqrt(n))`` chunks, so neither a chunk nor
-   the list of a key's chunks grows faster than sqrt(n) (evenly spread order
-   values assumed; offsets, ids and microseconds alike, since the bounds are
-   relative to the key's own range).  Keys of two or more chunks are written
-   once to the shared folder and broadcast only if their files are small;
-2. each row gets its chunk (``0`` for the other keys, ``-1`` for a null order);
+``running`` splits every key that holds enough rows into chunks whose bounds are
+quantiles of the data:
+
+1. key and order of rows chosen by their hash (``samples`` per ``chunk_rows`` rows,
+   all of them for small chunks) are written once to the shared folder; their number
+   estimates the rows n of a key, which gets ``min(n / chunk_rows, sqrt(n),
+   MAX_CHUNKS)`` chunks.  The bounds are evenly spaced ranks of the key's sample,
+   thinned to ``samples / 4`` a chunk, as whole order tuples: bursts, gaps and ties
+   of the first order column are split alike, and neither a key's bounds nor its
+   thinned sample outgrow one row.  Keys of two or more chunks
+   are broadcast only if their files are small;
+2. each row finds its chunk by binary search in the bounds of its key (``0`` for
+   the other keys);
 3. the running value is computed inside each ``(key, chunk)`` window;
 4. one summary row per ``(key, chunk)`` carries the chunk total; a window over
    the summaries gives the prefix of all earlier chunks, which is joined back
    on ``(key, chunk)`` and combined.
 
 If no key has a second chunk, steps 2 and 4 have nothing to do and are left out.
+An input that is more than a scan (joins, aggregates, parsing) is written once and
+read back, so that its plan does not run for sample, totals and rows each.
 
 The combine step needs an associative aggregate: count, sum, max, min and
 last-non-null are provided.  The result does not depend on ``chunk_rows``.
@@ -30,6 +35,7 @@ last-non-null are provided.  The result does not depend on ``chunk_rows``.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -40,9 +46,14 @@ from ..session import scratch_path
 from .joins import broadcast_if_small
 
 
+#: Chunks of one key, at most: bounds stay one small row; larger keys get larger chunks.
+MAX_CHUNKS = 1 << 14
+
+
 @dataclass(frozen=True)
 class ScanConfig:
     chunk_rows: int = 512       # least mean number of rows in a chunk
+    samples: int = 128          # rows sampled per chunk_rows rows; a quarter of them is kept per chunk
 
 
 DEFAULT_SCAN = ScanConfig()
@@ -147,22 +158,59 @@ def _key_columns(df: DataFrame, keys: list[str], prefix: str) -> dict[str, Colum
     return out
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """``df`` itself where its plan only scans and projects; otherwise a copy written
+    once below the shared folder."""
+    if _HEAVY.search(df._jdf.queryExecution().optimizedPlan().toString()) and "void" not in df.schema.simpleString():
+        path = scratch_path(df.sparkSession, "scan-input")
+        df.write.parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df
+
+
+_HEAVY = re.compile(r"\b(Join|Aggregate|Window|Generate|Expand|from_json|get_json_object|PythonUDF|MapInArrow|MapInPandas)\b")
+
+
+def _share(hash_: Column, share) -> Column:
+    """Whether a hash falls in a share of its range."""
+    return F.pmod(hash_, F.lit(1 << 20)) < share * F.lit(float(1 << 20))
+
+
 def split_keys(df: DataFrame, keys: list[str], order: list[str], cfg: ScanConfig | None = None) -> DataFrame | None:
-    """Step 1: the keys of two or more chunks with ``__chunks``, ``__lo`` and
-    ``__hi``; None when there is no such key."""
+    """Step 1: the keys of two or more chunks with ``__bounds``, the least order tuple
+    of every chunk but the first; None when there is no such key."""
     cfg = cfg or scan_config()
+    spark = df.sparkSession
     kcols = _key_columns(df, keys, "s")
-    o, n = F.col(order[0]).cast("double"), F.col("__n")
-    stats = (df.select(*[c.alias(k) for k, c in kcols.items()], o.alias("__o")).groupBy(*kcols)
-               .agg(F.count(F.lit(1)).alias("__n"), F.min("__o").alias("__lo"), F.max("__o").alias("__hi"))
-               .withColumn("__chunks", F.least(F.floor(n / F.lit(cfg.chunk_rows)), F.ceil(F.sqrt(n))))
-               .where(F.col("__chunks") > 1).drop("__n"))
-    path = scratch_path(df.sparkSession, "split-keys")
-    stats.write.parquet(path)
-    found = df.sparkSession.read.schema(stats.schema).parquet(path)
+    names = list(kcols)
+    rate = min(1.0, cfg.samples / cfg.chunk_rows)
+    rows = df.select(*[c.alias(k) for k, c in kcols.items()], F.struct(*[F.col(c) for c in order]).alias("__o"))
+    rows = rows.withColumn("__h", F.xxhash64(*names, "__o")).where(_share(F.col("__h"), F.lit(rate)))
+    path = scratch_path(spark, "split-sample")
+    rows.write.parquet(path)
+    sample = spark.read.schema(rows.schema).parquet(path)
+    n = F.col("__m") / F.lit(rate)
+    stats = (sample.groupBy(*names).agg(F.count(F.lit(1)).alias("__m"))
+                   .withColumn("__chunks", F.least(F.floor(n / F.lit(cfg.chunk_rows)), F.ceil(F.sqrt(n)), F.lit(MAX_CHUNKS)))
+                   .where(F.col("__chunks") > 1))
+    thin = _share(F.shiftright("__h", 20), F.col("__chunks") * F.lit(max(cfg.samples / 4, 1.0)) / F.col("__m"))
+    held = sample.join(stats, names).where(thin).groupBy(*names, "__chunks").agg(F.sort_array(F.collect_list("__o")).alias("__s"))
+    rank = F.transform(F.sequence(F.lit(1).cast("long"), F.col("__chunks") - 1), lambda i: F.floor(i * F.size("__s") / F.col("__chunks")))
+    bounds = held.where(F.col("__chunks") > 1).select(
+        *names, "__chunks", F.array_distinct(F.transform(rank, lambda r: F.get("__s", r.cast("int")))).alias("__bounds"))
+    path = scratch_path(spark, "split-keys")
+    bounds.write.parquet(path)
+    found = spark.read.schema(bounds.schema).parquet(path)
     return None if found.isEmpty() else found
 
 
+def _chunk_of(x: Column, bounds: Column, most: int) -> Column:
+    """Number of sorted ``bounds`` (``most`` at most) that are not above ``x``, by binary search."""
+    steps = [F.lit(1 << i) for i in range(most.bit_length() - 1, -1, -1)]
+    return F.aggregate(F.array(*steps), F.lit(0), lambda at, step: F.when(
+        (at + step <= F.size(bounds)) & (F.get(bounds, at + step - 1) <= x), at + step).otherwise(at))
+
+
 def running_plain(df: DataFrame, keys: list[str], order: list[str], aggs: dict[str, Agg]) -> DataFrame:
     """The window form, for inputs without hot keys: one shuffle by key (and
     chained scans over the same key reuse that partitioning)."""
@@ -177,10 +225,11 @@ def running(df: DataFrame, keys: list[str], order: list[str], aggs: dict[str, Ag
     """Add one column per entry of ``aggs``: the aggregate over all earlier rows
     of the same key in ``order`` (and the row itself when ``inclusive``).
 
-    ``order[0]`` must be numeric (an offset, or ``unix_micros(ts)``); later
-    entries break ties.  Keys with null parts form their own group, as in SQL
-    windows.
+    ``order`` holds any columns that can be ordered (an offset, ``unix_micros(ts)``;
+    nulls first); later entries break ties.  Keys with null parts form their own
+    group, as in SQL windows.
     """
+    df = settled(df)
     split = split_keys(df, keys, order, cfg)
     return running_plain(df, keys, order, aggs) if split is None else running_chunked(df, keys, order, aggs, split)
 
@@ -194,12 +243,11 @@ def running_chunked(df: DataFrame, keys: list[str], order: list[str], aggs: dict
     kcols = list(kexpr)
     df = df.withColumns(kexpr)
     cond = [F.col(k) == F.col(s) for k, s in zip(kcols, sk)]
-    o0 = F.col(order[0]).cast("double")
-    width = (F.col("__hi") - F.col("__lo") + F.lit(1.0)) / F.col("__chunks")
-    chunk = (F.when(F.col("__chunks").isNull(), 0).when(o0.isNull(), -1)
-              .otherwise(F.floor((o0 - F.col("__lo")) / width)))
+    most = split.agg(F.max(F.size("__bounds"))).first()[0]
+    chunk = F.when(F.col("__bounds").isNull(), 0).otherwise(
+        _chunk_of(F.struct(*[F.col(c) for c in order]), F.col("__bounds"), most))
     flagged = (df.join(broadcast_if_small(split), cond, "left").withColumn("__chunk", chunk.cast("long"))
-                 .drop(*sk, "__chunks", "__lo", "__hi"))
+                 .drop(*sk, "__bounds", "__chunks"))
 
     # (3) running value inside each (key, chunk): the only full shuffle.
     part = kcols + ["__chunk"]
@@ -231,5 +279,5 @@ def running_chunked(df: DataFrame, keys: list[str], order: list[str], aggs: dict
     return out.drop(*drop)
 
 
-__all__ = ["Agg", "ScanConfig", "running", "running_plain", "running_chunked", "split_keys",
+__all__ = ["Agg", "ScanConfig", "running", "running_plain", "running_chunked", "split_keys", "settled",
            "set_scan_config", "scan_config", "DEFAULT_SCAN"]

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import micros
 from ..session import ensure_checkpoint_dir
-from .scan import Agg, ScanConfig, running, running_chunked, running_plain, split_keys
+from .scan import Agg, ScanConfig, running, running_chunked, running_plain, settled, split_keys
 
 
 def _seconds(spec: str | int) -> int:
@@ -121,7 +121,7 @@ def sessions(df: DataFrame, keys: list[str], ts: str, gap: str | int, tiebreak:
     ``spark.checkpoint.dir``) instead of being recomputed.
     """
     g_us = _seconds(gap) * 1_000_000
-    d = df.withColumn("__tsu", micros(ts))
+    d = settled(df.withColumn("__tsu", micros(ts)))
     order = ["__tsu", tiebreak]
     split = split_keys(d, keys, order, cfg)
     scan = (lambda x, a: running_plain(x, keys, order, a)) if split is None else \
