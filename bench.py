@@ -18,7 +18,8 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-STREAMING = ["stream_tumbling_final", "stream_tumbling_grace", "stream_twin_changelog", "stream_leaderboard"]
+STREAMING = ["stream_tumbling_final", "stream_tumbling_grace", "stream_twin_changelog", "stream_leaderboard",
+             "stream_change_monitoring", "stream_leaderboard_asof", "stream_interval_join_grace", "stream_ctas_exact"]
 
 HEADLINE = [
     "ctas_counts", "leaderboard_top3", "interval_join", "vitals_alerts", "stream_table_asof",
@@ -32,7 +33,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     runs = int(os.environ.get("BENCH_RUNS", "5"))
-    from streamtab.plans.catalog import QUERIES
+    from streamtab.plans.registry import QUERIES, STREAM_QUERIES
     names = sys.argv[1:] or list(QUERIES)
     from streamtab.session import get_session
     mem = os.environ.get("BENCH_MEM", "16g")
@@ -51,7 +52,6 @@ def main() -> None:
     # checkpoint per run), reported separately; $BENCH_STREAMS=0 skips them
     stream_times = {}
     if os.environ.get("BENCH_STREAMS", "1") != "0" and not sys.argv[1:]:
-        from streamtab.plans.streams import STREAM_QUERIES
         for n in STREAMING:
             try:
                 t0 = time.perf_counter()

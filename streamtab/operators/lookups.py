@@ -7,10 +7,13 @@ that Spark pushes down to the result's files.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import ensure_checkpoint_dir, scratch_path
+from .store import TableStore, hash_buckets
 
 
 def materialize(df: DataFrame, name: str, sort_by: list[str] | None = None,
@@ -26,6 +29,23 @@ def materialize(df: DataFrame, name: str, sort_by: list[str] | None = None,
     return df.sparkSession.read.schema(df.schema).parquet(out)
 
 
+def named_store(spark: SparkSession, name: str, of: str, part: Column | None = None,
+                keys: list[str] | None = None) -> TableStore:
+    """The store ``name`` over the inputs that the text ``of`` identifies."""
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return TableStore(spark, f"{base}/stores/{name}-{of}", hash_buckets(keys) if part is None else part)
+
+
+def opened(spark: SparkSession, name: str, of: str, build: Callable[[], DataFrame], part: Column | None = None,
+           keys: list[str] | None = None) -> DataFrame:
+    """The content of a named store.  Only the first call for these inputs runs
+    ``build``; every later one reads the newest version and starts no other job."""
+    store = named_store(spark, name, of, part, keys)
+    if store.version() is None:
+        store.commit(0, build())
+    return store.read()
+
+
 def store_all(store: DataFrame) -> DataFrame:  # Q1
     return store
 
@@ -58,3 +78,9 @@ def pull(store: DataFrame, key_col: str, key, window_start=None,
 
 def describe(df: DataFrame) -> list[tuple[str, str]]:  # Q12
     return [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
+
+
+def described(df: DataFrame) -> DataFrame:
+    """Q12 as a frame: position, name and type of every column."""
+    rows = [(i, n, t) for i, (n, t) in enumerate(describe(df), 1)]
+    return df.sparkSession.createDataFrame(rows, "position int, name string, type string")

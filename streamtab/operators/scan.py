@@ -52,7 +52,7 @@ MAX_CHUNKS = 1 << 14
 
 @dataclass(frozen=True)
 class ScanConfig:
-    chunk_rows: int = 512       # least mean number of rows in a chunk
+    chunk_rows: int = 8192      # least mean number of rows in a chunk
     samples: int = 128          # rows sampled per chunk_rows rows; a quarter of them is kept per chunk
 
 
@@ -201,14 +201,19 @@ def split_keys(df: DataFrame, keys: list[str], order: list[str], cfg: ScanConfig
     path = scratch_path(spark, "split-keys")
     bounds.write.parquet(path)
     found = spark.read.schema(bounds.schema).parquet(path)
-    return None if found.isEmpty() else found
+    most = found.agg(F.max(F.size("__bounds"))).first()[0]
+    if most is None:
+        return None
+    found.most_bounds = most                             # read by running_chunked, which else asks again
+    return found
 
 
 def _chunk_of(x: Column, bounds: Column, most: int) -> Column:
-    """Number of sorted ``bounds`` (``most`` at most) that are not above ``x``, by binary search."""
+    """Number of sorted ``bounds`` (``most`` at most) that are not above ``x``, by binary
+    search; beyond the end ``get`` is null, which is not below anything."""
     steps = [F.lit(1 << i) for i in range(most.bit_length() - 1, -1, -1)]
-    return F.aggregate(F.array(*steps), F.lit(0), lambda at, step: F.when(
-        (at + step <= F.size(bounds)) & (F.get(bounds, at + step - 1) <= x), at + step).otherwise(at))
+    return F.aggregate(F.array(*steps), F.lit(0), lambda at, step: at + F.when(
+        F.get(bounds, at + step - 1) <= x, step).otherwise(0))
 
 
 def running_plain(df: DataFrame, keys: list[str], order: list[str], aggs: dict[str, Agg]) -> DataFrame:
@@ -243,7 +248,7 @@ def running_chunked(df: DataFrame, keys: list[str], order: list[str], aggs: dict
     kcols = list(kexpr)
     df = df.withColumns(kexpr)
     cond = [F.col(k) == F.col(s) for k, s in zip(kcols, sk)]
-    most = split.agg(F.max(F.size("__bounds"))).first()[0]
+    most = vars(split).get("most_bounds") or split.agg(F.max(F.size("__bounds"))).first()[0]
     chunk = F.when(F.col("__bounds").isNull(), 0).otherwise(
         _chunk_of(F.struct(*[F.col(c) for c in order]), F.col("__bounds"), most))
     flagged = (df.join(broadcast_if_small(split), cond, "left").withColumn("__chunk", chunk.cast("long"))

@@ -123,7 +123,18 @@ def peek(df: DataFrame, name, *aggs: Column) -> DataFrame:
     return df.observe(name, *(aggs or (F.count(F.lit(1)).alias("rows"),)))
 
 
-# P14 print with a label (debug only; batch shows, streaming uses a console sink)
-def print_labeled(df: DataFrame, label: str, n: int = 20) -> None:
-    print(f"[{label}]")
-    df.show(n, truncate=False)
+# P14 print with a label: the lines that are printed, as a column; ``print_labeled``
+# shows them (batch) or sends them to the console sink (streaming).
+def labeled(df: DataFrame, label: str, key: str, value, out: str = "line") -> DataFrame:
+    return df.withColumn(out, F.concat(F.lit(f"[{label}]: "), F.coalesce(F.col(key).cast("string"), F.lit("null")), F.lit(", "),
+                                       F.coalesce(_c(value).cast("string"), F.lit("null"))))
+
+
+def print_labeled(df: DataFrame, label: str, key: str, value, n: int = 20, checkpoint: str | None = None):
+    """Debugging aid: ``n`` lines of a batch frame, or of every micro-batch of a stream
+    (returns the running query)."""
+    lines = labeled(df, label, key, value).select("line")
+    if not df.isStreaming:
+        return lines.show(n, truncate=False)
+    w = lines.writeStream.format("console").option("numRows", n).option("truncate", "false")
+    return (w.option("checkpointLocation", checkpoint) if checkpoint else w).trigger(availableNow=True).start()

@@ -5,9 +5,12 @@ Semantics of the reference's bounded sorted set: descending score, at most
 scores collapse to the *earliest* arrival.  The final content per group is
 therefore the ``k`` highest distinct scores, each carried by its first row.
 
-Plan: (1) one row per (group, score) with ``min_by(row, order)`` - a hash
-aggregate with map-side combine; (2) ``row_number`` over the group by score
-desc, filtered to ``<= k``.  Spark plans (2) with a partial
+Plan: (0) a hash sample of the rows gives, per group with ``k`` distinct sampled scores,
+a bound that the k-th best score cannot be below; worse rows leave before any
+shuffle, so about ``k / SAMPLE`` scores of a group are shuffled instead of all.
+(1) one row per (group, score) with ``min_by(row, order)`` - a hash
+aggregate with map-side combine, so ties collapse in their task; (2) ``row_number`` over
+the group by score desc, filtered to ``<= k``.  Spark plans (2) with a partial
 ``WindowGroupLimit`` before the shuffle, so each map task sends at most ``k``
 rows per group: a hot group never reaches one task whole.  Keep the payload
 fixed-width (ids, numbers) so (1) is a hash aggregate; attach names after the
@@ -20,9 +23,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+from .joins import broadcast_if_small
+
+
+#: Share of rows that bounds are taken from.
+SAMPLE = 1 / 64
+
+
+def score_bounds(df: DataFrame, group: list[str], score: str, order: list[str], k: int, share: float = SAMPLE) -> DataFrame | None:
+    """Per group (``__g0``, ...) a score that at least ``k`` distinct scores reach, from a hash
+    sample; groups with fewer sampled scores have none.  None if no group has one."""
+    names = [f"__g{i}" for i in range(len(group))]
+    part = df.where(F.pmod(F.xxhash64(*group, score, *order), F.lit(1 << 20)) < int(share * (1 << 20)))
+    seen = part.select(*[F.col(g).alias(n) for g, n in zip(group, names)], F.col(score).alias("__bound")).distinct()
+    w = Window.partitionBy(*names).orderBy(F.col("__bound").desc())
+    kth = (seen.withColumn("__n", F.row_number().over(w)).where((F.col("__n") <= k) & F.col("__bound").isNotNull())
+               .groupBy(*names).agg(F.count(F.lit(1)).alias("__n"), F.min("__bound").alias("__bound"))
+               .where(F.col("__n") == k).drop("__n"))
+    path = scratch_path(df.sparkSession, "score-bounds")
+    kth.write.parquet(path)
+    found = df.sparkSession.read.schema(kth.schema).parquet(path)
+    return None if found.isEmpty() else found
+
 
 def top_k_distinct(df: DataFrame, group: list[str], score: str, order: list[str], k: int = 3,
-                   rank: str = "rank") -> DataFrame:
+                   rank: str = "rank", bounds: DataFrame | None = None) -> DataFrame:
+    """The ``k`` highest distinct scores per group, each with its first row.  ``bounds``
+    (:func:`score_bounds`) drops rows that cannot be among them before the shuffle."""
+    if bounds is not None:
+        cond = [F.col(g).eqNullSafe(F.col(f"__g{i}")) for i, g in enumerate(group)]
+        cols = df.columns
+        df = (df.join(broadcast_if_small(bounds), cond, "left")
+                .where(F.col("__bound").isNull() | (F.col(score) >= F.col("__bound"))).select(*cols))
     cols = [c for c in df.columns if c not in group and c != score]
     if len(order) == 1:
         # one min_by per column: fixed-width buffers, so a hash aggregate

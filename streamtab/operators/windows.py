@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import micros
 from ..session import ensure_checkpoint_dir
+from .joins import broadcast_if_small
 from .scan import Agg, ScanConfig, running, running_chunked, running_plain, settled, split_keys
 
 
@@ -74,31 +75,55 @@ def retained(agg: DataFrame, stream_end: Column, retention: str | int,
 
 
 def stream_time(df: DataFrame, partition: list[str], order: list[str], ts: str,
-                out: str = "stream_time", cfg: ScanConfig | None = None) -> DataFrame:
+                out: str = "stream_time", cfg: ScanConfig | None = None, prior: DataFrame | None = None) -> DataFrame:
     """Stream time of each row: highest event time seen so far (this row
-    included) in its input partition, in arrival order."""
+    included) in its input partition, in arrival order.  ``prior`` (partition
+    columns and ``st_us``, microseconds) is the stream time that earlier input left."""
     d = df.withColumn("__tsu", micros(ts))
     s = running(d, partition, order, {"__st": Agg("max", "__tsu")}, cfg)
+    if prior is not None:
+        p = prior.select(*[F.col(c).alias(f"__p{i}") for i, c in enumerate(partition)], F.col("st_us").alias("__before"))
+        cond = [F.col(c).eqNullSafe(F.col(f"__p{i}")) for i, c in enumerate(partition)]
+        s = (s.join(broadcast_if_small(p), cond, "left").withColumn("__st", F.greatest("__st", "__before"))
+              .drop("__before", *[f"__p{i}" for i in range(len(partition))]))
     return (s.withColumn(out, F.timestamp_micros(F.col("__st")).cast("timestamp_ntz"))
               .drop("__tsu", "__st"))
 
 
 def mark_late(df: DataFrame, partition: list[str], order: list[str], ts: str, size: str | int,
               grace: str | int, slide: str | int | None = None,
-              cfg: ScanConfig | None = None) -> DataFrame:
+              cfg: ScanConfig | None = None, prior: DataFrame | None = None) -> DataFrame:
     """Assign windows and flag rows that arrive after their window closed.
 
     A row is accepted for a window while ``window_end > stream_time - grace``;
     otherwise it is late (dropped by the aggregate, kept by the side output).
-    Hopping windows are checked per window.
+    Hopping windows are checked per window.  ``prior``: see :func:`stream_time`.
     """
-    st = stream_time(df, partition, order, ts, cfg=cfg)
+    st = stream_time(df, partition, order, ts, cfg=cfg, prior=prior)
     w = F.window(ts, _interval(_seconds(size)), _interval(_seconds(slide)) if slide else None)
     return (with_bounds(st.withColumn("window", w))
             .withColumn("is_late", F.col("window_end") <=
                         F.col("stream_time") - F.expr(f"INTERVAL {_seconds(grace)} SECONDS")))
 
 
+def window_closings(df: DataFrame, partition: list[str], order: list[str], ts: str, size: str | int,
+                    grace: str | int, cfg: ScanConfig | None = None) -> DataFrame:
+    """W4 per input partition: the partition columns, ``window_end`` and the ``order``
+    columns of the record at which each tumbling window closed, that is the first one
+    to bring stream time to ``window_end + grace``.  Windows still open have no row.
+
+    Only windows that may hold accepted records are named: those that end by the
+    stream time before plus one window."""
+    size_us, grace_us = _seconds(size) * 1_000_000, _seconds(grace) * 1_000_000
+    d = df.withColumn("__tsu", micros(ts)).where(F.col("__tsu").isNotNull())
+    s = running(d, partition, order, {"__st": Agg("max", "__tsu"), "__before": Agg("max", "__tsu", inclusive=False)}, cfg)
+    nth = lambda c, shift=0: F.floor((F.col(c) - F.lit(shift)) / F.lit(size_us)).cast("long")
+    to = F.least(nth("__st", grace_us), nth("__before") + 1)
+    s = s.withColumn("__from", nth("__before", grace_us)).withColumn("__to", to).where(F.col("__to") > F.col("__from"))
+    return s.select(*partition, F.explode(F.sequence(F.col("__from") + 1, F.col("__to"))).alias("__w"), *order).select(
+        *partition, F.timestamp_micros(F.col("__w") * F.lit(size_us)).cast("timestamp_ntz").alias("window_end"), *order)
+
+
 def refining_counts(df: DataFrame, keys: list[str], order: list[str], ts: str, size: str | int,
                     out: str = "running_count", cfg: ScanConfig | None = None) -> DataFrame:
     """Each input row emits the updated count of its (key, window)."""

@@ -23,11 +23,12 @@ from pyspark.sql import types as T
 from ..functions import scalars as fx
 from ..operators import joins, lookups, stateless as st, tables, topk, windows as win
 from ..operators import state as twin
+from ..operators.store import day_of
 from ..session import scratch_path
 from ..sources import json_codec as jc
 from ..sources import sinks
 from ..sources.declared import format_time, parse_time
-from ..sources.tables import Tables
+from ..sources.tables import Tables, fingerprint
 
 # ---- fixed parameters of the test-data mapping --------------------------------
 TRACKED_ENTITIES = ("the", "der", "la", "el")   # tracked tokens (the reference tracks coin names)
@@ -111,7 +112,8 @@ def sink_roundtrip(spark, d):  # S10 S11 S12 S14 S16
     e = _t(spark, d).events
     schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("user_id", T.LongType()),
                            T.StructField("event_type", T.StringType()), T.StructField("value", T.DoubleType())])
-    return sinks.write_and_reread(spark, e, scratch_path(spark, "sink"), schema, PARTITIONS, "user_id")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))      # as wide as the cluster's shuffles
+    return sinks.write_and_reread(spark, e, scratch_path(spark, "sink"), schema, n, "user_id")
 
 
 # ---- stateless ----------------------------------------------------------------------
@@ -248,7 +250,8 @@ def leaderboard_top3(spark, d):  # A8 E3
     c = t.customer.select("c_custkey", "c_nationkey")
     scored = joins.stream_table_join(o, c, o["o_custkey"] == c["c_custkey"]).select(
         F.col("c_nationkey").alias("n_nationkey"), "o_orderkey", "o_custkey", "o_totalprice")
-    top = topk.top_k_distinct(scored, ["n_nationkey"], "o_totalprice", ["o_orderkey"], 3)
+    bounds = topk.score_bounds(scored, ["n_nationkey"], "o_totalprice", ["o_orderkey"], 3)
+    top = topk.top_k_distinct(scored, ["n_nationkey"], "o_totalprice", ["o_orderkey"], 3, bounds=bounds)
     names = t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_name")
     nations = t.nation.select("n_nationkey", "n_name")
     out = top.join(names, "o_custkey").join(joins.broadcast_if_small(nations), "n_nationkey")
@@ -419,7 +422,11 @@ def _production_changes(spark, d) -> DataFrame:
 
 
 def _season_length_changes(spark, d) -> DataFrame:  # Q10 (CSAS) with F1 F2
-    pc = _production_changes(spark, d)
+    return _season_length_select(_production_changes(spark, d))
+
+
+def _season_length_select(pc: DataFrame) -> DataFrame:
+    """The CSAS on a batch or streaming frame of production changes."""
     return st.keep(pc, "change_type = 'season_length'").select(
         "rowkey", "uuid", "title_id",
         fx.ifnull(fx.field("after", "season_id"), fx.field("before", "season_id")).alias("season_id"),
@@ -451,17 +458,23 @@ def ctas_counts(spark, d):  # Q11: J1 + A3 W1 W2 A4 A5
 # ---- lookups over materialized results (Q1-Q8) -------------------------------------------------
 
 def _leaderboard_store(spark, d) -> DataFrame:
-    return lookups.materialize(leaderboard_array(spark, d), "leaderboards", ["n_nationkey"])
+    return lookups.opened(spark, "top-scores", fingerprint(spark, d, "orders", "customer", "nation"),
+                          lambda: leaderboard_array(spark, d), keys=["n_nationkey"])
 
 
 def _window_store(spark, d) -> DataFrame:
-    return lookups.materialize(tumbling_count(spark, d), "pulse-counts", ["window_start", "user_id"])
+    return lookups.opened(spark, "daily-counts", fingerprint(spark, d, "events"),
+                          lambda: tumbling_count(spark, d), day_of("window_start"))
 
 
 def store_all(spark, d):  # Q1
     return lookups.store_all(_leaderboard_store(spark, d))
 
 
+def window_all(spark, d):  # Q4
+    return lookups.store_all(_window_store(spark, d))
+
+
 def store_get(spark, d):  # Q2
     return lookups.store_get(_leaderboard_store(spark, d), "n_nationkey", LOOKUP_NATION)
 
@@ -479,7 +492,8 @@ def window_key_range(spark, d):  # Q6
 
 
 def pull_windowstart(spark, d):  # Q7 Q8
-    store = lookups.materialize(ctas_counts(spark, d), "season-length-change-counts", ["key", "window_start"])
+    store = lookups.opened(spark, "change-counts", fingerprint(spark, d, "events", "customer"),
+                           lambda: ctas_counts(spark, d), day_of("window_start"))
     return lookups.pull(store, "key", PULL_KEY, _ts(PULL_START))
 
 
@@ -492,7 +506,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         interval_join, leaderboard_top3, leaderboard_array, tumbling_count, tumbling_final, tumbling_refining,
         tumbling_grace, late_rows, latest_by_offset, composite_key, high_rate_rekey, vitals_alerts,
         hopping_count, session_count, sliding_sum, retention_filter, event_time_fallback, twin_changelog,
-        twin_latest, twin_ttl, csas_changes, ctas_counts, store_all, store_get, store_count, window_range,
+        twin_latest, twin_ttl, csas_changes, ctas_counts, store_all, store_get, store_count, window_all, window_range,
         window_key_range, pull_windowstart,
     ]
 }

@@ -317,6 +317,7 @@ ORACLE_SQL: dict[str, str] = {
     "ctas_counts": _CTAS,
 
     "store_all": _LB_ARRAY,
+    "window_all": _DAILY,
     "store_get": f"SELECT * FROM ({_LB_ARRAY}) WHERE n_nationkey = 7",
     "store_count": f"SELECT count(*) AS n FROM ({_LB_ARRAY})",
     "window_range": f"""

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import joins
-from ..operators import state as twin_ops
 from ..plans import catalog as C
 from ..sources.declared import parse_time
 from ..streaming import jobs, runner
@@ -48,18 +47,6 @@ def stream_hopping_final(spark, d):  # W7 streaming
     return _ntz(runner.run_append(spark, agg, "hopping"), "window_start", "window_end")
 
 
-def stream_tumbling_grace(spark, d):  # W2 streaming, exact per record and partition (transformWithState)
-    runner.use_rocksdb(spark)
-    e = event_time(table_stream(spark, d, "events").select("event_id", "user_id", "ts"))
-    e = (e.withColumn("arr", F.col("event_id") + (F.col("event_id") * 7919 % 50) * 4)
-          .withColumn("b", F.col("user_id") % C.PARTITIONS))
-    m = jobs.mark_late_stream(e, "b", "arr", "ts", C.DAY, C.GRACE)
-    agg = m.where(~F.col("is_late")).groupBy("user_id", "window_start", "window_end").agg(
-        F.count(F.lit(1)).alias("n"))
-    final = runner.final_rows(runner.run_changelog(spark, agg, "grace"), ["user_id", "window_start"])
-    return _ntz(final, "window_start", "window_end")
-
-
 def stream_session_final(spark, d):  # W8 streaming (session_window, append)
     e = event_time(table_stream(spark, d, "events").select("user_id", "ts"))
     agg = jobs.session_final(e, ["user_id"], "ts", C.SESSION_GAP, C.GRACE, [F.count(F.lit(1)).alias("n")])
@@ -110,19 +97,6 @@ def stream_table_join_live(spark, d):  # J1 streaming, table re-read per batch (
     return spark.read.parquet(f"{out}/batch=*").select("event_id", "user_id", "c_name", "c_mktsegment", "value")
 
 
-def stream_asof_join(spark, d):  # J1/J2 streaming, exact (transformWithState over stream + changelog)
-    runner.use_rocksdb(spark)
-    e = table_stream(spark, d, "events")
-    purchases = e.where(F.col("event_type") == "purchase").select("event_id", "user_id", "value")
-    changelog = e.where(F.col("event_type").isin("signup", "error")).select(
-        F.col("event_id"), "user_id", F.col("event_id").alias("t_event_id"), F.col("value").alias("t_value"),
-        (F.col("event_type") == "error").alias("__is_error"))
-    j = jobs.asof_join(purchases, changelog, "user_id", "event_id", ["event_id", "user_id", "value"],
-                       ["t_event_id", "t_value"], tombstone=F.col("__is_error"))
-    out = runner.run_append(spark, j, "asof")
-    return out.select(F.col("seq").alias("event_id"), "user_id", "value", "t_event_id", "t_value")
-
-
 def stream_latest_table(spark, d):  # S3 T6 S13 streaming
     e = table_stream(spark, d, "events")
     lt = jobs.latest_table(e, ["user_id"], ["event_id"], ["event_type", "value"], F.col("event_type") == "error")
@@ -130,22 +104,6 @@ def stream_latest_table(spark, d):  # S3 T6 S13 streaming
     return final.where(~F.col("deleted")).drop("deleted")
 
 
-def stream_twin_changelog(spark, d):  # T1 T2 P11 E5 streaming (transformWithState)
-    runner.use_rocksdb(spark)
-    e = table_stream(spark, d, "events")
-    power = F.when(C._k() % 2 == 0, F.lit(twin_ops.POWER_ON)).otherwise(F.lit(twin_ops.POWER_OFF))
-    base = e.where(F.col("event_type").isin("view", "signup")).select(
-        F.col("user_id").alias("key"), "event_id", F.col("ts").cast("timestamp").alias("timestamp"),
-        F.when(F.col("event_type") == "view", F.col("value")).alias("wind_speed_mph"), power.alias("power"),
-        F.when(F.col("event_type") == "view", "REPORTED").otherwise("DESIRED").alias("type"))
-    rep = base.where(F.col("type") == "REPORTED").drop("type")
-    des = base.where(F.col("type") == "DESIRED").drop("type")
-    inputs = twin_ops.twin_inputs(rep, des).withColumn("emit_idx", F.col("emit_idx").cast("long"))
-    out = jobs.twin(inputs, T.LongType())
-    ch = runner.run_changelog(spark, out, "twin").drop("batch_id")
-    return _ntz(ch, "desired_timestamp", "reported_timestamp").withColumn("emit_idx", F.col("emit_idx").cast("int"))
-
-
 def stream_leaderboard(spark, d):  # A8 E3 streaming (transformWithState)
     runner.use_rocksdb(spark)
     t = C._t(spark, d)
@@ -185,32 +143,10 @@ def stream_ctas_counts(spark, d):  # Q11 E6 streaming: chained join -> windowed
     return _ntz(final, "window_start", "window_end")
 
 
-def stream_ctas_exact(spark, d):  # E6 streaming with the reference's exact grace rule (no watermark)
-    runner.use_rocksdb(spark)
-    t = C._t(spark, d)
-    e = table_stream(spark, d, "events")
-    k = C._k()
-    ep = F.floor("value").cast("int")
-    s = e.where(F.col("event_type") != "purchase").select(
-        F.col("event_id").alias("uuid"), F.col("user_id").alias("title_id"), (k % 3).alias("season_id"),
-        F.when(F.col("event_id") % 4 != 0, (ep + k) % 13).alias("new_episode_count"),
-        parse_time(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).cast("timestamp").alias("event_ts"))
-    titles = t.customer.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("title"))
-    en = s.join(titles, s["title_id"] == titles["id"]).drop("id").withColumn("b", F.col("title_id") % C.PARTITIONS)
-    m = jobs.mark_late_stream(en, "b", "uuid", "event_ts", C.DAY, "10 minutes")
-    agg = (m.where(~F.col("is_late")).groupBy("title_id", "season_id", "window_start", "window_end")
-             .agg(F.any_value("title").alias("title"), F.count(F.lit(1)).alias("change_count"),
-                  F.max_by("new_episode_count", F.when(F.col("new_episode_count").isNotNull(), F.col("uuid")))
-                   .alias("episode_count")))
-    fin = runner.final_rows(runner.run_changelog(spark, agg, "ctas-exact"), ["title_id", "season_id", "window_start"])
-    fin = fin.withColumn("key", F.concat_ws("|+|", F.col("title_id").cast("string"), F.col("season_id").cast("string")))
-    return _ntz(fin, "window_start", "window_end")
-
-
 STREAM_QUERIES = {f.__name__: f for f in [
-    stream_greeting, stream_entity_sentiment, stream_tumbling_final, stream_tumbling_grace, stream_hopping_final, stream_session_final, stream_tumbling_refining,
-    stream_vitals_alerts, stream_interval_join, stream_table_join_live, stream_asof_join,
-    stream_latest_table, stream_twin_changelog, stream_leaderboard, stream_ctas_counts, stream_ctas_exact,
+    stream_greeting, stream_entity_sentiment, stream_tumbling_final, stream_hopping_final, stream_session_final, stream_tumbling_refining,
+    stream_vitals_alerts, stream_interval_join, stream_table_join_live,
+    stream_latest_table, stream_leaderboard, stream_ctas_counts,
 ]}
 
 
@@ -224,7 +160,6 @@ def _stream_oracles() -> dict[str, str]:
         "stream_greeting": O["greet_projection"],
         "stream_entity_sentiment": O["entity_sentiment"],
         "stream_tumbling_final": O["tumbling_final"],
-        "stream_tumbling_grace": O["tumbling_grace"],
         "stream_hopping_final": hop_closed,
         "stream_session_final": f"""
       SELECT * FROM ({O['session_count']})
@@ -235,12 +170,9 @@ def _stream_oracles() -> dict[str, str]:
       WHERE window_start + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 2 HOUR""",
         "stream_interval_join": O["interval_join"],
         "stream_table_join_live": O["stream_table_join"],
-        "stream_asof_join": O["stream_table_asof"],
         "stream_latest_table": O["latest_table_tombstones"],
-        "stream_twin_changelog": O["twin_changelog"],
         "stream_leaderboard": O["leaderboard_top3"],
         "stream_ctas_counts": _CTAS,
-        "stream_ctas_exact": _CTAS,
     }
 
 

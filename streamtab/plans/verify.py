@@ -53,9 +53,7 @@ def _rows(cols, rows):
 
 
 def compare(spark, name: str, sf_dir: str, con=None, queries=None, sql=None) -> dict:
-    from .catalog import QUERIES
-    from .oracle import ORACLE_SQL
-    from .streams import STREAM_ORACLE_SQL, STREAM_QUERIES
+    from .registry import ORACLE_SQL, QUERIES, STREAM_ORACLE_SQL, STREAM_QUERIES
     queries = queries or {**QUERIES, **STREAM_QUERIES}
     sql = sql or {**ORACLE_SQL, **STREAM_ORACLE_SQL}
     con = con or duckdb_conn(sf_dir)

@@ -50,6 +50,11 @@ def write_and_reread(spark: SparkSession, df: DataFrame, path: str, schema: T.St
     return reader.load(path)
 
 
+def insert_rows(spark: SparkSession, path: str, schema: T.StructType, rows: list[tuple], fmt: str = "parquet") -> None:
+    """Append literal rows (nested values as tuples) to a table or a stream's folder."""
+    spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").format(fmt).save(path)
+
+
 def stream_sink(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", mode: str = "append",
                 trigger: dict | None = None, query_name: str | None = None):
     """Terminal streaming sink (S11/S12) with a checkpoint for exactly-once files."""

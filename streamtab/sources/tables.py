@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -16,6 +18,20 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def fingerprint(spark: SparkSession, sf_dir: str, *names: str) -> str:
+    """Text that changes when a file of these tables does (paths, lengths, times)."""
+    seen = hashlib.sha256()
+    for name in names:
+        root = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        files = root.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(root, True)
+        found = []
+        while files.hasNext():
+            f = files.next()
+            found.append(f"{f.getPath()} {f.getLen()} {f.getModificationTime()}")
+        seen.update("\n".join(sorted(found)).encode())
+    return seen.hexdigest()[:16]
+
+
 class Tables:
     """Attribute access to the tables of one scale-factor folder."""
 

@@ -17,6 +17,7 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 
 #: Files that one micro-batch takes from a table, which bounds the rows of a trigger.
 MAX_FILES = 256
@@ -42,6 +43,39 @@ def kafka_stream(spark: SparkSession, servers: str, topic: str, starting: str =
                          "timestamp", "partition", "offset"))
 
 
+def _newest_file_ms(spark: SparkSession, path: str) -> int:
+    """Modification time of the newest file below ``path`` (0 without files)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    newest, files = 0, fs.listFiles(p, True) if fs.exists(p) else None
+    while files is not None and files.hasNext():
+        newest = max(newest, files.next().getModificationTime())
+    return newest
+
+
+def file_stream(spark: SparkSession, path: str, schema, checkpoint: str, start: str | int = "earliest", fmt: str = "parquet",
+                max_files_per_trigger: int = MAX_FILES) -> DataFrame:
+    """A folder as a stream from a start position: ``earliest`` (all files), ``latest``
+    (only files that come after the first start) or a time in epoch milliseconds.
+
+    As with a consumer group's offsets, the position counts only where there is none
+    yet: it is kept beside the checkpoint, and a restart goes on from it whatever
+    ``start`` says."""
+    kept = f"{checkpoint.rstrip('/')}-start"
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{kept}/_SUCCESS")
+    if not p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
+        ms = {"earliest": -1, "latest": None}.get(start, start) if isinstance(start, str) else int(start)
+        ms = _newest_file_ms(spark, path) if ms is None else ms
+        if not isinstance(ms, int):
+            raise ValueError(f"start position {start!r}")
+        spark.createDataFrame([(ms,)], "after_ms long").coalesce(1).write.mode("overwrite").json(kept)
+    after = spark.read.schema("after_ms long").json(kept).first()[0]
+    s = spark.readStream.schema(schema).format(fmt).option("maxFilesPerTrigger", max_files_per_trigger).load(path)
+    if after < 0:
+        return s
+    return s.where(F.unix_millis(F.col("_metadata.file_modification_time")) > F.lit(after))
+
+
 def event_time(df: DataFrame, col: str = "ts", out: str | None = None) -> DataFrame:
     """Watermarks need TIMESTAMP; wall-clock columns (TIMESTAMP_NTZ) are read as
     UTC instants (the session time zone is UTC)."""
@@ -60,5 +94,12 @@ def replay(spark: SparkSession, df: DataFrame, order_col: str, chunks: int, path
     return path
 
 
+def arrivals(spark: SparkSession, rows: DataFrame, order_col: str, slices: int = 3) -> DataFrame:
+    """``rows`` as a stream of ``slices`` micro-batches in the order of ``order_col`` (equal
+    ranges of its values; one written file each)."""
+    path = replay(spark, rows, order_col, slices, scratch_path(spark, "arrivals"))
+    return replay_stream(spark, path, rows.schema)
+
+
 def replay_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet") -> DataFrame:
     return spark.readStream.schema(schema).format(fmt).option("maxFilesPerTrigger", 1).load(path)

@@ -27,20 +27,25 @@ def _burst(spark):
 
 
 def test_a_burst_fills_no_single_chunk(spark):
-    got = _sizes(_burst(spark), ["k"], ["us", "id"], ScanConfig())
+    got = _sizes(_burst(spark), ["k"], ["us", "id"], ScanConfig(chunk_rows=512))
     sizes = [r["count"] for r in got]
     assert sum(sizes) == 100_000 and len(sizes) > 150 and max(sizes) <= 4 * sum(sizes) / len(sizes)
 
 
 def test_ties_of_the_first_order_column_are_split(spark):
     df = spark.range(60_000).select(F.lit(None).cast("int").alias("k"), F.lit(7).alias("us"), "id")
-    sizes = [r["count"] for r in _sizes(df, ["k"], ["us", "id"], ScanConfig())]
+    sizes = [r["count"] for r in _sizes(df, ["k"], ["us", "id"], ScanConfig(chunk_rows=512))]
     assert len(sizes) > 80 and max(sizes) <= 4 * 60_000 / len(sizes)
 
 
+def test_default_chunks_of_a_burst(spark):
+    sizes = [r["count"] for r in _sizes(_burst(spark), ["k"], ["us", "id"], ScanConfig())]
+    assert len(sizes) > 8 and max(sizes) <= 4 * 100_000 / len(sizes)
+
+
 def test_text_and_null_order_values_are_split(spark):
     df = spark.range(30_000).select(F.lit("a").alias("k"), F.when(F.col("id") % 3 > 0, F.sha2(F.col("id").cast("string"), 256)).alias("o"), "id")
-    sizes = [r["count"] for r in _sizes(df, ["k"], ["o", "id"], ScanConfig())]
+    sizes = [r["count"] for r in _sizes(df, ["k"], ["o", "id"], ScanConfig(chunk_rows=512))]
     assert len(sizes) > 30 and max(sizes) <= 4 * 30_000 / len(sizes)
 
 
