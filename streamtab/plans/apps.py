@@ -17,7 +17,8 @@ from ..operators import joins, stateless as st, tables, topk, windows as win
 from ..operators import state as twin
 from ..sources import json_codec as jc
 from ..sources import schemas as S
-from ..sources.declared import parse_time
+from ..sources import sinks
+from ..sources.declared import declare_stream, parse_time
 
 # ---- fixed values of the reference flows ------------------------------------------
 GREETING_PREFIX = "Hello, "
@@ -28,6 +29,7 @@ PULSE_GRACE = "5 seconds"
 HIGH_PULSE_BPM = 100
 HIGH_TEMP_F = 100.4
 VITALS_JOIN_S = 60
+VITALS_JOIN_GRACE_S = 10
 CHANGE_WINDOW = "1 hour"
 CHANGE_GRACE = "10 minutes"
 CHANGE_RETENTION = "2 days"
@@ -45,13 +47,11 @@ def entity_sentiment(tweets: DataFrame, col: str = "value", seed: int | None = N
     """Raw tweet JSON -> one row per tracked entity mention (ENTITY_SENTIMENT)."""
     t = jc.decode_columns(tweets, col, S.TWEET, naming="upper_camel")
     t = st.drop_where(t, F.col("retweet"))
-    en, other = st.branch(t, F.col("lang") == "en", F.col("lang") != "en")
-    merged = st.merge(en, st.translate(other, "text"))
-    ex = st.flat_map(merged.withColumn("__toks", fx.tokens("text")), "__toks", "entity", "pos").drop("__toks")
-    ex = ex.where(fx.tracked("entity", TRACKED_CURRENCIES))
-    scores = fx.sentiment_scores("id", "pos", seed)
-    return ex.select(F.col("created_at"), "id", "entity", "text",
-                     *[c.alias(n) for n, c in scores.items()])
+    merged = st.branch_map(t, [F.col("lang") == "en", F.col("lang") != "en"],
+                           text=[F.col("text"), F.concat(F.lit("Translated: "), F.col("text"))])
+    ex = st.flat_map(merged.withColumn("__toks", fx.tokens("text")), "__toks", "entity", "pos",
+                     keep=lambda token: fx.tracked(token, TRACKED_CURRENCIES)).drop("__toks")
+    return sinks.enforce(ex.withColumns(fx.sentiment_scores("id", "pos", seed)), S.ENTITY_SENTIMENT)
 
 
 # E3 -------------------------------------------------------------------------------
@@ -80,27 +80,35 @@ def _keyed(lines: DataFrame, schema) -> DataFrame:
 
 
 # E4 -------------------------------------------------------------------------------
+def _timed(lines: DataFrame, schema, out: str) -> DataFrame:
+    """Keyed lines with event time; records without one take their partition's."""
+    d = _keyed(lines, schema).withColumn("__ts", parse_time("timestamp", None))
+    d = d.withColumn("b", F.pmod(F.hash("key"), F.lit(PARTITIONS)))
+    return win.event_time_with_fallback(d, ["b"], ["seq"], "__ts", out).drop("__ts").where(F.col(out).isNotNull())
+
+
 def pulse_counts(pulses: DataFrame, final: bool = True) -> DataFrame:
-    """Heart rate per patient and 60 s window.  ``final`` keeps windows closed
-    by stream time (grace 5 s); otherwise the refining store content."""
-    p = _keyed(pulses, S.PULSE).withColumn("ts", parse_time("timestamp", None))
-    p = p.withColumn("b", F.pmod(F.hash("key"), F.lit(PARTITIONS)))
+    """Heart rate per patient and 60 s window.  ``final`` keeps windows that their
+    partition's stream time closed (grace 5 s), with the position ``seq`` of the
+    record that closed them; otherwise the refining store content."""
+    p = _timed(pulses, S.PULSE, "ts")
     m = win.mark_late(p, ["b"], ["seq"], "ts", PULSE_WINDOW, PULSE_GRACE)
-    counts = (m.where(~F.col("is_late")).groupBy("key", "window_start", "window_end")
+    counts = (m.where(~F.col("is_late")).groupBy("b", "key", "window_start", "window_end")
                 .agg(F.count(F.lit(1)).alias("heart_rate"), F.max("ts").alias("beat_ts")))
     if final:
-        counts = win.closed_windows(counts, win.max_of(m, "stream_time"), PULSE_GRACE)
+        counts = counts.join(win.window_closings(p, ["b"], ["seq"], "ts", PULSE_WINDOW, PULSE_GRACE), ["b", "window_end"])
     return counts
 
 
 def vitals_alerts(pulses: DataFrame, temps: DataFrame) -> DataFrame:
-    """High heart rate (final windows) joined with high temperature within 60 s."""
+    """High heart rate (final windows) joined with high temperature within 60 s; records
+    that arrive more than 10 s after their join window closed are dropped."""
     high = st.keep(pulse_counts(pulses, final=True), F.col("heart_rate") >= HIGH_PULSE_BPM)
-    t = _keyed(temps, S.BODY_TEMP).withColumn("temp_ts", parse_time("timestamp", None))
-    t = st.keep(t, F.col("temperature") > HIGH_TEMP_F).select(
-        F.col("key").alias("t_key"), "temp_ts",
+    t = st.keep(_timed(temps, S.BODY_TEMP, "temp_ts"), F.col("temperature") > HIGH_TEMP_F).select(
+        F.col("key").alias("t_key"), "temp_ts", "b", "seq",
         F.struct("timestamp", "temperature", "unit").alias("body_temp"))
-    j = joins.interval_join(high, t, "key", "beat_ts", "temp_ts", VITALS_JOIN_S, right_key="t_key")
+    j = joins.interval_join_grace(high, t, "key", "beat_ts", "temp_ts", VITALS_JOIN_S, VITALS_JOIN_GRACE_S, ["b"], ["seq"],
+                                  right_key="t_key")
     return j.select("key", F.col("heart_rate").cast("int").alias("heart_rate"), "body_temp",
                     joins.joined_time("beat_ts", "temp_ts").alias("alert_ts"))
 
@@ -141,15 +149,17 @@ def season_length_changes(changes: DataFrame) -> DataFrame:
 
 
 def change_counts(titles: DataFrame, changes: DataFrame) -> DataFrame:
-    """CTAS: join with the titles table, 1 h tumbling windows, grace 10 min,
-    count and latest-by-offset episode count per (title, season, window)."""
-    s = season_length_changes(changes).withColumn("event_ts", parse_time("created_at"))
-    t = tables.latest(titles, "id", "seq", ["title"]).select(F.col("id").alias("t_id"), "title")
-    enriched = joins.stream_table_join(s, t, s["title_id"] == t["t_id"]).drop("t_id")
+    """CTAS: join with the titles table as of each change's arrival, 1 h tumbling windows,
+    grace 10 min, count and latest-by-offset episode count per (title, season,
+    window), windows of the last 2 days of stream time."""
+    s = declare_stream(season_length_changes(changes).drop("rowkey"), key="title_id", timestamp="created_at")
+    t = titles.select(F.col("id").alias("title_id"), "seq", "title")
+    enriched = tables.asof_lookup(s, t, "title_id", ["seq"], ["title"])
     m = win.mark_late(enriched.withColumn("b", F.pmod(F.hash("rowkey"), F.lit(PARTITIONS))),
                       ["b"], ["seq"], "event_ts", CHANGE_WINDOW, CHANGE_GRACE)
-    return (m.where(~F.col("is_late")).groupBy("title_id", "season_id", "window_start", "window_end")
-              .agg(F.any_value("title").alias("title"), F.count(F.lit(1)).alias("change_count"),
-                   tables.latest_non_null("new_episode_count", "seq").alias("episode_count"))
-              .withColumn("key", F.concat_ws("|+|", F.col("title_id").cast("string"),
-                                             F.col("season_id").cast("string"))))
+    counts = (m.where(~F.col("is_late")).groupBy("title_id", "season_id", "window_start", "window_end")
+               .agg(tables.latest_non_null("t_title", "seq").alias("title"), F.count(F.lit(1)).alias("change_count"),
+                    tables.latest_non_null("new_episode_count", "seq").alias("episode_count"))
+               .withColumn("key", F.concat_ws("|+|", F.col("title_id").cast("string"),
+                                              F.col("season_id").cast("string"))))
+    return win.retained(counts, win.max_of(m, "stream_time"), CHANGE_RETENTION)
