@@ -53,10 +53,6 @@ def sentiment_scores(id_col, pos_col, seed: int | None = None) -> dict[str, Colu
     }
 
 
-# F7/F8 event-time policies for a missing timestamp.
-TS_POLICIES = ("fallback", "skip", "fail")
-
-
 # F9 enum constants: unknown text maps to null, like the reference's JSON reader
 def enum_value(col, allowed) -> Column:
     c = _c(col)
@@ -81,5 +77,5 @@ def micros(ts) -> Column:
     return F.unix_micros(_c(ts).cast("timestamp"))
 
 
-__all__ = ["ifnull", "field", "make_struct", "tokens", "tracked", "sentiment_scores", "TS_POLICIES",
+__all__ = ["ifnull", "field", "make_struct", "tokens", "tracked", "sentiment_scores",
            "enum_value", "whole_days_between", "as_key", "micros"]

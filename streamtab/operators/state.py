@@ -8,7 +8,8 @@ state and forwards the merged record after every input.  Batch replay:
 * latest = ``max_by`` per key and type (hash aggregate, map-side combine);
 * TTL = a filter with an explicit ``as_of`` instead of the wall clock.
 
-The streaming form is :mod:`streamtab.streaming.twin` (``transformWithState``).
+The streaming forms are :class:`streamtab.streaming.exact.TwinCarry` (state between
+micro-batches) and :class:`streamtab.streaming.processors.TwinProcessor` (timers).
 """
 
 from __future__ import annotations

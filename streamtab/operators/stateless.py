@@ -88,12 +88,6 @@ def flat_map(df: DataFrame, array_col, out: str = "item", pos: str = "pos", keep
     return df.select("*", F.inline(items))
 
 
-# P9 re-key a windowed key to the plain key (keep window bounds as columns)
-def unwindow(df: DataFrame, window: str = "window") -> DataFrame:
-    return (df.withColumn("window_start", F.col(f"{window}.start"))
-              .withColumn("window_end", F.col(f"{window}.end")).drop(window))
-
-
 # P10 selectKey: the key is just a column; the shuffle happens at the next
 # group/join on it (Catalyst inserts the exchange lazily, like the reference).
 def select_key(df: DataFrame, key, name: str = "key") -> DataFrame:

@@ -166,13 +166,6 @@ def sessions(df: DataFrame, keys: list[str], ts: str, gap: str | int, tiebreak:
     return out.drop("__sid")
 
 
-def sessions_native(df: DataFrame, keys: list[str], ts: str, gap: str | int,
-                    aggs: list[Column]) -> DataFrame:
-    """W8 with Spark's ``session_window`` (also the streaming form)."""
-    return with_bounds(df.groupBy(*keys, F.session_window(ts, _interval(_seconds(gap))).alias("window"))
-                         .agg(*aggs))
-
-
 def sliding(df: DataFrame, keys: list[str], ts: str, size: str | int, value: str) -> DataFrame:
     """W9 record-aligned sliding aggregation: for every row, count and sum of
     ``value`` over the same key with event time in ``[ts - size, ts]``.

@@ -75,8 +75,7 @@ def leaderboard(scores: DataFrame, players: DataFrame, products: DataFrame) -> D
 
 def _keyed(lines: DataFrame, schema) -> DataFrame:
     """``key|json`` text lines with ``seq`` -> key + typed columns."""
-    key, val = jc.split_keyed_line("value")
-    return lines.select(key.alias("key"), "seq", F.from_json(val, schema).alias("__v")).select("key", "seq", "__v.*")
+    return jc.decode_keyed_text(lines, schema, keep=["seq"])
 
 
 # E4 -------------------------------------------------------------------------------

@@ -27,7 +27,7 @@ from ..operators.store import day_of
 from ..session import scratch_path
 from ..sources import json_codec as jc
 from ..sources import sinks
-from ..sources.declared import format_time, parse_time
+from ..sources.declared import declare_stream, format_time, parse_time
 from ..sources.tables import Tables, fingerprint
 
 # ---- fixed parameters of the test-data mapping --------------------------------
@@ -67,28 +67,25 @@ def _k():
 
 def greet_projection(spark, d):  # E1 P12 P1
     c = _t(spark, d).customer
-    return st.greet(c.select("c_custkey", "c_name"), "c_name").select("c_custkey", "greeting")
+    return st.project(st.greet(c, "c_name"), "c_custkey", "greeting")
 
 
 def json_decode_project(spark, d):  # S6 P1 F11
     e = _t(spark, d).events
-    return e.select("event_id", fx.as_key("user_id").alias("key"),
-                    jc.decode("props", PROPS_SCHEMA)["k"].alias("k"))
+    return st.map_values(e.select("event_id", fx.as_key("user_id").alias("key"), "props"),
+                         k=jc.decode("props", PROPS_SCHEMA)["k"]).drop("props")
 
 
 def keyed_text_decode(spark, d):  # S8 S6
     e = _t(spark, d).events
     lines = e.select("event_id", F.concat_ws("|", F.col("user_id").cast("string"), "props").alias("value"))
-    key, val = jc.split_keyed_line("value")
-    return lines.select("event_id", key.cast("long").alias("key"),
-                        F.from_json(val, PROPS_SCHEMA)["k"].alias("k"))
+    return jc.decode_keyed_text(lines, PROPS_SCHEMA, key_type="long", keep=["event_id"])
 
 
 def declared_stream(spark, d):  # S5 F12
     e = _t(spark, d).events
     txt = e.select("event_id", "user_id", format_time("ts").alias("created_at"))
-    return txt.select("event_id", fx.as_key("user_id").alias("rowkey"), "created_at",
-                      parse_time("created_at").alias("event_ts"))
+    return declare_stream(txt, key="user_id", timestamp="created_at").select("event_id", "rowkey", "created_at", "event_ts")
 
 
 def json_encode_roundtrip(spark, d):  # S7 S6

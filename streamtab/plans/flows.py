@@ -293,6 +293,25 @@ def stream_tumbling_grace(spark, d):  # W2: exact per record and partition
     return counts.read()
 
 
+def stream_refining_exact(spark, d):  # A7, S13: every record emits the new count of its window
+    s = arrivals(spark, C._t(spark, d).events.select("event_id", "user_id", "ts"), "event_id", SLICES)
+    path = scratch_path(spark, "refining")
+    counts = exact.WindowCounts(spark, f"{path}/counts", ["user_id"], {"n": (F.count(F.lit(1)), F.sum("n"))})
+
+    def body(rows, i):
+        log = win.refining_counts(rows, ["user_id"], ["event_id"], "ts", C.DAY)
+        before = counts.store.read(before=i)
+        if before is not None:
+            old = before.select(F.col("user_id").alias("of"), F.col("window_start").alias("at"), F.col("n").alias("before"))
+            log = log.join(old, F.col("user_id").eqNullSafe(F.col("of")) & (F.col("window_start") == F.col("at")), "left").withColumn(
+                "running_count", F.col("running_count") + F.coalesce("before", F.lit(0)))
+        log.select("event_id", "user_id", "window_start", "running_count").write.mode("overwrite").parquet(f"{path}/log/batch={i}")
+        counts.commit(i, win.with_bounds(rows.withColumn("w", F.window("ts", C.DAY)), "w"))
+
+    exact.run_batches(spark, s, "refining", body)
+    return spark.read.parquet(f"{path}/log/batch=*").drop("batch")
+
+
 def stream_late_rows(spark, d):  # W3: the side output
     s = arrivals(spark, _arrived(spark, d).select("event_id", "user_id", "ts", "b", "arr"), "arr", SLICES)
     path = scratch_path(spark, "late")
@@ -413,13 +432,14 @@ QUERIES = {f.__name__: f for f in (interval_join_grace, leaderboard_asof, change
 ORACLE_SQL = {"interval_join_grace": _JOIN_GRACE, "leaderboard_asof": _BOARD, "change_monitoring": _MONITORING, "vitals_monitoring": _VITALS}
 
 STREAM_QUERIES = {f.__name__: f for f in (
-    stream_interval_join_grace, stream_leaderboard_asof, stream_change_monitoring, stream_tumbling_grace, stream_late_rows, stream_ctas_exact,
+    stream_interval_join_grace, stream_leaderboard_asof, stream_change_monitoring, stream_tumbling_grace, stream_late_rows, stream_refining_exact, stream_ctas_exact,
     stream_asof_join, stream_twin_changelog, stream_twin_ttl)}
 
 
 def stream_oracles(batch: dict[str, str]) -> dict[str, str]:
     return {"stream_interval_join_grace": _JOIN_GRACE, "stream_leaderboard_asof": _BOARD, "stream_change_monitoring": _MONITORING,
-            "stream_tumbling_grace": batch["tumbling_grace"], "stream_late_rows": batch["late_rows"], "stream_ctas_exact": batch["ctas_counts"],
+            "stream_tumbling_grace": batch["tumbling_grace"], "stream_late_rows": batch["late_rows"], "stream_refining_exact": batch["tumbling_refining"],
+            "stream_ctas_exact": batch["ctas_counts"],
             "stream_asof_join": batch["stream_table_asof"], "stream_twin_changelog": batch["twin_changelog"],
             "stream_twin_ttl": _twin_ttl_sql(SLICES)}
 

@@ -1,7 +1,7 @@
 """Registered streaming queries (t3: stream = batch).
 
-Each runs a real Structured Streaming job over a whole table (the table's
-files are the stream; ``availableNow``), writes to a sink below the shared
+Each runs a real Structured Streaming job over a whole table (events and orders in
+several micro-batches by arrival; ``availableNow``), writes to a sink below the shared
 checkpoint folder and returns the sink's content.  Its oracle is the SQL of the
 batch twin (restricted to closed windows where the stream emits only those).
 """
@@ -16,13 +16,19 @@ from ..operators import joins
 from ..plans import catalog as C
 from ..sources.declared import parse_time
 from ..streaming import jobs, runner
-from ..streaming.sources import event_time, table_stream
+from ..streaming.sources import arrivals, event_time, table_stream
 
 
 def _ntz(df: DataFrame, *cols: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in cols})
 
 
+def _events(spark, d, *cols) -> DataFrame:
+    """The events in arrival order, as several micro-batches."""
+    e = C._t(spark, d).events
+    return arrivals(spark, e.select(*cols) if cols else e, "event_id")
+
+
 def stream_greeting(spark, d):  # E1 S1 P12 Q9
     c = table_stream(spark, d, "customer")
     out = runner.run_append(spark, c.select("c_custkey", F.concat(F.lit("Hello, "), "c_name").alias("greeting")),
@@ -36,25 +42,25 @@ def stream_entity_sentiment(spark, d):  # E2 streaming: stateless flow, typed si
 
 
 def stream_tumbling_final(spark, d):  # W1 W4 S11
-    e = event_time(table_stream(spark, d, "events").select("user_id", "ts"))
+    e = event_time(_events(spark, d, "event_id", "user_id", "ts")).drop("event_id")
     agg = jobs.windowed_final(e, ["user_id"], "ts", C.DAY, C.GRACE, [F.count(F.lit(1)).alias("n")])
     return _ntz(runner.run_append(spark, agg, "tumbling"), "window_start", "window_end")
 
 
 def stream_hopping_final(spark, d):  # W7 streaming
-    e = event_time(table_stream(spark, d, "events").select("user_id", "ts"))
+    e = event_time(_events(spark, d, "event_id", "user_id", "ts")).drop("event_id")
     agg = jobs.windowed_final(e, ["user_id"], "ts", "2 days", C.GRACE, [F.count(F.lit(1)).alias("n")], slide=C.DAY)
     return _ntz(runner.run_append(spark, agg, "hopping"), "window_start", "window_end")
 
 
 def stream_session_final(spark, d):  # W8 streaming (session_window, append)
-    e = event_time(table_stream(spark, d, "events").select("user_id", "ts"))
+    e = event_time(_events(spark, d, "event_id", "user_id", "ts")).drop("event_id")
     agg = jobs.session_final(e, ["user_id"], "ts", C.SESSION_GAP, C.GRACE, [F.count(F.lit(1)).alias("n")])
     return _ntz(runner.run_append(spark, agg, "sessions"), "window_start", "window_end")
 
 
 def stream_tumbling_refining(spark, d):  # A7 S13 streaming: update mode changelog, last value per window
-    e = event_time(table_stream(spark, d, "events").select("user_id", "ts"))
+    e = event_time(_events(spark, d, "event_id", "user_id", "ts")).drop("event_id")
     agg = (e.groupBy("user_id", F.window("ts", C.DAY).alias("w")).agg(F.count(F.lit(1)).alias("n"))
              .select("user_id", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "n"))
     final = runner.final_rows(runner.run_changelog(spark, agg, "refining"), ["user_id", "window_start"])
@@ -62,7 +68,7 @@ def stream_tumbling_refining(spark, d):  # A7 S13 streaming: update mode changel
 
 
 def stream_vitals_alerts(spark, d):  # E4 streaming: final windowed count -> filter -> interval join
-    e = event_time(table_stream(spark, d, "events").select("event_id", "user_id", "ts", "value"))
+    e = event_time(_events(spark, d, "event_id", "user_id", "ts", "value"))
     temps = e.select(
         "event_id", F.col("user_id").alias("r_key"), F.col("ts").alias("temp_ts"), "value")
     j = jobs.alerts_from_windows(e.select("user_id", "ts"), temps, "user_id", "ts", "temp_ts", C.DAY, C.GRACE,
@@ -73,7 +79,7 @@ def stream_vitals_alerts(spark, d):  # E4 streaming: final windowed count -> fil
 
 
 def stream_interval_join(spark, d):  # J4 streaming
-    e = event_time(table_stream(spark, d, "events").select("event_id", "user_id", "event_type", "ts"))
+    e = event_time(_events(spark, d, "event_id", "user_id", "event_type", "ts"))
     c = e.select(F.col("event_id").alias("click_id"), "user_id", F.col("event_type").alias("c_type"),
                                                         F.col("ts").alias("click_ts"))
     p = e.select(F.col("event_id").alias("purchase_id"), F.col("user_id").alias("p_user_id"),
@@ -87,7 +93,7 @@ def stream_interval_join(spark, d):  # J4 streaming
 
 
 def stream_table_join_live(spark, d):  # J1 streaming, table re-read per batch (H7)
-    e = table_stream(spark, d, "events").select("event_id", "user_id", "value")
+    e = _events(spark, d, "event_id", "user_id", "value")
 
     def load():
         return C._t(spark, d).customer.select("c_custkey", "c_name", "c_mktsegment")
@@ -98,7 +104,7 @@ def stream_table_join_live(spark, d):  # J1 streaming, table re-read per batch (
 
 
 def stream_latest_table(spark, d):  # S3 T6 S13 streaming
-    e = table_stream(spark, d, "events")
+    e = _events(spark, d)
     lt = jobs.latest_table(e, ["user_id"], ["event_id"], ["event_type", "value"], F.col("event_type") == "error")
     final = runner.final_rows(runner.run_changelog(spark, lt, "latest"), ["user_id"])
     return final.where(~F.col("deleted")).drop("deleted")
@@ -107,7 +113,7 @@ def stream_latest_table(spark, d):  # S3 T6 S13 streaming
 def stream_leaderboard(spark, d):  # A8 E3 streaming (transformWithState)
     runner.use_rocksdb(spark)
     t = C._t(spark, d)
-    o = table_stream(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    o = arrivals(spark, t.orders.select("o_orderkey", "o_custkey", "o_totalprice"), "o_orderkey")
     c = t.customer.select("c_custkey", "c_name", "c_nationkey")
     n = t.nation.select("n_nationkey", "n_name")
     en = (o.join(c, o["o_custkey"] == c["c_custkey"]).join(joins.broadcast_if_small(n), F.col("c_nationkey") == n["n_nationkey"])
@@ -122,7 +128,7 @@ def stream_leaderboard(spark, d):  # A8 E3 streaming (transformWithState)
 
 def stream_ctas_counts(spark, d):  # Q11 E6 streaming: chained join -> windowed count + latest-by-offset
     t = C._t(spark, d)
-    e = table_stream(spark, d, "events")
+    e = _events(spark, d)
     k = C._k()
     ep = F.floor("value").cast("int")
     s = e.where(F.col("event_type") != "purchase").select(

@@ -59,11 +59,12 @@ def split_keyed_line(line: str | Column = "value", sep: str = "|") -> tuple[Colu
 
 
 def decode_keyed_text(df: DataFrame, schema: T.StructType, line: str = "value",
-                      key_type: str = "string", sep: str = "|") -> DataFrame:
-    """``read.text`` output -> ``key`` + typed value columns."""
+                      key_type: str = "string", sep: str = "|", keep: list[str] | None = None) -> DataFrame:
+    """``read.text`` output -> ``key`` + the columns to keep + typed value columns."""
     k, v = split_keyed_line(line, sep)
-    return (df.select(k.cast(key_type).alias("key"), F.from_json(v, schema).alias("__v"))
-              .select("key", "__v.*"))
+    keep = keep or []
+    return (df.select(k.cast(key_type).alias("key"), *keep, F.from_json(v, schema).alias("__v"))
+              .select("key", *keep, "__v.*"))
 
 
 def with_corrupt_flag(df: DataFrame, col: str, schema: T.StructType, out: str = "parsed") -> DataFrame:

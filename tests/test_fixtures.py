@@ -1,4 +1,8 @@
-"""t0: hand-derived expectations on the reference's sample records (FIXTURES.md)."""
+"""t0: hand-derived expectations on sample records (FIXTURES.md).
+
+The blocks marked "fixed sample values" are records whose results are known; every other
+record is invented here for an edge case.
+"""
 
 import datetime as dt
 
@@ -18,6 +22,7 @@ def test_greeting(spark):
 
 
 # E2 ---------------------------------------------------------------------------------
+# fixed sample values
 TWEETS = [
     '{"CreatedAt":1577933872630,"Id":10005,"Text":"Bitcoin has a lot of promise. I\'m not too sure about '
     '#ethereum","Lang":"en","Retweet":false,"Source":"","User":{"Id":"1","Name":"x"}}',
@@ -56,6 +61,7 @@ def test_entity_sentiment_edge_cases(spark):
 
 
 # E3 ---------------------------------------------------------------------------------
+# fixed sample values
 PLAYERS = ['1|{"id": 1, "name": "Elyse"}', '2|{"id": 2, "name": "Mitch"}',
            '3|{"id": 3, "name": "Isabelle"}', '4|{"id": 4, "name": "Sammy"}']
 PRODUCTS = ['1|{"id": 1, "name": "Super Smash Bros"}', '6|{"id": 6, "name": "Mario Kart"}']
@@ -100,12 +106,14 @@ def test_leaderboard_ties_arrival_and_asof(spark):
 
 # E4 ---------------------------------------------------------------------------------
 def _pulse_lines():
+    # fixed sample values: beats every half second, then a few later ones
     base = dt.datetime(2020, 11, 23, 9, 2, 0)
     offs = [i * 0.5 for i in range(120)] + [60.0, 60.5, 61.5, 62.5, 63.5, 64.5, 65.5]
     return ['1|{"timestamp": "%sZ"}' % (base + dt.timedelta(seconds=o)).isoformat(timespec="milliseconds")
             for o in offs]
 
 
+# fixed sample values
 TEMPS = ['1|{"timestamp": "2020-11-23T09:03:06.500Z", "temperature": 101.2, "unit": "F"}']
 
 
@@ -132,6 +140,7 @@ def test_vitals_no_alert_at_threshold(spark):
 
 
 # E5 ---------------------------------------------------------------------------------
+# fixed sample values
 REPORTED = ['1|{"timestamp": "2020-11-23T09:02:00.000Z", "wind_speed_mph": 40, "power": "ON", "type": "REPORTED"}',
             '1|{"timestamp": "2020-11-23T09:02:00.500Z", "wind_speed_mph": 42, "power": "ON", "type": "REPORTED"}',
             '1|{"timestamp": "2020-11-23T09:02:01.000Z", "wind_speed_mph": 44, "power": "ON", "type": "REPORTED"}',
@@ -171,6 +180,7 @@ def test_twin_high_wind_edges(spark):
 
 # E6 ---------------------------------------------------------------------------------
 def _changes(spark):
+    # fixed sample values: counts and times
     rows = [(12, 8, "2021-02-24 10:00:00"), (8, 10, "2021-02-24 11:00:00"), (10, 8, "2021-02-24 10:59:00"),
             (8, 12, "2021-02-24 11:10:00"), (12, 8, "2021-02-24 10:59:00")]
     data = [("1", 1, 1, "season_length", (1, b), (1, a), ts, 10 + i) for i, (b, a, ts) in enumerate(rows)]
@@ -180,6 +190,7 @@ def _changes(spark):
 
 
 def _titles(spark):
+    # fixed sample values: the titles
     return spark.createDataFrame([(1, "Stranger Things", 0), (2, "Black Mirror", 1), (3, "Bojack Horseman", 2)],
                                  "id int, title string, seq long")
 
