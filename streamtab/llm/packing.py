@@ -25,76 +25,56 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from streamtab.llm import common
+from streamtab.llm.unit_cache import UnitCache
 
 CAPACITY = 4096
 #: Open bins per task.
 OPEN_BINS = 512
-#: Distinct words whose ids a task caches before it starts again.
-CACHE_WORDS = 250_000
+#: Distinct words whose ids a Python worker caches before it drops the rarer ones.
+CACHE_WORDS = 500_000
 END_ID = 1
 
 
-class WordIds:
-    """Little-endian uint32 ids of white-space separated words, cached.
+class WordIds(UnitCache):
+    """Little-endian uint32 ids of texts, from cached words.
 
-    White space never lies inside a token, so a text's ids are its words' ids.
-    An ASCII word has the ids of its lower-case form, and a single full stop or
-    comma after an ASCII letter or digit is always a token of its own.  The
-    cache keeps two generations: words in use move to the newer one.
-    """
+    White space never lies inside a token, so a text's ids are its words' ids, and
+    an ASCII text has the ids of its lower-case form.  Letters are one pretoken
+    and a full stop or comma after them another, each ended by a token of its own
+    kind, so such words are encoded many at a time."""
 
     def __init__(self, path: str, cache_words: int = CACHE_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
-        self.cache: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
-        self.cache_words = cache_words
-
-    def learn(self, words: set[bytes]) -> None:
-        if len(self.cache) > self.cache_words:
-            self.old, self.cache = self.cache, {}
-        cache, old = self.cache, self.old
-        parts, need = [], set()
-        for w in words:
-            if w in cache:
-                continue
-            if (got := old.get(w)) is not None:
-                cache[w] = got
-                continue
-            base, tail = w.lower() if w.isascii() else w, b""
-            if base[-1:] in (b".", b",") and base[-2:-1].isalnum():
-                base, tail = base[:-1], base[-1:]
-            parts.append((w, base, tail))
-            need.update((base, tail) if tail else (base,))
-        new = [x for x in need if x not in cache]
-        for i in range(0, len(new), 20_000):
-            part = new[i:i + 20_000]
-            for w, e in zip(part, self.tok.encode_batch_fast([x.decode() for x in part], add_special_tokens=False)):
-                cache[w] = np.array(e.ids, "<u4").tobytes()
-        for w, base, tail in parts:
-            cache[w] = cache[base] + cache[tail] if tail else cache[base]
-
-    def encode_all(self, bodies: list[bytes | None]):
-        """The ids of every body, in order."""
-        lists, size = [], 0
-        for body in bodies:
-            lists.append(body.split() if body else [])
-            size += len(body or b"")
-            if size > 8 << 20:
-                yield from self._flush(lists)
-                lists, size = [], 0
-        yield from self._flush(lists)
-
-    def _flush(self, lists):
-        self.learn(set().union(*lists))
-        get = self.cache.__getitem__
-        for words in lists:
-            yield b"".join(map(get, words))
-
-    def encode(self, body: bytes | None) -> bytes:
-        return next(iter(self.encode_all([body])))
+        super().__init__("<u4", cache_words)
+        vocabulary = self.tok.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closes[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+
+    def split(self, body: bytes) -> list[bytes]:
+        return (body.lower() if body.isascii() else body).split()
+
+    def learn(self, units: list[bytes], first: int) -> None:
+        plain, parts, rest = [], [], []
+        for i, u in enumerate(units):
+            tail = u[-1] in b".,"
+            if (u[:-1] if tail else u).isalpha():
+                plain.append(i)
+                parts.append(1 + tail)
+            else:
+                rest.append(i)
+        for lo in range(0, len(plain), 2_000):
+            part = plain[lo:lo + 2_000]
+            ids = self.ids(self.tok, b" ".join([units[i] for i in part]).decode())
+            ends = (np.flatnonzero(self.closes[ids]) + 1)[np.cumsum(parts[lo:lo + 2_000]) - 1]
+            self.put(np.array(part) + first, ids, np.append(0, ends[:-1]), np.diff(np.append(0, ends)))
+        for lo in range(0, len(rest), 20_000):
+            part = rest[lo:lo + 20_000]
+            got = [e.ids for e in self.tok.encode_batch_fast([units[i].decode() for i in part], add_special_tokens=False)]
+            sizes = np.array([len(g) for g in got], np.int64)
+            self.put(np.array(part) + first, np.array([x for g in got for x in g], self.width), np.cumsum(sizes) - sizes, sizes)
 
 
 _WORDS: dict[str, WordIds] = {}

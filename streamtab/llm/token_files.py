@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from streamtab.llm import common
+from streamtab.llm.unit_cache import UnitCache
 
 END_ID = 2
 MAX_BITS = 18
@@ -68,20 +69,7 @@ def _units(body: bytes) -> list[bytes] | None:
     return units
 
 
-class _Numbers(dict):
-    """Numbers of units; a new unit gets the next one and is noted in ``new``."""
-
-    def __init__(self):
-        super().__init__()
-        self.new: list[bytes] = []
-
-    def __missing__(self, unit: bytes) -> int:
-        n = self[unit] = len(self)
-        self.new.append(unit)
-        return n
-
-
-class UnitIds:
+class UnitIds(UnitCache):
     """Ids of texts under a byte-level tokenizer, by cached units.
 
     Its pretokeniser always cuts before a single space and around a single line
@@ -89,8 +77,7 @@ class UnitIds:
     are those of its units one after the other: the first word, then words with
     the space or line end before them.  A unit is written without its space, with
     its line end, and the first one with a carriage return, which no such text
-    holds.  All other texts are encoded whole.  The cache numbers the units and
-    keeps their ids end to end; when full it keeps those used again, at most half."""
+    holds.  All other texts are encoded whole."""
 
     def __init__(self, path: str, cache_units: int = CACHE_UNITS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -100,45 +87,12 @@ class UnitIds:
         self.tok.encode_special_tokens = self.letters.encode_special_tokens = True     # ordinary text
         self.letters.pre_tokenizer = CharDelimiterSplit(" ")        # for a space (as its symbol) and ASCII letters
         vocabulary = self.tok.get_vocab()
-        self.width = "<u2" if max(vocabulary.values()) < 1 << 16 else "<u4"
+        super().__init__("<u2" if max(vocabulary.values()) < 1 << 16 else "<u4", cache_units)
         self.opens, self.breaks = (np.zeros(max(vocabulary.values()) + 1, bool) for _ in range(2))
         self.opens[[i for t, i in vocabulary.items() if t.startswith("Ġ")]] = True
         self.breaks[vocabulary["Ċ"]] = True
-        self.cache_units = cache_units
-        self._start()
-
-    def _start(self) -> None:
-        self.numbers, self.used = _Numbers(), 0
-        self.flat = np.zeros(1 << 16, self.width)
-        self.at, self.sizes, self.uses = (np.zeros(1 << 16, np.int64) for _ in range(3))
-
-    def _shrink(self) -> None:
-        numbers, n = self.numbers, len(self.numbers)
-        uses = self.uses[:n]
-        keep = np.flatnonzero(uses >= max(2, np.partition(uses, n // 2)[n // 2] + 1))
-        at, sizes, flat, units = self.at[keep], self.sizes[keep], self.flat, np.array(list(numbers), object)[keep]
-        self._start()
-        self.numbers.update(zip(units.tolist(), range(len(keep))))
-        ends = np.cumsum(sizes)
-        place = np.repeat(at - ends + sizes, sizes) + np.arange(int(ends[-1]) if len(ends) else 0)
-        self._grow(len(keep), len(place))
-        self.flat[:len(place)], self.used = flat[place], len(place)
-        self.at[:len(keep)], self.sizes[:len(keep)] = ends - sizes, sizes
-
-    def _grow(self, units: int, ids: int) -> None:
-        while units > len(self.at):
-            self.at, self.sizes, self.uses = (np.append(x, np.zeros_like(x)) for x in (self.at, self.sizes, self.uses))
-        while ids > len(self.flat):
-            self.flat = np.append(self.flat, np.zeros_like(self.flat))
-
-    def _ids(self, tok, text: str) -> np.ndarray:
-        return np.array(tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.width)
-
-    def _learn(self) -> None:
-        """Find the ids of the units that were numbered since the last call."""
-        units, first = self.numbers.new, len(self.numbers) - len(self.numbers.new)
-        self.numbers.new = []
-        self._grow(len(self.numbers), self.used)
+
+    def learn(self, units: list[bytes], first: int) -> None:
         kinds: list[list[int]] = [[], [], [], []]
         for i, u in enumerate(units):
             kinds[0 if u.isalpha() else 2 if u[0] == 13 else 3 if u[0] == 10 else 1].append(i)
@@ -147,52 +101,20 @@ class UnitIds:
                 part = which[lo:lo + 2_000]
                 # joined by what the units begin with; each one's ids begin with that of the sign before it
                 if kind == 0:
-                    ids = self._ids(self.letters, "Ġ" + " Ġ".join([units[i].decode() for i in part]))
+                    ids = self.ids(self.letters, "Ġ" + " Ġ".join([units[i].decode() for i in part]))
                 elif kind == 1:
-                    ids = self._ids(self.tok, " " + b" ".join([units[i] for i in part]).decode())
+                    ids = self.ids(self.tok, " " + b" ".join([units[i] for i in part]).decode())
                 else:
-                    ids = self._ids(self.tok, "\n" + b"\n".join([units[i][1:] for i in part]).decode())
+                    ids = self.ids(self.tok, "\n" + b"\n".join([units[i][1:] for i in part]).decode())
                 at = np.flatnonzero((self.opens if kind < 2 else self.breaks)[ids])
                 size = np.diff(np.append(at, len(ids)))
                 if kind == 2:
                     at, size = at + 1, size - 1
-                self._grow(0, self.used + len(ids))
-                self.flat[self.used:self.used + len(ids)] = ids
-                to = np.array(part) + first
-                self.at[to], self.sizes[to] = at + self.used, size
-                self.used += len(ids)
-
-    def encode_all(self, bodies: list[bytes | None]):
-        """The ids of every body, in order, as bytes of ``width``."""
-        held, size = [], 0
-        for body in bodies:
-            units = _units(body) if body else []
-            held.append(self._ids(self.tok, body.decode()).tobytes() if units is None else units)
-            size += len(body or b"")
-            if size > 4 << 20:
-                yield from self._flush(held)
-                held, size = [], 0
-        yield from self._flush(held)
-
-    def _flush(self, held: list):
-        if len(self.numbers) > self.cache_units:
-            self._shrink()
-        get = self.numbers.__getitem__
-        index = [np.fromiter(map(get, h), np.int64, len(h)) for h in held if isinstance(h, list)]
-        self._learn()
-        if index:
-            used = np.bincount(np.concatenate(index))
-            self.uses[:len(used)] += used
-        index = iter(index)
-        for h in held:
-            if isinstance(h, bytes):
-                yield h
-                continue
-            at = next(index)
-            n = self.sizes[at]
-            place = np.repeat(self.at[at] - np.cumsum(n) + n, n)
-            place += np.arange(len(place))
-            yield self.flat[place].tobytes()
+                self.put(np.array(part) + first, ids, at, size)
+
+    def split(self, body: bytes) -> list[bytes] | bytes:
+        units = _units(body)
+        return self.ids(self.tok, body.decode()).tobytes() if units is None else units
 
 
 _UNITS: dict[str, UnitIds] = {}
