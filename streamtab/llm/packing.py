@@ -46,8 +46,12 @@ class WordIds(UnitCache):
     def __init__(self, path: str, cache_words: int = CACHE_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.normalizers import Sequence
+        from tokenizers.pre_tokenizers import CharDelimiterSplit
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
+        self.letters = Tokenizer.from_file(path)         # for lower-case ASCII letters and single signs between spaces
+        self.letters.normalizer, self.letters.pre_tokenizer = Sequence([]), CharDelimiterSplit(" ")
         super().__init__("<u4", cache_words)
         vocabulary = self.tok.get_vocab()
         self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -57,19 +61,27 @@ class WordIds(UnitCache):
         return (body.lower() if body.isascii() else body).split()
 
     def learn(self, units: list[bytes], first: int) -> None:
-        plain, parts, rest = [], [], []
+        # words of ASCII letters, of Latin letters, and others; the first two with or without one sign after them
+        plain, latin, rest = ([], [], []), ([], [], []), []
         for i, u in enumerate(units):
             tail = u[-1] in b".,"
-            if (u[:-1] if tail else u).isalpha():
-                plain.append(i)
-                parts.append(1 + tail)
+            stem = u[:-1] if tail else u
+            if stem.isalpha():
+                which, word = plain, stem.lower()
+            elif not stem.isascii() and (t := stem.decode()).isalpha() and max(t) < "\u0250" and "\u0130" not in t:
+                which, word = latin, stem
             else:
                 rest.append(i)
-        for lo in range(0, len(plain), 2_000):
-            part = plain[lo:lo + 2_000]
-            ids = self.ids(self.tok, b" ".join([units[i] for i in part]).decode())
-            ends = (np.flatnonzero(self.closes[ids]) + 1)[np.cumsum(parts[lo:lo + 2_000]) - 1]
-            self.put(np.array(part) + first, ids, np.append(0, ends[:-1]), np.diff(np.append(0, ends)))
+                continue
+            which[0].append(i)
+            which[1].append(word + b" " + u[-1:] if tail else word)
+            which[2].append(1 + tail)
+        for tok, (numbers, words, parts) in ((self.letters, plain), (self.tok, latin)):
+            for lo in range(0, len(numbers), 2_000):
+                hi = lo + 2_000
+                ids = self.ids(tok, b" ".join(words[lo:hi]).decode())
+                ends = (np.flatnonzero(self.closes[ids]) + 1)[np.cumsum(parts[lo:hi]) - 1]
+                self.put(np.array(numbers[lo:hi]) + first, ids, np.append(0, ends[:-1]), np.diff(np.append(0, ends)))
         for lo in range(0, len(rest), 20_000):
             part = rest[lo:lo + 20_000]
             got = [e.ids for e in self.tok.encode_batch_fast([units[i].decode() for i in part], add_special_tokens=False)]

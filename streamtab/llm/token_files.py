@@ -85,7 +85,7 @@ class UnitIds(UnitCache):
         from tokenizers.pre_tokenizers import CharDelimiterSplit
         self.tok, self.letters = Tokenizer.from_file(path), Tokenizer.from_file(path)
         self.tok.encode_special_tokens = self.letters.encode_special_tokens = True     # ordinary text
-        self.letters.pre_tokenizer = CharDelimiterSplit(" ")        # for a space (as its symbol) and ASCII letters
+        self.letters.pre_tokenizer = CharDelimiterSplit(" ")        # for a space (as its symbol Ġ) with ASCII letters, and signs
         vocabulary = self.tok.get_vocab()
         super().__init__("<u2" if max(vocabulary.values()) < 1 << 16 else "<u4", cache_units)
         self.opens, self.breaks = (np.zeros(max(vocabulary.values()) + 1, bool) for _ in range(2))
@@ -94,18 +94,25 @@ class UnitIds(UnitCache):
 
     def learn(self, units: list[bytes], first: int) -> None:
         kinds: list[list[int]] = [[], [], [], []]
+        texts: list[list[bytes]] = [[], [], [], []]
         for i, u in enumerate(units):
-            kinds[0 if u.isalpha() else 2 if u[0] == 13 else 3 if u[0] == 10 else 1].append(i)
+            if u.isalpha():
+                kind = 0
+            elif u[-1] in b".,;:!?" and u[:-1].isalpha():           # one sign is a pretoken of its own
+                kind, u = 0, u[:-1] + b" " + u[-1:]
+            else:
+                kind, u = (2, u[1:]) if u[0] == 13 else (3, u[1:]) if u[0] == 10 else (1, u)
+            kinds[kind].append(i)
+            texts[kind].append(u)
         for kind, which in enumerate(kinds):
             for lo in range(0, len(which), 2_000):
-                part = which[lo:lo + 2_000]
+                part, text = which[lo:lo + 2_000], texts[kind][lo:lo + 2_000]
                 # joined by what the units begin with; each one's ids begin with that of the sign before it
                 if kind == 0:
-                    ids = self.ids(self.letters, "Ġ" + " Ġ".join([units[i].decode() for i in part]))
-                elif kind == 1:
-                    ids = self.ids(self.tok, " " + b" ".join([units[i] for i in part]).decode())
+                    ids = self.ids(self.letters, (b"\xc4\xa0" + b" \xc4\xa0".join(text)).decode())
                 else:
-                    ids = self.ids(self.tok, "\n" + b"\n".join([units[i][1:] for i in part]).decode())
+                    sep = b" " if kind == 1 else b"\n"
+                    ids = self.ids(self.tok, (sep + sep.join(text)).decode())
                 at = np.flatnonzero((self.opens if kind < 2 else self.breaks)[ids])
                 size = np.diff(np.append(at, len(ids)))
                 if kind == 2:

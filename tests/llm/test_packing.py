@@ -99,3 +99,18 @@ def test_edges_and_close_to_the_least(spark):
     again = packing.pack(spark.createDataFrame(lens, "doc_id long, piece int, length long").repartition(7)).agg(F.sum(F.xxhash64("doc_id", "sequence_id", "offset") % 1000)).first()
     first = packing.pack(spark.createDataFrame(lens, "doc_id long, piece int, length long").repartition(3)).agg(F.sum(F.xxhash64("doc_id", "sequence_id", "offset") % 1000)).first()
     assert again == first                                          # the dealing depends on the rows alone
+
+
+def test_words_of_many_kinds_equal_whole_text_encoding():
+    import random
+
+    import numpy as np
+    import public_tokenizers as P
+    rng = random.Random(6)
+    odd = ["\u0130stanbul", "J\u030c", "Stra\u00dfe,", "\u00c9t\u00e9.", "na\u00efve", "\u01c5ep", "\u0149a", "e\u0301a.", "\u212b", "\u03a3\u03c3\u03c2", "it's", "We'LL", "a1b2", "...",
+           ".", ",", "a..", "x,.", "(y)", "\u4f60\u597d", "\U0001f600", "<|endoftext|>", "\u00aa", "\u00b5m", "I\u0307", "\u00a0", "a\u00a0b", "\x00", "\u1e9e"]
+    w = packing.WordIds(P.path("word_bpe_49k.json"), cache_words=20)
+    texts = [" ".join(rng.choice(odd) if rng.random() < 0.6 else "".join(rng.choice("abcXYZ\u00e9\u00dc.,") for _ in range(rng.randint(1, 7))) for _ in range(rng.randint(1, 9)))
+             for _ in range(600)]
+    want = [w.tok.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(x, "<u4").tolist() for x in w.encode_all([t.encode() for t in texts])] == want
