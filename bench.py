@@ -19,7 +19,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 STREAMING = ["stream_tumbling_final", "stream_tumbling_grace", "stream_twin_changelog", "stream_leaderboard",
-             "stream_change_monitoring", "stream_leaderboard_asof", "stream_interval_join_grace", "stream_ctas_exact"]
+             "stream_change_monitoring", "stream_ctas_exact"]
 
 HEADLINE = [
     "ctas_counts", "leaderboard_top3", "interval_join", "vitals_alerts", "stream_table_asof",

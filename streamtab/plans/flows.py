@@ -188,7 +188,7 @@ def _change_result(counts: DataFrame) -> DataFrame:
 def change_monitoring(spark, d):  # E6: S5, CSAS, J1 at arrival, W2, A3-A5, W6
     e = _arrived(spark, d)
     named = tables.asof_lookup(_changes(e), _titles(e), "title_id", ORDER, ["title"], tombstone=F.col("dead"))
-    marked = win.mark_late(named, ["b"], ORDER, "event_ts", C.DAY, CHANGE_GRACE)
+    marked = win.settled(win.mark_late(named, ["b"], ORDER, "event_ts", C.DAY, CHANGE_GRACE))    # read twice below
     counts = marked.where(~F.col("is_late")).groupBy(*_CHANGE_KEYS, "window_start", "window_end").agg(
         *[a.alias(n) for n, (a, _) in _change_aggs().items()])
     return win.retained(_change_result(counts), win.max_of(marked, "stream_time"), f"{RETENTION_DAYS} days")
@@ -243,7 +243,7 @@ def _pulses(e: DataFrame) -> DataFrame:
 
 def vitals_monitoring(spark, d):  # E4: F7, W2, A4, W4, P2, P9, J4 with grace
     e = _arrived(spark, d).select("event_id", "user_id", "ts", "value", "b", "arr")
-    marked = win.mark_late(_pulses(e), ["b"], ORDER, "ts", C.DAY, C.GRACE)
+    marked = win.settled(win.mark_late(_pulses(e), ["b"], ORDER, "ts", C.DAY, C.GRACE))      # read twice below
     counts = marked.where(~F.col("is_late")).groupBy("b", "user_id", "window_start", "window_end").agg(
         F.count(F.lit(1)).alias("heart_rate"), F.max("ts").alias("beat_ts"))
     closed = win.window_closings(marked.drop("window_start", "window_end"), ["b"], ORDER, "ts", C.DAY, C.GRACE)
