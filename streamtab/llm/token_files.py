@@ -169,7 +169,7 @@ class Code:
     """Canonical code of given lengths: codes for writing, a table for reading."""
 
     def __init__(self, lengths: np.ndarray):
-        self.lengths = lengths.astype(np.int64)
+        self.lengths = lengths.astype(np.int32)
         used = np.flatnonzero(lengths)
         order = used[np.lexsort((used, lengths[used]))]
         self.bits = max(int(lengths.max(initial=0)), 1)
@@ -199,12 +199,14 @@ class Code:
         """Sizes of rows, the byte each begins at (from ``base`` on), checkpoints and bits."""
         sizes = np.array([len(r) for r in rows], np.int64)
         ids = np.concatenate(rows)
-        before = np.cumsum(self.lengths[ids])
+        # bit places within a part, or one longer row, in 32 bits where they fit
+        before = np.cumsum(self.lengths[ids], dtype=np.int32 if len(ids) * self.bits < 1 << 30 else np.int64)
         ends = np.concatenate([[0], before[np.cumsum(sizes) - 1]])
         row_at = np.concatenate([[0], np.cumsum((np.diff(ends) + 7) >> 3)])
         row_bit = row_at[:-1] * 8
-        at = np.concatenate([[0], before[:-1]])
-        at += np.repeat(row_bit - ends[:-1], sizes)
+        at = np.empty_like(before)
+        at[0], at[1:] = 0, before[:-1]
+        at += np.repeat((row_bit - ends[:-1]).astype(at.dtype), sizes)
         word = at >> 5
         value = self.codes[ids] >> (at & 31).astype(np.uint64)    # the bits of a 32-bit word and of the next
         start = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
@@ -342,7 +344,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, key: str = "doc_id", text:
     common.prepare(spark)
     raw, width = f"{path}/ids", unit_ids(tokenizer).width
     tokens = _tokenise(docs, tokenizer, key, text, end_id)
-    tokens.write.option("compression", "zstd").parquet(raw)
+    tokens.write.option("compression", "zstd").option("parquet.compression.codec.zstd.level", "1").parquet(raw)
     ids = spark.read.schema(tokens.schema).parquet(raw)
     lengths = code_lengths(_counts(ids, width))
     spark.createDataFrame([(bytearray(lengths.tobytes()),)], "lengths binary").coalesce(1).write.parquet(f"{path}/codebook")
