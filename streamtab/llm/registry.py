@@ -108,6 +108,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op11_hard_negatives": r"""
+        WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                          list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+                   FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+                     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+             s AS (SELECT a.vec_id AS anchor_id, a.label AS al, b.vec_id AS id, b.label AS bl,
+                          CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+                   FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+             p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE al = bl
+                   QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+        SELECT p.anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, s.id AS negative_id,
+               positive_score, s.score AS negative_score
+        FROM p JOIN s ON s.anchor_id = p.anchor_id AND s.bl <> s.al
+                     AND 80 * positive_score <= 100 * s.score AND 100 * s.score <= 100 * positive_score
+        WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.id)
+        QUALIFY row_number() OVER w <= 5""",
     "op10_url_filter": r"""
         WITH u AS (SELECT page_id,
                           coalesce(translate(regexp_extract(url, '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
