@@ -15,11 +15,14 @@ A bucket is never expanded into all pairs.  In each round a few members of a
 bucket (1, 32, then up to 1,000) are compared with those members that are still in other
 classes, then they leave the bucket, until every bucket holds one class or no
 member: every pair of a bucket is compared, ruled out, or already in one class.
-Ruled out are pairs whose registers agree too little (3.5 standard deviations
-below the threshold), and pairs by a bound: if a set holds the share u of its weight in
-elements that no other set has, and its partner v, their probability Jaccard is
-at most (1 - u)(1 - v) / (1 - u v).  Members with the least such share go first,
-since they link most.
+Pairs are ruled out by an exact bound: if a set holds at least the share u of its
+weight in elements that its partner lacks, and the partner the share v, their
+probability Jaccard is at most (1 - u)(1 - v) / (1 - u v).  A set's share in elements
+that no other set has is such a share; so is the least weight of n - d of its n
+elements, where d of the partner's elements occur in any other set.  Pairs are also
+ruled out where their registers agree too little: five standard deviations below the
+threshold, a loss far below that of the bands.  Members with the least share of their
+own go first, since they link most.
 
 Defined results: a null text is a class of its own (class_id is its doc_id);
 texts without a word are copies of each other only if equal; a text of fewer
@@ -45,7 +48,7 @@ BANDS, ROWS = 25, 5
 #: Registers of a signature: the first BANDS * ROWS are banded, all estimate the similarity.
 REGISTERS = 250
 #: Standard deviations by which a pair's estimate may fall below the threshold.
-SIGMAS = 3.5
+SIGMAS = 5.0
 #: Bits kept of every register, for the estimate of a pair's similarity.
 SKETCH_BITS = 4
 #: Members of a mixed bucket that are compared first.
@@ -185,8 +188,10 @@ def _vectors(width: int):
         for b in batches:
             got = [shingles(x, hashes, width) for x in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([e.tobytes() for e, _ in got], pa.binary()),
-                                              pa.array([w.astype(np.int32).tobytes() for _, w in got], pa.binary())],
-                                             names=["key", "e", "w"])
+                                              pa.array([w.astype(np.int32).tobytes() for _, w in got], pa.binary()),
+                                              pa.array([len(e) for e, _ in got], pa.int64()),
+                                              pa.array([int(w.sum()) for _, w in got], pa.int64())],
+                                             names=["key", "e", "w", "n", "total"])
     return run
 
 
@@ -202,11 +207,21 @@ def _shares():
 
 
 def own_shares(vectors: DataFrame) -> DataFrame:
-    """(key, own): the share of a set's weight in elements that no other set holds."""
+    """(key, own, n, total, others): the share of a set's weight in elements that no
+    other set holds, its elements, its weight, and its elements that others hold too."""
     e = vectors.mapInArrow(_shares(), "key binary, element long, share double")
-    once = e.groupBy("element").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("key"), F.min("share").alias("share")).where("n = 1")
-    own = once.groupBy("key").agg(F.sum("share").alias("own"))
-    return vectors.select("key").join(own, "key", "left").select("key", F.coalesce("own", F.lit(0.0)).alias("own"))
+    once = e.groupBy("element").agg(F.count(F.lit(1)).alias("sets"), F.min("key").alias("key"), F.min("share").alias("share")).where("sets = 1")
+    own = once.groupBy("key").agg(F.sum("share").alias("own"), F.count(F.lit(1)).alias("alone"))
+    return (vectors.select("key", "n", "total").join(own, "key", "left")
+            .select("key", F.coalesce("own", F.lit(0.0)).alias("own"), "n", "total", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("others")))
+
+
+def may_link(own, n, total, others, own2, n2, total2, others2, threshold: float):
+    """Whether the bound lets two sets reach the threshold (columns of own_shares).
+    A set shares at most the other's ``others`` elements with it; every element weighs 1 or more."""
+    u = F.greatest(own, (n - others2) / total)
+    v = F.greatest(own2, (n2 - others) / total2)
+    return (1 - u) * (1 - v) >= (threshold - 1e-9) * (1 - u * v)
 
 
 def _verify(threshold: float):
@@ -271,7 +286,7 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int
     wanted = members.select("key").distinct()
     vectors = common.materialize(
         texts.select("key", "body").join(wanted, "key", "left_semi").dropDuplicates(["key"]).select("key", "body")
-        .mapInArrow(_vectors(width), "key binary, e binary, w binary"), "shingles")
+        .mapInArrow(_vectors(width), "key binary, e binary, w binary, n long, total long"), "shingles")
 
     def verified(pairs: DataFrame) -> DataFrame:
         """The links (x, y) of those pairs (a, b) that are similar enough."""
@@ -285,6 +300,7 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int
     alive = members.where("key <> rep").select("hash", "key")
     k, facts = FIRST_MEMBERS, None
     m = max(m, bands * rows)
+    sizes = ["own", "n", "total", "others"]
     while True:
         # members still in more than one class of their bucket
         rooted = alive.drop("root").join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
@@ -296,8 +312,9 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int
             alive = common.materialize(alive.join(facts, "key"), "open")
         rank = F.row_number().over(Window.partitionBy("hash").orderBy("own", "key"))
         p = common.materialize(alive.withColumn("rank", rank).where(F.col("rank") <= k)
-                               .select("hash", F.col("key").alias("a"), F.col("root").alias("ra"), F.col("own").alias("oa"), F.col("sketch").alias("sa"), F.col("bands").alias("ba")), "picked")
-        bound = (1 - F.col("own")) * (1 - F.col("oa")) >= (threshold - 1e-9) * (1 - F.col("own") * F.col("oa"))
+                               .select("hash", F.col("key").alias("a"), F.col("root").alias("ra"), F.col("sketch").alias("sa"), F.col("bands").alias("ba"),
+                                       *[F.col(c).alias(f"{c}_a") for c in sizes]), "picked")
+        bound = may_link(*[F.col(c) for c in sizes], *[F.col(f"{c}_a") for c in sizes], threshold)
         differ = sum((F.bit_count(F.get("sketch", i).bitwiseXOR(F.get("sa", i))) for i in range(-(-m * SKETCH_BITS // 64))), F.lit(0))
         # of the buckets that a pair shares, that of the least hash compares it
         once = F.col("hash") == F.array_min(F.array_intersect("bands", "ba"))

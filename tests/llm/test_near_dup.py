@@ -127,3 +127,42 @@ def test_keep_one_keeps_the_smallest_id_and_all_columns(spark):
     same_id = spark.createDataFrame([(1, "alpha beta gamma delta epsilon"), (1, "one two three four five six")], "doc_id long, text string")
     assert nd.keep_one(same_id).count() == 2
     assert nd.keep_one(df.where(F.lit(False))).collect() == []
+
+
+def test_the_bound_never_rules_a_link_out(spark):
+    """Every pair's similarity against may_link; pairs of a family that differ in many places are ruled out."""
+    rng = random.Random(11)
+    base = words(rng, 120)
+    texts = []
+    for i in range(60):
+        w = list(base)
+        for _ in range(i % 8):
+            w[rng.randrange(len(w))] = f"edit{rng.randrange(400)}"
+        texts.append(" ".join(w + base[:rng.randrange(30)] * (i % 3)))
+    texts = list(dict.fromkeys(texts + corpus(6)[:50]))
+    vec = bags(texts)
+    df = spark.createDataFrame([(str(i).encode(), t.encode()) for i, t in enumerate(texts)], "key binary, body binary")
+    sets = df.mapInArrow(nd._vectors(nd.WIDTH), "key binary, e binary, w binary, n long, total long")
+    sizes = ["own", "n", "total", "others"]
+    facts = nd.own_shares(sets).cache()
+    other = facts.select(F.col("key").alias("b"), *[F.col(c).alias(f"{c}_b") for c in sizes])
+    tried = facts.join(other, F.col("key") < F.col("b")).select(
+        "key", "b", nd.may_link(*[F.col(c) for c in sizes], *[F.col(f"{c}_b") for c in sizes], nd.THRESHOLD).alias("may"))
+    out = linked = unlike = 0
+    for r in tried.collect():
+        similar = nd.probability_jaccard(*vec[int(r.key)], *vec[int(r.b)]) >= nd.THRESHOLD
+        assert r.may or not similar
+        linked, unlike, out = linked + similar, unlike + (not similar), out + (not r.may)
+    assert linked > 50 and out > unlike / 2
+
+
+def test_the_register_limit_loses_far_less_than_the_bands():
+    """The exact chance that a pair at the threshold differs in more bits than the limit."""
+    t, b = nd.THRESHOLD, nd.SKETCH_BITS
+    one = np.array([(1 - t) * c / 2**b for c in (1, 4, 6, 4, 1)])
+    one[0] += t
+    total = np.ones(1)
+    for _ in range(nd.REGISTERS):
+        total = np.convolve(total, one)
+    lost = total[nd.sketch_limit(nd.REGISTERS, t) + 1:].sum()
+    assert lost < 0.05 * (1 - t ** nd.ROWS) ** nd.BANDS
