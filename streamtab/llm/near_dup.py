@@ -19,7 +19,8 @@ Pairs are ruled out by an exact bound: if a set holds at least the share u of it
 weight in elements that its partner lacks, and the partner the share v, their
 probability Jaccard is at most (1 - u)(1 - v) / (1 - u v).  A set's share in elements
 that no other set has is such a share; so is the least weight of n - d of its n
-elements, where d of the partner's elements occur in any other set.  Pairs are also
+elements, where d of the partner's elements occur in any other set; so is one element
+for each bit of a 1,024-bit map of its elements that the partner's map lacks.  Pairs are also
 ruled out where their registers agree too little: five standard deviations below the
 threshold, a loss far below that of the bands.  Members with the least share of their
 own go first, since they link most.
@@ -51,6 +52,8 @@ REGISTERS = 250
 SIGMAS = 5.0
 #: Bits kept of every register, for the estimate of a pair's similarity.
 SKETCH_BITS = 4
+#: Bits of the map of a set's elements.
+MARK_BITS = 1024
 #: Members of a mixed bucket that are compared first.
 FIRST_MEMBERS = 32
 #: Most members compared at once per bucket and round (Spark limits groups before the shuffle up to 1,000).
@@ -133,6 +136,13 @@ def sketches(won: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(packed).view(np.int64)
 
 
+def marks(elements: np.ndarray) -> np.ndarray:
+    """A map of MARK_BITS bits as int64 words: the bit of every element is set."""
+    flat = np.zeros(MARK_BITS, np.uint8)
+    flat[(_mix(elements ^ _M1) % np.uint64(MARK_BITS)).astype(np.int64)] = 1
+    return np.packbits(flat).view(np.int64)
+
+
 def sketch_limit(m: int, threshold: float) -> int:
     """Most differing bits that a pair at the threshold shows, up to SIGMAS standard deviations."""
     far, b = 1 - threshold, SKETCH_BITS
@@ -182,6 +192,9 @@ def _signature(bands: int, rows: int, width: int, m: int):
     return run
 
 
+VECTORS = "key binary, e binary, w binary, n long, total long, marks array<long>"
+
+
 def _vectors(width: int):
     def run(batches):
         hashes = WordHash()
@@ -190,8 +203,9 @@ def _vectors(width: int):
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([e.tobytes() for e, _ in got], pa.binary()),
                                               pa.array([w.astype(np.int32).tobytes() for _, w in got], pa.binary()),
                                               pa.array([len(e) for e, _ in got], pa.int64()),
-                                              pa.array([int(w.sum()) for _, w in got], pa.int64())],
-                                             names=["key", "e", "w", "n", "total"])
+                                              pa.array([int(w.sum()) for _, w in got], pa.int64()),
+                                              pa.array([marks(e) for e, _ in got], pa.list_(pa.int64()))],
+                                             names=["key", "e", "w", "n", "total", "marks"])
     return run
 
 
@@ -206,21 +220,31 @@ def _shares():
     return run
 
 
+#: Columns of a set that the bound reads.
+SIZES = ["own", "n", "total", "others", "marks"]
+
+
 def own_shares(vectors: DataFrame) -> DataFrame:
-    """(key, own, n, total, others): the share of a set's weight in elements that no
-    other set holds, its elements, its weight, and its elements that others hold too."""
+    """(key, own, n, total, others, marks): the share of a set's weight in elements that no
+    other set holds, its elements, its weight, its elements that others hold too, its map."""
     e = vectors.mapInArrow(_shares(), "key binary, element long, share double")
     once = e.groupBy("element").agg(F.count(F.lit(1)).alias("sets"), F.min("key").alias("key"), F.min("share").alias("share")).where("sets = 1")
     own = once.groupBy("key").agg(F.sum("share").alias("own"), F.count(F.lit(1)).alias("alone"))
-    return (vectors.select("key", "n", "total").join(own, "key", "left")
-            .select("key", F.coalesce("own", F.lit(0.0)).alias("own"), "n", "total", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("others")))
+    return (vectors.select("key", "n", "total", "marks").join(own, "key", "left")
+            .select("key", F.coalesce("own", F.lit(0.0)).alias("own"), "n", "total",
+                    (F.col("n") - F.coalesce("alone", F.lit(0))).alias("others"), "marks"))
+
 
+def may_link(a: str, b: str, threshold: float):
+    """Whether the bound lets two sets reach the threshold.  ``a`` and ``b`` end the names
+    of their SIZES columns.  A set shares at most the other's ``others`` elements with it,
+    lacks an element for every bit of the other's map that its own lacks, and every
+    element weighs 1 or more."""
+    def lacking(x, y):
+        bits = sum((F.bit_count(F.get(f"marks{x}", i).bitwiseAND(F.bitwise_not(F.get(f"marks{y}", i)))) for i in range(MARK_BITS // 64)), F.lit(0))
+        return F.greatest(F.col(f"own{x}"), F.greatest(F.col(f"n{x}") - F.col(f"others{y}"), bits) / F.col(f"total{x}"))
 
-def may_link(own, n, total, others, own2, n2, total2, others2, threshold: float):
-    """Whether the bound lets two sets reach the threshold (columns of own_shares).
-    A set shares at most the other's ``others`` elements with it; every element weighs 1 or more."""
-    u = F.greatest(own, (n - others2) / total)
-    v = F.greatest(own2, (n2 - others) / total2)
+    u, v = lacking(a, b), lacking(b, a)
     return (1 - u) * (1 - v) >= (threshold - 1e-9) * (1 - u * v)
 
 
@@ -286,7 +310,7 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int
     wanted = members.select("key").distinct()
     vectors = common.materialize(
         texts.select("key", "body").join(wanted, "key", "left_semi").dropDuplicates(["key"]).select("key", "body")
-        .mapInArrow(_vectors(width), "key binary, e binary, w binary, n long, total long"), "shingles")
+        .mapInArrow(_vectors(width), VECTORS), "shingles")
 
     def verified(pairs: DataFrame) -> DataFrame:
         """The links (x, y) of those pairs (a, b) that are similar enough."""
@@ -300,7 +324,6 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int
     alive = members.where("key <> rep").select("hash", "key")
     k, facts = FIRST_MEMBERS, None
     m = max(m, bands * rows)
-    sizes = ["own", "n", "total", "others"]
     while True:
         # members still in more than one class of their bucket
         rooted = alive.drop("root").join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
@@ -313,8 +336,8 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int
         rank = F.row_number().over(Window.partitionBy("hash").orderBy("own", "key"))
         p = common.materialize(alive.withColumn("rank", rank).where(F.col("rank") <= k)
                                .select("hash", F.col("key").alias("a"), F.col("root").alias("ra"), F.col("sketch").alias("sa"), F.col("bands").alias("ba"),
-                                       *[F.col(c).alias(f"{c}_a") for c in sizes]), "picked")
-        bound = may_link(*[F.col(c) for c in sizes], *[F.col(f"{c}_a") for c in sizes], threshold)
+                                       *[F.col(c).alias(f"{c}_a") for c in SIZES]), "picked")
+        bound = may_link("", "_a", threshold)
         differ = sum((F.bit_count(F.get("sketch", i).bitwiseXOR(F.get("sa", i))) for i in range(-(-m * SKETCH_BITS // 64))), F.lit(0))
         # of the buckets that a pair shares, that of the least hash compares it
         once = F.col("hash") == F.array_min(F.array_intersect("bands", "ba"))
