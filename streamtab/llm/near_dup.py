@@ -245,7 +245,8 @@ def may_link(a: str, b: str, threshold: float):
         return F.greatest(F.col(f"own{x}"), F.greatest(F.col(f"n{x}") - F.col(f"others{y}"), bits) / F.col(f"total{x}"))
 
     u, v = lacking(a, b), lacking(b, a)
-    return (1 - u) * (1 - v) >= (threshold - 1e-9) * (1 - u * v)
+    none = 1 - 1e-9                                           # sets without a common element: the bound is 0 / 0
+    return (u < none) & (v < none) & ((1 - u) * (1 - v) >= (threshold - 1e-9) * (1 - u * v))
 
 
 def _verify(threshold: float):
