@@ -7,7 +7,9 @@ only).  Here a stream is a directory of parquet/JSON files:
 * ``table_stream`` streams an existing table folder/file (arrival = file order);
 * ``replay`` writes a DataFrame as arrival-ordered chunk files, one file per
   chunk, so ``maxFilesPerTrigger=1`` turns each chunk into one micro-batch.
-  It is a test harness for the stream = batch checks (small inputs).
+  It is a test harness for the stream = batch checks (small inputs);
+* ``arrivals`` does the same for whole tables, with as many files a chunk as its
+  rows need.
 """
 
 from __future__ import annotations
@@ -21,6 +23,8 @@ from ..session import scratch_path
 
 #: Files that one micro-batch takes from a table, which bounds the rows of a trigger.
 MAX_FILES = 256
+#: Rows of a slice of arrivals that make a file of their own, up to a file a core.
+FILE_ROWS = 100_000
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str, max_files_per_trigger: int | None = MAX_FILES,
@@ -94,12 +98,33 @@ def replay(spark: SparkSession, df: DataFrame, order_col: str, chunks: int, path
     return path
 
 
-def arrivals(spark: SparkSession, rows: DataFrame, order_col: str, slices: int = 3) -> DataFrame:
-    """``rows`` as a stream of ``slices`` micro-batches in the order of ``order_col`` (equal
-    ranges of its values; one written file each)."""
-    path = replay(spark, rows, order_col, slices, scratch_path(spark, "arrivals"))
-    return replay_stream(spark, path, rows.schema)
+def _files(spark: SparkSession, path: str) -> int:
+    """Number of data files in ``path``."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = p.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(p)
+    return sum(1 for s in found if s.isFile() and not s.getPath().getName().startswith(("_", ".")))
 
 
-def replay_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet") -> DataFrame:
-    return spark.readStream.schema(schema).format(fmt).option("maxFilesPerTrigger", 1).load(path)
+def arrivals(spark: SparkSession, rows: DataFrame, order_col: str, slices: int = 3) -> DataFrame:
+    """``rows`` as a stream of ``slices`` micro-batches in the order of ``order_col`` (equal
+    ranges of its values).  Large slices are written, and so read, by many tasks:
+    every slice has the same number of files, which one trigger takes, and empty files
+    make up for tasks without rows."""
+    path = scratch_path(spark, "arrivals")
+    lo, hi, n = rows.agg(F.min(order_col), F.max(order_col), F.count(order_col)).first()
+    width = (hi - lo) // slices + 1
+    files = max(1, min(n // (slices * FILE_ROWS), spark.sparkContext.defaultParallelism))
+    for i in range(slices):
+        part = rows.where((F.col(order_col) >= lo + i * width) & (F.col(order_col) < lo + (i + 1) * width))
+        part = part.coalesce(1) if files == 1 else part.repartition(files, order_col)
+        part.write.mode("append").parquet(path)
+        if i == 0:
+            files = max(files, _files(spark, path))
+        for _ in range((i + 1) * files - _files(spark, path)):
+            spark.createDataFrame([], rows.schema).coalesce(1).write.mode("append").parquet(path)
+        time.sleep(0.02)  # distinct modification times keep the slices' order
+    return replay_stream(spark, path, rows.schema, files=files)
+
+
+def replay_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet", files: int = 1) -> DataFrame:
+    return spark.readStream.schema(schema).format(fmt).option("maxFilesPerTrigger", files).load(path)
