@@ -5,8 +5,9 @@ tokenizer.  One self-attention layer reads the ids before a token and predicts
 the class of the next id; an id's share of its class comes from counts.  All
 counts cover every training document: ids, their neighbours (which make the
 classes), ids after each class, and the classes after each symbol from which the
-training starts.  Only its gradient steps, in numpy, read a bounded sample of
-documents.  A text is scored in overlapping context windows: each window
+training starts.  The gradient steps go over every training document as well: tasks
+step over their own documents, in numpy, and their parameters are averaged between
+rounds.  A text is scored in overlapping context windows: each window
 scores STRIDE new tokens, all windows of a batch at once, with the CONTEXT
 tokens before them as keys, so that every token is scored once.
 
@@ -21,6 +22,7 @@ each.  Words outside the broadcast table are matched by a 64-bit hash.
 from __future__ import annotations
 
 import base64
+import copy
 import math
 from collections import Counter
 
@@ -43,8 +45,14 @@ DIM, CLASSES, OWN_IDS = 16, 128, 3_000
 SHARED_CLASSES = 64
 #: Most frequent ids whose counts before and after an id place it in a class.
 TOP_IDS = 256
-#: Training documents for gradient steps, at most, training steps, windows of a step.
-TRAIN_DOCS, STEPS, BATCH = 1_500, 500, 64
+#: Training steps over texts at hand, windows of a step, there and over all training texts.
+STEPS, BATCH, LARGE_BATCH = 500, 64, 512
+#: Rounds of the training over all texts, each over its own share of them.
+ROUNDS = 4
+#: Windows that the training reads at least (fewer texts are gone over again), windows a task holds.
+LEAST_WINDOWS, HELD_WINDOWS = 32_000, 4_096
+#: Parameters passed on in one row.
+BLOCK_CELLS = 1 << 13
 #: Words whose counts are broadcast, at most.
 HEAD_WORDS = 300_000
 #: Distinct words a counting task holds before it passes them on.
@@ -239,45 +247,82 @@ class Attention:
         np.exp(z, out=z)
         return picked - np.log(np.matmul(z, np.ones(z.shape[2], np.float32)))
 
+    def names(self) -> tuple[str, ...]:
+        return ("q", "k", "v", "direct", "out", "bias")
+
     def train(self, win, before, target, steps: int, seed: int = 9) -> None:
-        rng = np.random.default_rng(seed)
-        names = ("q", "k", "v", "direct", "out", "bias")
-        m1 = {n: np.zeros_like(getattr(self, n)) for n in names}
-        m2 = {n: np.zeros_like(getattr(self, n)) for n in names}
+        rng, adam = np.random.default_rng(seed), Adam(self)
         for step in range(1, steps + 1):
             pick = rng.integers(0, len(win), BATCH)
-            w, t = win[pick], target[pick]
-            keys, q, k, v, a, h, z = self.forward(w, before[pick])
-            z -= z.max(axis=2, keepdims=True)
-            p = np.exp(z)
-            p /= p.sum(axis=2, keepdims=True)
-            live = (t >= 0)[:, :, None]
-            np.put_along_axis(p, np.maximum(t, 0)[:, :, None], np.take_along_axis(p, np.maximum(t, 0)[:, :, None], axis=2) - 1, axis=2)
-            dz = p * live / max(1, live.sum())
-            dh = dz @ self.out.T
-            da = np.matmul(dh, v.transpose(0, 2, 1))
-            ds = a * (da - (da * a).sum(axis=2, keepdims=True))
-            g = {n: np.zeros_like(m1[n]) for n in names}
-            np.add.at(g["direct"], w, dz.astype(np.float32))
-            g["out"] = (h.reshape(-1, DIM).T @ dz.reshape(-1, dz.shape[2])).astype(np.float32)
-            np.add.at(g["v"], keys, np.matmul(a.transpose(0, 2, 1), dh).astype(np.float32))
-            np.add.at(g["q"], w, (np.matmul(ds, k) * DIM ** -0.5).astype(np.float32))
-            np.add.at(g["k"], keys, (np.matmul(ds.transpose(0, 2, 1), q) * DIM ** -0.5).astype(np.float32))
-            g["bias"] = np.bincount(self.back.ravel(), ds.sum(axis=0).ravel(), len(self.bias)).astype(np.float32)
-            g["k"][-1], g["v"][-1] = 0, 0
-            rate = RATE * min(1.0, step / 20) * (1 - 0.9 * step / steps)
-            for n in names:
-                m1[n] += 0.1 * (g[n] - m1[n])
-                m2[n] += 0.01 * (g[n] ** 2 - m2[n])
-                hat = m1[n] / (1 - 0.9 ** step) / (np.sqrt(m2[n] / (1 - 0.99 ** step)) + 1e-8)
-                getattr(self, n)[...] -= (rate * hat).astype(np.float32)
+            adam.step(win[pick], before[pick], target[pick], 1 - 0.9 * step / steps)
+
+
+def _sum_rows(at: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
+    """(n, width) sums of the ``rows`` of every index in ``at``."""
+    order = np.argsort(at, kind="stable")
+    at = at[order]
+    first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+    out = np.zeros((n, rows.shape[1]), np.float32)
+    out[at[first]] = np.add.reduceat(rows[order], first, axis=0)
+    return out
+
+
+class Adam:
+    """Gradient steps on an :class:`Attention`, in place."""
+
+    def __init__(self, net: Attention):
+        self.net, self.done = net, 0
+        self.m1 = {n: np.zeros_like(getattr(net, n)) for n in net.names()}
+        self.m2 = {n: np.zeros_like(getattr(net, n)) for n in net.names()}
+        self.buf = {n: np.empty_like(getattr(net, n)) for n in net.names()}
+
+    def step(self, w, before, t, share: float) -> None:
+        """One step on the windows ``w``, at ``share`` of the full rate."""
+        net, m1, m2 = self.net, self.m1, self.m2
+        self.done += 1
+        keys, q, k, v, a, h, z = net.forward(w, before)
+        z -= z.max(axis=2, keepdims=True)
+        p = np.exp(z, out=z)
+        p /= p.sum(axis=2, keepdims=True)
+        live = t >= 0
+        at = np.maximum(t, 0)[:, :, None]
+        np.put_along_axis(p, at, np.take_along_axis(p, at, axis=2) - 1, axis=2)
+        p *= (live / max(1, live.sum())).astype(np.float32)[:, :, None]
+        dz = p
+        dh = dz @ net.out.T
+        da = np.matmul(dh, v.transpose(0, 2, 1))
+        ds = a * (da - (da * a).sum(axis=2, keepdims=True))
+        n = len(net.q)
+        g = {"direct": _sum_rows(w.ravel(), dz.reshape(-1, dz.shape[2]), n),
+             "out": h.reshape(-1, DIM).T @ dz.reshape(-1, dz.shape[2]),
+             "v": _sum_rows(keys.ravel(), np.matmul(a.transpose(0, 2, 1), dh).reshape(-1, DIM), n),
+             "q": _sum_rows(w.ravel(), (np.matmul(ds, k) * DIM ** -0.5).reshape(-1, DIM), n),
+             "k": _sum_rows(keys.ravel(), (np.matmul(ds.transpose(0, 2, 1), q) * DIM ** -0.5).reshape(-1, DIM), n),
+             "bias": np.bincount(net.back.ravel(), ds.sum(axis=0).ravel(), len(net.bias)).astype(np.float32)}
+        g["k"][-1], g["v"][-1] = 0, 0
+        rate = RATE * min(1.0, self.done / 20) * share
+        c1, c2 = rate / (1 - 0.9 ** self.done), 1 / (1 - 0.99 ** self.done)
+        for x in net.names():                              # in place: the tables are large next to a batch
+            d, a1, a2, buf = g[x], m1[x], m2[x], self.buf[x]
+            a1 *= 0.9
+            a1 += np.multiply(d, 0.1, out=buf)
+            a2 *= 0.99
+            np.multiply(d, d, out=buf)
+            buf *= 0.01
+            a2 += buf
+            np.multiply(a2, c2, out=buf)
+            np.sqrt(buf, out=buf)
+            buf += 1e-8
+            np.divide(a1, buf, out=buf)
+            buf *= c1
+            getattr(net, x)[...] -= buf
 
 
 class Model:
     """Attention over symbols, classes of ids, log share of every id in its class."""
 
     def __init__(self, seqs: list[np.ndarray], id_counts: np.ndarray, count=None):
-        """``seqs`` are the texts of the gradient steps; ``count(size, cells)`` counts the
+        """``seqs`` are texts for gradient steps at once (none: see :func:`train_all`); ``count(size, cells)`` counts the
         pairs of all training texts (of ``seqs`` where it is not given)."""
         def of_seqs(size, cells):
             out = np.zeros(size, np.int32)
@@ -401,6 +446,70 @@ def count_pairs(ids: DataFrame, size: int, cells) -> np.ndarray:
     return out
 
 
+def train_all(model: Model, ids: DataFrame, n_tokens: int, rounds: int) -> int:
+    """Gradient steps of ``model`` over all training texts ``ids``; returns the windows read.
+    Each round takes its own share of the texts: every task starts from the present
+    parameters and steps over its windows, and the means of the tasks' parameters, by
+    windows, are the next ones.  Few texts are gone over again until LEAST_WINDOWS were read."""
+    again = max(1, -(-LEAST_WINDOWS * STRIDE // max(1, n_tokens)))
+    rounds, seen = min(rounds, 1 if again > 1 else ROUNDS), 0
+    size = BATCH if again > 1 else LARGE_BATCH
+    sc, net = ids.sparkSession.sparkContext, model.net
+    for r in range(rounds):
+        held = sc.broadcast((net, model.symbol, model.classes, model.pad))
+        share = 1 - 0.9 * r / rounds
+
+        def run(batches):
+            net, symbol, classes, pad = held.value
+            net = copy.deepcopy(net)                       # worker processes serve several tasks
+            adam, rng, n = Adam(net), np.random.default_rng(TaskContext.get().partitionId()), 0
+            seqs, many = [], 0
+
+            def learn():
+                win, before, target, _ = lay_out(seqs, symbol, pad)
+                target = np.where(target < 0, -1, classes[target])
+                for _ in range(again):
+                    order = rng.permutation(len(win))
+                    for lo in range(0, len(win), size):
+                        pick = order[lo:lo + size]
+                        adam.step(win[pick], before[pick], target[pick], share)
+                return len(win)
+
+            for b in batches:
+                for x in b.column(0).to_pylist():
+                    seqs.append(np.frombuffer(x, "<u2"))
+                    many += -(-len(seqs[-1]) // STRIDE)
+                    if many >= HELD_WINDOWS:
+                        n += learn()
+                        seqs, many = [], 0
+            if seqs:
+                n += learn()
+            if n:
+                flat = np.concatenate([getattr(net, x).ravel() for x in net.names()]).astype(np.float64) * n
+                parts = [flat[lo:lo + BLOCK_CELLS].tobytes() for lo in range(0, len(flat), BLOCK_CELLS)]
+                yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array([n] * len(parts), pa.int64()), pa.array(parts, pa.binary())],
+                                                 names=["block", "n", "sums"])
+
+        mine = ids.where(F.pmod(F.xxhash64("ids"), F.lit(rounds)) == r)
+        got = mine.mapInArrow(run, "block int, n long, sums binary").groupBy("block").applyInArrow(_add_blocks, "block int, n long, sums binary").collect()
+        held.unpersist()
+        if got:
+            flat = np.concatenate([np.frombuffer(x.sums) / x.n for x in sorted(got, key=lambda x: x.block)])
+            for x in net.names():
+                old = getattr(net, x)
+                old[...] = flat[:old.size].reshape(old.shape)
+                flat = flat[old.size:]
+            seen += got[0].n
+    return seen
+
+
+def _add_blocks(rows: pa.Table) -> pa.Table:
+    """The tasks' sums of one block of parameters, added up."""
+    total = np.sum([np.frombuffer(x) for x in rows.column("sums").to_pylist()], axis=0)
+    n = sum(rows.column("n").to_pylist())
+    return pa.table({"block": rows.column("block")[:1].combine_chunks(), "n": pa.array([n], pa.int64()), "sums": pa.array([total.tobytes()], pa.binary())})
+
+
 def _id_counts(tokenizer: str):
     def run(batches):
         sub, total = subwords(tokenizer), np.zeros(VOCAB, np.int64)
@@ -415,10 +524,11 @@ def _id_counts(tokenizer: str):
     return run
 
 
-def score(docs: DataFrame, tokenizer: str, held_out, key: str = "doc_id", text: str = "text", limit: int = TRAIN_DOCS, head_words: int = HEAD_WORDS) -> DataFrame:
+def score(docs: DataFrame, tokenizer: str, held_out, key: str = "doc_id", text: str = "text", limit: int = ROUNDS, head_words: int = HEAD_WORDS) -> DataFrame:
     """Per row: key, held_out, n_tokens, n_known, train_tokens, base_score and
     score (log10 probabilities).  ``held_out`` is a boolean column over ``docs``;
-    the other rows are learned from."""
+    the other rows are learned from, by ``limit`` rounds of gradient steps at most (0: the
+    model of the counts alone)."""
     spark = docs.sparkSession
     common.prepare(spark)
     src = docs.select(F.col(key).alias("key"), F.col(text).cast("binary").alias("body"), held_out.alias("held_out"))
@@ -441,11 +551,8 @@ def score(docs: DataFrame, tokenizer: str, held_out, key: str = "doc_id", text:
     for r in counts.mapInArrow(_id_counts(tokenizer), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect():
         id_counts[r.id] = r.n
     id_counts[END] = ends
-    some = common.bounded_sample(train, limit, "key").select("body").orderBy(F.xxhash64("body")).collect()
-    lists = [words_of(r.body) for r in some]
-    sub = Subwords(tokenizer)
-    sub.learn(set().union(*lists) if lists else set())
-    model = Model([sub.ids(ws) for ws in lists], id_counts, lambda size, cells: count_pairs(ids, size, cells))
+    model = Model([], id_counts, lambda size, cells: count_pairs(ids, size, cells))
+    train_all(model, ids, int(id_counts.sum()), limit)
     held = spark.sparkContext.broadcast((model, {w: (math.log10(c + 1), True) for w, c in head.items()}))
 
     schema = T.StructType([T.StructField("rid", T.LongType()), src.schema["key"], src.schema["held_out"], T.StructField("n_tokens", T.LongType()),

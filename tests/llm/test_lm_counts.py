@@ -52,3 +52,23 @@ def test_pair_counts_equal_brute_force(spark):
 
 def test_class_counts_are_those_of_the_whole_model():
     assert (lm_score.CLASSES, lm_score.SHARED_CLASSES) == (128, 64)
+
+
+def test_gradient_steps_read_every_training_text(spark):
+    path = registry.tokenizer_path("byte_bpe_50k.tiktoken")
+    texts = [f"text {i} of many " + "with some more words " * (i % 30) for i in range(2_100)]
+    train = spark.createDataFrame([(t,) for t in texts], "text string").repartition(5)
+    _, ids = lm_score.read_train(train, "text", path)
+    sub = lm_score.subwords(path)
+    lists = [lm_score.words_of(t.encode()) for t in texts]
+    sub.learn(set().union(*lists))
+    seqs = [sub.ids(ws) for ws in lists]
+    counts = np.bincount(np.concatenate(seqs).astype(np.int64), minlength=lm_score.VOCAB)
+    model = lm_score.Model([], counts, lambda size, cells: lm_score.count_pairs(ids, size, cells))
+    before = model.score(seqs).sum()
+    windows = sum(-(-len(x) // lm_score.STRIDE) for x in seqs)
+    assert lm_score.train_all(model, ids, int(counts.sum()), 4) == windows
+    assert model.score(seqs).sum() > before                   # few texts, gone over again
+    # many texts: shares of rounds, each window once
+    assert lm_score.train_all(model, ids, lm_score.LEAST_WINDOWS * lm_score.STRIDE, 4) == windows
+    assert np.isfinite(model.score(seqs)).all()
