@@ -41,15 +41,32 @@ BLOCK = 256
 _UP, _LOW, _NUM = re.compile(r"[A-ZÀ-ÖØ-Þ]+"), re.compile(r"[a-zß-öø-￿]+"), re.compile(r"\d+")
 
 
+class Numbers(dict):
+    """piece of a word (bytes) -> number of its vocabulary term, filled on demand."""
+
+    def __missing__(self, x: bytes) -> int:
+        if len(self) > 200_000:
+            self.clear()
+        got = self[x] = SHAPES + xxhash.xxh32_intdigest(x, 1) % WORDS
+        return got
+
+
 class Forms(dict):
     """word (bytes) -> its form and the numbers (int32) of its vocabulary terms, filled on demand."""
 
+    def __init__(self):
+        super().__init__()
+        self.numbers = Numbers()
+
     def __missing__(self, w: bytes) -> tuple[str, bytes]:
         s = w.decode("utf-8", "replace")
-        form = _UP.sub("A", _LOW.sub("a", _NUM.sub("0", s))) + ("+" if len(s) > 16 else "")
+        plain = s.isascii() and s.isalpha() and s.islower()
+        form = ("a" if plain else _UP.sub("A", _LOW.sub("a", _NUM.sub("0", s)))) + ("+" if len(s) > 16 else "")
         padded = b" " + s.lower().encode() + b" "
-        pieces = {padded, *(padded[i:i + PIECE] for i in range(len(padded) - PIECE + 1))}
-        at = [SHAPES + xxhash.xxh32_intdigest(x, 1) % WORDS for x in pieces]
+        pieces = {padded[i:i + PIECE] for i in range(len(padded) - PIECE + 1)}
+        at = [*map(self.numbers.__getitem__, pieces)]
+        if padded not in pieces:
+            at.append(SHAPES + xxhash.xxh32_intdigest(padded, 1) % WORDS)
         got = form, np.array(at, np.int32).tobytes()
         if len(w) <= KEEP:
             if len(self) > 200_000:
@@ -58,6 +75,14 @@ class Forms(dict):
         return got
 
 
+#: The words that a worker process has met, kept from task to task.
+_FORMS = Forms()
+
+
+def worker_forms() -> Forms:
+    return _FORMS
+
+
 def terms(body: bytes | None, forms: Forms) -> tuple[Counter, np.ndarray, np.ndarray]:
     """The document's shape terms and their counts, its vocabulary terms and their counts."""
     words = body.split() if body else []
@@ -180,7 +205,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", limit: float = LIMI
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():
-        m, forms = held.value, Forms()
+        m, forms = held.value, worker_forms()
 
         def run(bodies):
             s = m.score([hashed(terms(b, forms)) for b in bodies])

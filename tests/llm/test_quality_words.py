@@ -27,3 +27,15 @@ def test_the_ends_of_long_words_are_read():
     a, b = (quality.hashed(quality.terms(b"x" * 80 + end, f)) for end in (b"first", b"other"))
     assert a[0].tolist() != b[0].tolist()
     assert f[b"-a" * 10][0] != f[b"-a" * 10 + b"#"][0]
+
+
+def test_forms_and_terms_equal_their_definition_and_outlive_a_task():
+    f = quality.Forms()
+    for w in (b"a", b"ab", b"abab", b"word", b"Word", b"w0rd", "größe".encode(), "ÉTÉ".encode(), b"x" * 17, b"!!!", b"\xff\xfe", b""):
+        s = w.decode("utf-8", "replace")
+        padded = b" " + s.lower().encode() + b" "
+        pieces = {padded, *(padded[i:i + quality.PIECE] for i in range(len(padded) - quality.PIECE + 1))}
+        form = quality._UP.sub("A", quality._LOW.sub("a", quality._NUM.sub("0", s))) + ("+" if len(s) > 16 else "")
+        at = sorted(quality.SHAPES + quality.xxhash.xxh32_intdigest(x, 1) % quality.WORDS for x in pieces)
+        assert f[w][0] == form and sorted(np.frombuffer(f[w][1], np.int32).tolist()) == at
+    assert quality.worker_forms() is quality.worker_forms()
