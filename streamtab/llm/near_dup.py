@@ -244,9 +244,13 @@ def may_link(a: str, b: str, threshold: float):
         bits = sum((F.bit_count(F.get(f"marks{x}", i).bitwiseAND(F.bitwise_not(F.get(f"marks{y}", i)))) for i in range(MARK_BITS // 64)), F.lit(0))
         return F.greatest(F.col(f"own{x}"), F.greatest(F.col(f"n{x}") - F.col(f"others{y}"), bits) / F.col(f"total{x}"))
 
-    u, v = lacking(a, b), lacking(b, a)
-    none = 1 - 1e-9                                           # sets without a common element: the bound is 0 / 0
-    return (u < none) & (v < none) & ((1 - u) * (1 - v) >= (threshold - 1e-9) * (1 - u * v))
+    def reach(s):
+        u, v = s["u"], s["v"]
+        none = 1 - 1e-9                                       # sets without a common element: the bound is 0 / 0
+        return (u < none) & (v < none) & ((1 - u) * (1 - v) >= (threshold - 1e-9) * (1 - u * v))
+
+    # bound to a name, so that the maps of a pair are compared once and not at each use of u and v
+    return F.exists(F.array(F.struct(lacking(a, b).alias("u"), lacking(b, a).alias("v"))), reach)
 
 
 def _verify(threshold: float):
@@ -342,7 +346,7 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int
         differ = sum((F.bit_count(F.get("sketch", i).bitwiseXOR(F.get("sa", i))) for i in range(-(-m * SKETCH_BITS // 64))), F.lit(0))
         # of the buckets that a pair shares, that of the least hash compares it
         once = F.col("hash") == F.array_min(F.array_intersect("bands", "ba"))
-        pairs = (alive.join(p, "hash").where((F.col("root") != F.col("ra")) & bound & (differ <= sketch_limit(m, threshold)) & once)
+        pairs = (alive.join(p, "hash").where((F.col("root") != F.col("ra")) & (differ <= sketch_limit(m, threshold)) & once & bound)
                  .select(F.least("a", "key").alias("a"), F.greatest("a", "key").alias("b"),
                          F.least("ra", "root").alias("x"), F.greatest("ra", "root").alias("y")).distinct())
         # only the roots of similar members are joined anew

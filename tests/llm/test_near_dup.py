@@ -157,6 +157,11 @@ def test_the_bound_never_rules_a_link_out(spark):
     assert linked > 50 and out > unlike / 2 and sharp < unlike / 20
 
 
+def test_the_bound_compares_the_maps_of_a_pair_once(spark):
+    """Each map against the other: a condition that repeats them is too long to be compiled."""
+    assert str(nd.may_link("", "_b", nd.THRESHOLD)._jc.toString()).count("bit_count") == 2 * nd.MARK_BITS // 64
+
+
 def test_the_register_limit_loses_far_less_than_the_bands():
     """The exact chance that a pair at the threshold differs in more bits than the limit."""
     t, b = nd.THRESHOLD, nd.SKETCH_BITS
