@@ -32,6 +32,8 @@ TERMS = SHAPES + WORDS
 DIM = 64
 #: Length of the pieces; words longer than KEEP bytes are read whole but not cached.
 PIECE, KEEP = 4, 64
+#: New words whose terms are found together.
+MANY = 20_000
 NEIGHBOURS = 25
 #: Labelled documents in the broadcast table, at most (DIM floats each).
 TRAIN_DOCS = 4_000
@@ -51,6 +53,20 @@ class Numbers(dict):
         return got
 
 
+def form_of(s: str) -> str:
+    plain = s.isascii() and s.isalpha() and s.islower()
+    return ("a" if plain else _UP.sub("A", _LOW.sub("a", _NUM.sub("0", s)))) + ("+" if len(s) > 16 else "")
+
+
+def piece_hashes(x: np.ndarray) -> np.ndarray:
+    """xxh32 with seed 1 of pieces of four bytes, given as little-endian uint32."""
+    h = x * np.uint32(3266489917) + np.uint32(1 + 374761393 + PIECE)
+    h = (h << np.uint32(17) | h >> np.uint32(15)) * np.uint32(668265263)
+    h = (h ^ h >> np.uint32(15)) * np.uint32(2246822519)
+    h = (h ^ h >> np.uint32(13)) * np.uint32(3266489917)
+    return h ^ h >> np.uint32(16)
+
+
 class Forms(dict):
     """word (bytes) -> its form and the numbers (int32) of its vocabulary terms, filled on demand."""
 
@@ -60,8 +76,7 @@ class Forms(dict):
 
     def __missing__(self, w: bytes) -> tuple[str, bytes]:
         s = w.decode("utf-8", "replace")
-        plain = s.isascii() and s.isalpha() and s.islower()
-        form = ("a" if plain else _UP.sub("A", _LOW.sub("a", _NUM.sub("0", s)))) + ("+" if len(s) > 16 else "")
+        form = form_of(s)
         padded = b" " + s.lower().encode() + b" "
         pieces = {padded[i:i + PIECE] for i in range(len(padded) - PIECE + 1)}
         at = [*map(self.numbers.__getitem__, pieces)]
@@ -74,6 +89,34 @@ class Forms(dict):
             self[w] = got
         return got
 
+    def learn(self, words: set[bytes]) -> None:
+        """Fill in the words that are not held, many at once."""
+        if len(self) > 200_000:
+            self.clear()
+        new = [w for w in words if len(w) <= KEEP and w not in self]
+        for i in range(0, len(new), MANY):
+            self._put(new[i:i + MANY])
+
+    def _put(self, words: list[bytes]) -> None:
+        texts = [w.decode("utf-8", "replace") for w in words]
+        padded = [b" " + s.lower().encode() + b" " for s in texts]
+        raw = np.frombuffer(b"".join(padded) + bytes(3), np.uint8).astype(np.uint32)
+        piece = raw[:-3] | raw[1:-2] << np.uint32(8) | raw[2:-1] << np.uint32(16) | raw[3:] << np.uint32(24)
+        size = np.fromiter(map(len, padded), np.int64, len(padded))
+        n = np.maximum(size - (PIECE - 1), 0)
+        owner = np.repeat(np.arange(len(words)), n)
+        at = np.arange(len(owner)) + np.repeat(np.cumsum(size) - size - np.cumsum(n) + n, n)
+        both = owner.astype(np.uint64) << np.uint64(32) | piece[at]
+        both.sort()
+        both = both[np.diff(both, prepend=~both[:1]) != 0]       # each piece of a word once
+        ends = (np.cumsum(np.bincount((both >> np.uint64(32)).astype(np.int64), minlength=len(words))) * 4).tolist()
+        pieces = (piece_hashes(both.astype(np.uint32)) % np.uint32(WORDS) + np.uint32(SHAPES)).tobytes()
+        whole = np.fromiter((SHAPES + xxhash.xxh32_intdigest(p, 1) % WORDS for p in padded), np.int32, len(padded)).tobytes()
+        lo = 0
+        for i, (w, s, p, hi) in enumerate(zip(words, texts, padded, ends)):
+            self[w] = form_of(s), pieces[lo:hi] if len(p) == PIECE else pieces[lo:hi] + whole[4 * i:4 * i + 4]
+            lo = hi
+
 
 #: The words that a worker process has met, kept from task to task.
 _FORMS = Forms()
@@ -113,6 +156,11 @@ def hashed(doc) -> tuple[np.ndarray, np.ndarray]:
     return both, np.log1p(np.bincount(where, n, len(both)))
 
 
+def hashed_rows(bodies: list[bytes | None], forms: Forms) -> list[tuple[np.ndarray, np.ndarray]]:
+    forms.learn(set().union(*(b.split() for b in bodies if b)))
+    return [hashed(terms(b, forms)) for b in bodies]
+
+
 def weigh(at: np.ndarray, v: np.ndarray, idf: np.ndarray) -> np.ndarray:
     """tf-idf weights; shapes and vocabulary have length one each."""
     w = v * idf[at]
@@ -158,8 +206,9 @@ def _unit(x):
 
 
 def fit(bodies: list[bytes], labels: np.ndarray, prior: float, dim: int = DIM) -> Model:
-    forms = Forms()
-    rows = [hashed(terms(b, forms)) for b in bodies]
+    forms, rows = Forms(), []
+    for lo in range(0, len(bodies), BLOCK):
+        rows += hashed_rows(bodies[lo:lo + BLOCK], forms)
     df = np.zeros(TERMS)
     for at, _ in rows:
         df[at] += 1
@@ -208,7 +257,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", limit: float = LIMI
         m, forms = held.value, worker_forms()
 
         def run(bodies):
-            s = m.score([hashed(terms(b, forms)) for b in bodies])
+            s = m.score(hashed_rows(bodies, forms))
             return s, (s >= limit).astype(np.int32)
         return run
     return common.map_text(docs, text, make, OUT)

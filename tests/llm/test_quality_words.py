@@ -39,3 +39,19 @@ def test_forms_and_terms_equal_their_definition_and_outlive_a_task():
         at = sorted(quality.SHAPES + quality.xxhash.xxh32_intdigest(x, 1) % quality.WORDS for x in pieces)
         assert f[w][0] == form and sorted(np.frombuffer(f[w][1], np.int32).tolist()) == at
     assert quality.worker_forms() is quality.worker_forms()
+
+
+def test_words_learned_together_equal_words_learned_alone():
+    words = {b"a", b"ab", b"abab", b"aaaaaaa", b"Word", b"w0rd!", "größe".encode(), "ÉTÉ".encode(), "İ".encode(), b"x" * 17, b"x" * 64,
+             b"y" * 65, b"\xff\xfe", b"", *(f"w{i}".encode() * (i % 5 + 1) for i in range(50))}
+    alone, together, again = quality.Forms(), quality.Forms(), quality.Forms()
+    together.learn(words)
+    again.learn(set())
+    assert len(again) == 0 and set(together) == {w for w in words if len(w) <= quality.KEEP}
+    for w, (form, at) in together.items():
+        assert alone[w][0] == form and sorted(np.frombuffer(alone[w][1], np.int32)) == sorted(np.frombuffer(at, np.int32))
+    bodies = [b"some words and\nsome words", None, b"", b"y" * 65 + b" a"]
+    got = quality.hashed_rows(bodies, together)
+    for (a, n), b in zip(got, bodies):
+        want = quality.hashed(quality.terms(b, quality.Forms()))
+        assert (a == want[0]).all() and (n == want[1]).all()
