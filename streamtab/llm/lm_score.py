@@ -25,6 +25,7 @@ import base64
 import copy
 import math
 from collections import Counter
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from streamtab.llm import common
+from streamtab.llm.unit_cache import UnitCache
 
 VOCAB, END = 50_257, 50_256
 #: Tokens scored per window and tokens of context before them.
@@ -51,6 +53,8 @@ STEPS, BATCH, LARGE_BATCH = 500, 64, 512
 ROUNDS = 4
 #: Windows that the training reads at least (fewer texts are gone over again), windows a task holds.
 LEAST_WINDOWS, HELD_WINDOWS = 32_000, 4_096
+#: Windows, tokens and parameters of a step that are worked on at once.
+PART_WINDOWS, PART_TOKENS, PART_CELLS = 32, 1_024, 1 << 15
 #: Parameters passed on in one row.
 BLOCK_CELLS = 1 << 13
 #: Words whose counts are broadcast, at most.
@@ -89,13 +93,15 @@ class Subwords:
                 self.cache[w] = got
             else:
                 new.append(w)
-        plain = []
-        for w in new:
-            text = w.decode("utf-8", "replace")
-            if text.split() == [text]:
-                plain.append((w, text))
-            else:                                          # other white space inside: encoded alone
-                self.cache[w] = np.array(self.enc.encode_ordinary(" " + text), "<u4").tobytes()
+        texts = [w.decode("utf-8", "replace") for w in new]
+        plain = list(zip(new, texts))
+        if " ".join(texts).split() != texts:               # other white space inside: encoded alone
+            plain = []
+            for w, text in zip(new, texts):
+                if text.split() == [text]:
+                    plain.append((w, text))
+                else:
+                    self.cache[w] = np.array(self.enc.encode_ordinary(" " + text), "<u4").tobytes()
         for i in range(0, len(plain), 2_000):
             part = plain[i:i + 2_000]
             ids = np.array(self.enc.encode_ordinary(" " + " ".join(t for _, t in part)), "<u4")
@@ -127,37 +133,45 @@ def _ranks(counts: np.ndarray) -> np.ndarray:
 
 
 def neighbour_cells(order: np.ndarray):
-    """Size of the table (id, TOP_IDS before it and TOP_IDS after it) and the function
-    from ids and their predecessors to cells of the table."""
+    """Size of the table (id, TOP_IDS before it and TOP_IDS after it) and the function from
+    predecessors, ids and how often they occur to cells of the table and their counts."""
     col, row = np.full(VOCAB, -1, np.int64), np.full(VOCAB, -1, np.int64)
     col[order[:TOP_IDS]] = np.arange(min(TOP_IDS, len(order)))
     row[order] = np.arange(len(order))
     wide = 2 * TOP_IDS
 
-    def cells(a, b):
-        parts = []
+    def cells(a, b, n):
+        parts, many = [], []
         for who, other, shift in ((b, a, 0), (a, b, TOP_IDS)):
-            ok = (row[who] >= 0) & (col[other] >= 0)
+            ok = np.flatnonzero((row[who] >= 0) & (col[other] >= 0))
             parts.append(row[who[ok]] * wide + col[other[ok]] + shift)
-        return np.concatenate(parts)
+            many.append(n[ok])
+        return np.concatenate(parts), np.concatenate(many)
     return len(order) * wide, cells
 
 
 def pair_cells(classes: np.ndarray, symbol: np.ndarray):
     """Size of the table (class, id after it) followed by (symbol, class after it), and
-    the function from ids and their predecessors to cells of the table."""
+    the function from predecessors, ids and how often they occur to cells of the table and their counts."""
     first = CLASSES * VOCAB
 
-    def cells(a, b):
-        return np.concatenate([classes[a] * VOCAB + b, first + symbol[a] * CLASSES + classes[b]])
+    def cells(a, b, n):
+        return np.concatenate([classes[a] * VOCAB + b, first + symbol[a] * CLASSES + classes[b]]), np.concatenate([n, n])
     return first + (OWN_IDS + CLASSES) * CLASSES, cells
 
 
 def tally(out: np.ndarray, cells, seq: np.ndarray) -> None:
     """Add the pairs of ids that follow each other in ``seq`` (texts with their end
     tokens, the first text's id follows an end token as well)."""
-    seq = seq.astype(np.int64)
-    np.add.at(out, cells(np.concatenate([[END], seq[:-1]]), seq), 1)
+    pairs = np.empty(len(seq), np.uint32)                  # sorted, so that each pair is looked up once
+    pairs[:1], pairs[1:] = END, seq[:-1]
+    pairs *= np.uint32(VOCAB)
+    pairs += seq
+    pairs.sort()
+    at = np.flatnonzero(np.concatenate([[True], pairs[1:] != pairs[:-1]])) if len(pairs) else np.zeros(0, np.int64)
+    a, b = np.divmod(pairs[at].astype(np.int64), VOCAB)
+    cell, n = cells(a, b, np.diff(np.append(at, len(pairs))).astype(out.dtype))
+    np.add.at(out, cell, n)
 
 
 def id_classes(order: np.ndarray, counts: np.ndarray, near: np.ndarray, n: int, shared: int) -> np.ndarray:
@@ -207,13 +221,14 @@ def lay_out(seqs: list[np.ndarray], symbol: np.ndarray, pad: int):
 
 
 class Attention:
-    """Tables of queries, keys, values and direct logits by symbol, relative position bias, output matrix."""
+    """Tables of queries, keys with values, direct logits by symbol, relative position bias, output matrix."""
 
     def __init__(self, n_symbols: int, classes: int, seed: int = 5):
         rng = np.random.default_rng(seed)
         shape = (n_symbols + 1, DIM)                       # the last symbol is the padding
-        self.q, self.k, self.v = (rng.standard_normal(shape).astype(np.float32) * 0.3 for _ in range(3))
-        self.k[-1], self.v[-1] = 0, 0
+        self.q, k, v = (rng.standard_normal(shape).astype(np.float32) * 0.3 for _ in range(3))
+        self.kv = np.concatenate([k, v], axis=1)
+        self.kv[-1] = 0
         self.direct = np.zeros((n_symbols + 1, classes), np.float32)
         self.out = rng.standard_normal((DIM, classes)).astype(np.float32) * 0.1
         self.bias = np.zeros(STRIDE + CONTEXT, np.float32)
@@ -221,34 +236,37 @@ class Attention:
         self.back = np.maximum(CONTEXT + i - j, 0)         # how far a key lies behind its query
         self.mask = np.where(j > CONTEXT + i, -1e9, 0).astype(np.float32)
 
-    def forward(self, win, before, weights=True):
-        keys = np.concatenate([before, win], axis=1)
-        q, k, v = self.q.take(win, axis=0), self.k.take(keys, axis=0), self.v.take(keys, axis=0)
-        s = np.matmul(q, k.transpose(0, 2, 1))
-        s *= DIM ** -0.5
-        s += self.bias[self.back] + self.mask
-        np.minimum(s, 40, out=s)
-        np.exp(s, out=s)
-        if weights:
-            s /= s.sum(axis=2, keepdims=True)
-            h = np.matmul(s, v)
-        else:
-            h = np.matmul(s, v)
-            h /= np.matmul(s, np.ones((s.shape[2], 1), np.float32))
-        z = (h.reshape(-1, DIM) @ self.out).reshape(*win.shape, -1)
-        z += self.direct.take(win, axis=0)
-        return keys, q, k, v, s, h, z
+    def attend(self, win, keys):
+        """Scaled queries, keys with values, weights and (by token) their sums and the weighted means of the values."""
+        q, kv = self.q.take(win, axis=0), self.kv.take(keys, axis=0)
+        q *= DIM ** -0.5
+        e = np.matmul(q, kv[:, :, :DIM].transpose(0, 2, 1))
+        e += self.bias[self.back] + self.mask
+        if e.max(initial=0) > 40:
+            np.minimum(e, 40, out=e)
+        np.exp(e, out=e)
+        total = e.reshape(-1, STRIDE + CONTEXT) @ np.ones(STRIDE + CONTEXT, np.float32)
+        h = np.matmul(e, kv[:, :, DIM:]).reshape(-1, DIM)
+        h /= total[:, None]
+        return q, kv, e, total, h
+
+    def logits(self, h, symbols):
+        z = h @ self.out
+        z += self.direct.take(symbols, axis=0)
+        return z
 
     def log_probs(self, win, before, target) -> np.ndarray:
         """Natural log of each target class's probability (any value where target is -1)."""
-        z = self.forward(win, before, weights=False)[-1]
-        np.minimum(z, 60, out=z)
-        picked = np.take_along_axis(z, np.maximum(target, 0)[:, :, None], axis=2)[:, :, 0]
+        z = self.logits(self.attend(win, np.concatenate([before, win], axis=1))[-1], win.ravel())
+        if z.max(initial=0) > 60:
+            np.minimum(z, 60, out=z)
+        classes = z.shape[1]
+        picked = z.ravel()[np.arange(0, z.size, classes) + np.maximum(target, 0).ravel()]
         np.exp(z, out=z)
-        return picked - np.log(np.matmul(z, np.ones(z.shape[2], np.float32)))
+        return (picked - np.log(z @ np.ones(classes, np.float32))).reshape(target.shape)
 
     def names(self) -> tuple[str, ...]:
-        return ("q", "k", "v", "direct", "out", "bias")
+        return ("q", "kv", "direct", "out", "bias")
 
     def train(self, win, before, target, steps: int, seed: int = 9) -> None:
         rng, adam = np.random.default_rng(seed), Adam(self)
@@ -257,65 +275,113 @@ class Attention:
             adam.step(win[pick], before[pick], target[pick], 1 - 0.9 * step / steps)
 
 
-def _sum_rows(at: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
-    """(n, width) sums of the ``rows`` of every index in ``at``."""
-    order = np.argsort(at, kind="stable")
+def _starts(at: np.ndarray) -> np.ndarray:
+    """Where the runs of equal values in the sorted ``at`` start."""
+    return np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+
+
+def _sum_rows(out: np.ndarray, at: np.ndarray, order: np.ndarray, rows: np.ndarray) -> None:
+    """Set ``out`` at every index in ``at`` to the sum of its ``rows``; ``order`` sorts ``at``."""
     at = at[order]
-    first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-    out = np.zeros((n, rows.shape[1]), np.float32)
-    out[at[first]] = np.add.reduceat(rows[order], first, axis=0)
-    return out
+    first = _starts(at)
+    # pairs of columns are added as one complex number: half the work of reduceat
+    out[at[first]] = np.add.reduceat(rows.take(order, axis=0).view(np.complex64), first, axis=0).view(np.float32)
 
 
 class Adam:
-    """Gradient steps on an :class:`Attention`, in place."""
+    """Gradient steps on an :class:`Attention`, in place.  Parameters, gradients and moments
+    lie in one array each; windows and tokens are gone through in parts that fit the caches."""
 
     def __init__(self, net: Attention):
         self.net, self.done = net, 0
-        self.m1 = {n: np.zeros_like(getattr(net, n)) for n in net.names()}
-        self.m2 = {n: np.zeros_like(getattr(net, n)) for n in net.names()}
-        self.buf = {n: np.empty_like(getattr(net, n)) for n in net.names()}
+        self.flat = np.concatenate([getattr(net, n).ravel() for n in net.names()])
+        self.grad, self.m1, self.m2 = (np.zeros_like(self.flat) for _ in range(3))
+        self.g, lo = {}, 0
+        for n in net.names():
+            old = getattr(net, n)
+            setattr(net, n, self.flat[lo:lo + old.size].reshape(old.shape))
+            self.g[n] = self.grad[lo:lo + old.size].reshape(old.shape)
+            lo += old.size
 
     def step(self, w, before, t, share: float) -> None:
         """One step on the windows ``w``, at ``share`` of the full rate."""
-        net, m1, m2 = self.net, self.m1, self.m2
+        net, g = self.net, self.g
         self.done += 1
-        keys, q, k, v, a, h, z = net.forward(w, before)
-        z -= z.max(axis=2, keepdims=True)
-        p = np.exp(z, out=z)
-        p /= p.sum(axis=2, keepdims=True)
-        live = t >= 0
-        at = np.maximum(t, 0)[:, :, None]
-        np.put_along_axis(p, at, np.take_along_axis(p, at, axis=2) - 1, axis=2)
-        p *= (live / max(1, live.sum())).astype(np.float32)[:, :, None]
-        dz = p
-        dh = dz @ net.out.T
-        da = np.matmul(dh, v.transpose(0, 2, 1))
-        ds = a * (da - (da * a).sum(axis=2, keepdims=True))
-        n = len(net.q)
-        g = {"direct": _sum_rows(w.ravel(), dz.reshape(-1, dz.shape[2]), n),
-             "out": h.reshape(-1, DIM).T @ dz.reshape(-1, dz.shape[2]),
-             "v": _sum_rows(keys.ravel(), np.matmul(a.transpose(0, 2, 1), dh).reshape(-1, DIM), n),
-             "q": _sum_rows(w.ravel(), (np.matmul(ds, k) * DIM ** -0.5).reshape(-1, DIM), n),
-             "k": _sum_rows(keys.ravel(), (np.matmul(ds.transpose(0, 2, 1), q) * DIM ** -0.5).reshape(-1, DIM), n),
-             "bias": np.bincount(net.back.ravel(), ds.sum(axis=0).ravel(), len(net.bias)).astype(np.float32)}
-        g["k"][-1], g["v"][-1] = 0, 0
-        rate = RATE * min(1.0, self.done / 20) * share
-        c1, c2 = rate / (1 - 0.9 ** self.done), 1 / (1 - 0.99 ** self.done)
-        for x in net.names():                              # in place: the tables are large next to a batch
-            d, a1, a2, buf = g[x], m1[x], m2[x], self.buf[x]
+        self.grad[:] = 0
+        small = np.int16 if len(net.q) < 1 << 15 else np.int64   # short numbers are sorted by radix
+        keys = np.concatenate([before, w], axis=1)
+        held = [net.attend(w[lo:lo + PART_WINDOWS], keys[lo:lo + PART_WINDOWS]) for lo in range(0, len(w), PART_WINDOWS)]
+        h = np.concatenate([x[-1] for x in held])
+        symbols, t = w.ravel(), t.ravel()
+        by_symbol = np.argsort(symbols.astype(small), kind="stable")
+        dh = self._classes(h, symbols, t, by_symbol[t[by_symbol] >= 0])
+        dq, dkv = np.empty((w.size, DIM), np.float32), np.empty((*keys.shape, 2 * DIM), np.float32)
+        by_bias = np.zeros(net.back.shape, np.float32)
+        for lo, (q, kv, e, total, hp) in zip(range(0, len(w), PART_WINDOWS), held):
+            rows = slice(lo * STRIDE, lo * STRIDE + len(total))
+            d = dh[rows]
+            mean = np.einsum("ij,ij->i", d, hp)            # of the weights' gradients, by the weights
+            mean /= total
+            d /= total[:, None]
+            d = d.reshape(-1, STRIDE, DIM)
+            ds = np.matmul(d, kv[:, :, DIM:].transpose(0, 2, 1))
+            ds -= mean.reshape(-1, STRIDE, 1)
+            ds *= e
+            part = dkv[lo:lo + len(q)]
+            part[:, :, :DIM] = np.matmul(ds.transpose(0, 2, 1), q)
+            part[:, :, DIM:] = np.matmul(e.transpose(0, 2, 1), d)
+            dq[rows] = np.matmul(ds, kv[:, :, :DIM]).reshape(-1, DIM)
+            by_bias += ds.sum(axis=0)
+        dq *= DIM ** -0.5
+        _sum_rows(g["q"], symbols, by_symbol, dq)
+        keys = keys.ravel()
+        _sum_rows(g["kv"], keys, np.argsort(keys.astype(small), kind="stable"), dkv.reshape(-1, 2 * DIM))
+        g["kv"][-1] = 0
+        g["bias"][:] = np.bincount(net.back.ravel(), by_bias.ravel(), len(net.bias))
+        self._move(RATE * min(1.0, self.done / 20) * share)
+
+    def _classes(self, h, symbols, t, order) -> np.ndarray:
+        """Gradients of ``h``; those of the output matrix and of the direct logits are added.
+        The tokens ``order`` have a target; they are sorted by symbol."""
+        net, g = self.net, self.g
+        dh = np.zeros_like(h)
+        ones = np.ones(net.out.shape[1], np.float32)
+        for lo in range(0, len(order), PART_TOKENS):
+            at = order[lo:lo + PART_TOKENS]
+            symbol, hp = symbols[at], h[at]
+            z = net.logits(hp, symbol)
+            if z.max() > 60:
+                z -= z.max(axis=1, keepdims=True)
+            np.exp(z, out=z)
+            total = np.maximum(z @ ones, 1e-30)
+            z.ravel()[np.arange(0, z.size, len(ones)) + t[at]] -= total
+            scale = 1 / (total * len(order))               # z * scale: the gradients of the logits
+            dh[at] = (z @ net.out.T) * scale[:, None]
+            g["out"] += (z.T @ (hp * scale[:, None])).T
+            first = _starts(symbol)
+            last = np.append(first[1:], len(symbol))
+            sums = z[first] * scale[first, None]
+            more = np.flatnonzero(last - first > 1)
+            for i, a, b in zip(more.tolist(), first[more].tolist(), last[more].tolist()):
+                np.dot(scale[a:b], z[a:b], out=sums[i])
+            g["direct"][symbol[first]] += sums
+        return dh
+
+    def _move(self, rate: float) -> None:
+        # moments without their factors 0.1 and 0.01, which are part of the rate and of the least divisor
+        c1, c2 = 0.1 * rate / (1 - 0.9 ** self.done), 0.1 / math.sqrt(1 - 0.99 ** self.done)
+        for lo in range(0, len(self.flat), PART_CELLS):
+            d, a1, a2 = (x[lo:lo + PART_CELLS] for x in (self.grad, self.m1, self.m2))
             a1 *= 0.9
-            a1 += np.multiply(d, 0.1, out=buf)
+            a1 += d
             a2 *= 0.99
-            np.multiply(d, d, out=buf)
-            buf *= 0.01
-            a2 += buf
-            np.multiply(a2, c2, out=buf)
-            np.sqrt(buf, out=buf)
-            buf += 1e-8
-            np.divide(a1, buf, out=buf)
-            buf *= c1
-            getattr(net, x)[...] -= buf
+            np.multiply(d, d, out=d)
+            a2 += d
+            np.sqrt(a2, out=d)
+            d += 1e-8 / c2
+            np.divide(a1, d, out=d)
+            d *= c1 / c2
+            self.flat[lo:lo + PART_CELLS] -= d
 
 
 class Model:
@@ -381,52 +447,122 @@ class Model:
             out.ravel()[new] = self.share[ids] + self.rest[previous.ravel()[new], self.classes[ids]]
         return out
 
-    def score(self, seqs: list[np.ndarray], block: int = 64) -> np.ndarray:
+    def score(self, seqs: list[np.ndarray], block: int = 128) -> np.ndarray:
         """log10 probability of every id sequence."""
         win, before, target, many = lay_out(seqs, self.symbol, self.pad)
-        per_window = np.empty(len(win))
+        first = np.concatenate([[0], np.cumsum(many)[:-1]])
+        classes = np.where(target < 0, -1, self.classes[target])
         # the class of the id before each target
         previous = np.empty(target.shape, np.int64)
         previous[:, 1:] = self.classes[target[:, :-1]]
         previous[1:, 0] = self.classes[target[:-1, -1]]
-        previous[np.concatenate([[0], np.cumsum(many)[:-1]]), 0] = self.classes[END]
+        previous[first, 0] = self.classes[END]
+        got = self._share(target, previous)
         for lo in range(0, len(win), block):
-            t = target[lo:lo + block]
-            got = self.net.log_probs(win[lo:lo + block], before[lo:lo + block], np.where(t < 0, -1, self.classes[t]))
-            per_window[lo:lo + block] = np.where(t >= 0, got + self._share(t, previous[lo:lo + block]), 0).sum(axis=1, dtype=np.float64)
-        return np.add.reduceat(per_window, np.concatenate([[0], np.cumsum(many)[:-1]])) / math.log(10)
-
+            got[lo:lo + block] += self.net.log_probs(win[lo:lo + block], before[lo:lo + block], classes[lo:lo + block])
+        got[target < 0] = 0
+        return np.add.reduceat(got.sum(axis=1, dtype=np.float64), first) / math.log(10)
+
+
+def _parts(bodies: list[bytes | None]):
+    """Ranges of rows with about a megabyte of text each."""
+    lo = 0
+    while lo < len(bodies):
+        hi, size = lo, 0
+        while hi < len(bodies) and (hi == lo or size < 1 << 20):
+            size += len(bodies[hi] or b"")
+            hi += 1
+        yield lo, hi
+        lo = hi
+
+
+class _Words(UnitCache):
+    """Numbers of words and their ids; the end token is the unit None."""
+
+    def __init__(self, tokenizer: str):
+        self.sub = subwords(tokenizer)
+        super().__init__("<u2", COUNT_WORDS)
+
+    def _start(self) -> None:
+        super()._start()
+        self.counts = np.zeros(0, np.int64)
+        self.put(np.array([self.numbers[None]]), np.array([END]), np.zeros(1, np.int64), np.ones(1, np.int64))
+        self.numbers.new.clear()
+
+    def learn(self, units: list[bytes], first: int) -> None:
+        self.sub.learn(set(units))
+        parts = [self.sub.cache[w] for w in units]
+        sizes = np.array([len(x) // 4 for x in parts], np.int64)
+        self.put(np.arange(first, first + len(units)), np.frombuffer(b"".join(parts), "<u4"), np.cumsum(sizes) - sizes, sizes)
+
+    def read(self, lists: list[list[bytes]], counted: np.ndarray) -> list[bytes]:
+        """The ids of every list of words and the end token; words of the lists ``counted`` are counted."""
+        n = np.array([len(ws) + 1 for ws in lists], np.int64)
+        end, get = (None,), self.numbers.__getitem__
+        index = np.fromiter(map(get, chain.from_iterable(chain(ws, end) for ws in lists)), np.int64, int(n.sum()))
+        new, self.numbers.new = self.numbers.new, []
+        self._grow(len(self.numbers), self.used)
+        self.learn(new, len(self.numbers) - len(new))
+        more = np.bincount(index[np.repeat(counted, n)], minlength=len(self.numbers))
+        more[:len(self.counts)] += self.counts
+        self.counts = more
+        sizes = self.sizes[index]
+        ends = np.cumsum(sizes)
+        place = np.repeat(self.at[index] - ends + sizes, sizes)
+        place += np.arange(len(place))
+        raw, cut = self.flat[place].tobytes(), (2 * ends[np.cumsum(n) - 1]).tolist()
+        return [raw[a:b] for a, b in zip([0, *cut], cut)]
+
+    def counted(self) -> tuple[list[bytes], np.ndarray]:
+        """Words counted since the start, and their counts."""
+        self.counts[:1] = 0
+        at = np.flatnonzero(self.counts).tolist()
+        words = list(self.numbers)
+        return [words[i] for i in at], self.counts[at]
+
+
+def _read(tokenizer: str):
+    names = ["key", "held_out", "body", "ids", "word", "n"]
 
-def _count(tokenizer: str):
     def run(batches):
-        held: Counter = Counter()
-        sub = subwords(tokenizer)
+        words, key = _Words(tokenizer), None
 
         def flush():
-            words = list(held)
-            return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array([held[w] for w in words], pa.int64()), pa.nulls(len(words), pa.binary())], names=["word", "n", "ids"])
+            found, n = words.counted()
+            none = [pa.nulls(len(found), t) for t in (key, pa.bool_(), pa.binary(), pa.binary())]
+            return pa.RecordBatch.from_arrays([*none, pa.array(found, pa.binary()), pa.array(n, pa.int64())], names=names)
 
         for b in batches:
-            lists = [words_of(body) for body in b.column(0).to_pylist()]
-            sub.learn(set().union(*lists))
-            ids = [sub.ids(ws).astype("<u2").tobytes() for ws in lists]
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(ids), pa.binary()), pa.nulls(len(ids), pa.int64()), pa.array(ids, pa.binary())], names=["word", "n", "ids"])
-            for ws in lists:
-                held.update(ws)
-            if len(held) > COUNT_WORDS:
-                yield flush()
-                held.clear()
-        yield flush()
+            key = b.schema.types[0]
+            bodies = b.column(2).to_pylist()
+            train = np.array([x is False for x in b.column(1).to_pylist()], bool)
+            for lo, hi in _parts(bodies):
+                ids = words.read([words_of(x) for x in bodies[lo:hi]], train[lo:hi])
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), b.column(1).slice(lo, hi - lo), pa.array(bodies[lo:hi], pa.binary()), pa.array(ids, pa.binary()),
+                                                  pa.nulls(hi - lo, pa.binary()), pa.nulls(hi - lo, pa.int64())], names=names)
+                if len(words.numbers) > COUNT_WORDS:
+                    yield flush()
+                    words._start()
+        if key is not None:
+            yield flush()
     return run
 
 
+def read(src: DataFrame, tokenizer: str) -> tuple[DataFrame, DataFrame]:
+    """(word, c): how often every word occurs in the texts not ``held_out``; (key, held_out,
+    body, ids): all of ``src`` with every text's ids and its end token, 16 bits each.  The
+    texts are read and encoded once."""
+    schema = T.StructType([*(T.StructField(x, src.schema[x].dataType) for x in ("key", "held_out")), T.StructField("body", T.BinaryType()), T.StructField("ids", T.BinaryType()),
+                           T.StructField("word", T.BinaryType()), T.StructField("n", T.LongType())])
+    got = common.materialize(src.select("key", "held_out", "body").mapInArrow(_read(tokenizer), schema), "texts_read")
+    words = got.where("word is not null").groupBy("word").agg(F.sum("n").alias("c"))
+    return common.materialize(words, "word_counts"), got.where("ids is not null").drop("word", "n")
+
+
 def read_train(train: DataFrame, text: str, tokenizer: str) -> tuple[DataFrame, DataFrame]:
-    """(word, c): how often every word occurs in all training texts; (ids): the ids of
-    every training text with its end token, 16 bits each.  The texts are read once."""
-    src = train.select(F.col(text).cast("binary").alias("body"))
-    read = common.materialize(src.mapInArrow(_count(tokenizer), "word binary, n long, ids binary"), "train_read")
-    words = read.where("word is not null").groupBy("word").agg(F.sum("n").alias("c"))
-    return common.materialize(words, "word_counts"), read.where("ids is not null").select("ids")
+    """(word, c): how often every word occurs in all training texts; (ids): the ids of every one."""
+    words, texts = read(train.select(F.lit(0).alias("key"), F.lit(False).alias("held_out"), F.col(text).cast("binary").alias("body")), tokenizer)
+    return words, texts.select("ids")
 
 
 def count_pairs(ids: DataFrame, size: int, cells) -> np.ndarray:
@@ -532,9 +668,9 @@ def score(docs: DataFrame, tokenizer: str, held_out, key: str = "doc_id", text:
     spark = docs.sparkSession
     common.prepare(spark)
     src = docs.select(F.col(key).alias("key"), F.col(text).cast("binary").alias("body"), held_out.alias("held_out"))
-    train = src.where(~F.col("held_out"))
-    counts, ids = read_train(train, "body", tokenizer)
-    ends = train.count()
+    counts, texts = read(src, tokenizer)
+    ids = texts.where(~F.col("held_out")).select("ids")
+    ends = ids.count()
     total = counts.agg(F.count(F.lit(1)).alias("v"), F.coalesce(F.sum("c"), F.lit(0)).alias("n")).first()
     n_train, v = total.n + ends, total.v + (1 if ends else 0)
     # the least count of which at most head_words words are, by counts' logarithms
@@ -553,46 +689,36 @@ def score(docs: DataFrame, tokenizer: str, held_out, key: str = "doc_id", text:
     id_counts[END] = ends
     model = Model([], id_counts, lambda size, cells: count_pairs(ids, size, cells))
     train_all(model, ids, int(id_counts.sum()), limit)
-    held = spark.sparkContext.broadcast((model, {w: (math.log10(c + 1), True) for w, c in head.items()}))
+    logs = np.log10(np.array([*head.values(), 0], np.float64) + 1)
+    held = spark.sparkContext.broadcast((model, dict(zip(head, range(len(head)))), logs))
 
     schema = T.StructType([T.StructField("rid", T.LongType()), src.schema["key"], src.schema["held_out"], T.StructField("n_tokens", T.LongType()),
                            T.StructField("known", T.LongType()), T.StructField("base", T.DoubleType()), T.StructField("score", T.DoubleType()),
                            T.StructField("tail", T.ArrayType(T.LongType())), T.StructField("tail_n", T.ArrayType(T.IntegerType()))])
 
     def run(batches):
-        model, head = held.value
-        sub, rid = subwords(tokenizer), TaskContext.get().partitionId() << 33
+        model, head, logs = held.value
+        rid = TaskContext.get().partitionId() << 33
         for b in batches:
-            bodies, lo = b.column(1).to_pylist(), 0
-            while lo < len(bodies):
-                hi, size = lo, 0
-                while hi < len(bodies) and (hi == lo or size < 1 << 20):
-                    size += len(bodies[hi] or b"")
-                    hi += 1
-                lists = [words_of(x) for x in bodies[lo:hi]]
-                sub.learn(set().union(*lists))
-                scores = model.score([sub.ids(ws) for ws in lists])
+            bodies = b.column(2).to_pylist()
+            for lo, hi in _parts(bodies):
+                n = hi - lo
+                scores = model.score([np.frombuffer(x, "<u2") for x in b.column(3).slice(lo, n).to_pylist()])
                 cols = [[], [], [], [], []]
-                for ws in lists:
-                    known, base, tail, tail_n = 0, 0.0, [], []
-                    for w, n in Counter(ws).items():
-                        if (got := head.get(w)) is not None:
-                            known += n
-                            base += n * got[0]
-                        else:
-                            h = xxhash.xxh64_intdigest(w, 42)
-                            tail.append(h - (1 << 64) if h >> 63 else h)
-                            tail_n.append(n)
-                    for c, x in zip(cols, (len(ws) + 1, known, base, tail, tail_n)):
+                for body in bodies[lo:hi]:
+                    ws = words_of(body)
+                    at = np.fromiter(map(head.get, ws, repeat(-1)), np.int64, len(ws))
+                    rare = np.flatnonzero(at < 0)          # the last of logs is theirs, 0
+                    tail = Counter(ws[i] for i in rare.tolist())
+                    hashes = [xxhash.xxh64_intdigest(w, 42) for w in tail]
+                    for c, x in zip(cols, (len(ws) + 1, len(ws) - len(rare), logs[at].sum(), [h - (1 << 64) if h >> 63 else h for h in hashes], list(tail.values()))):
                         c.append(x)
-                n = hi - lo
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.arange(rid, rid + n)), b.column(0).slice(lo, n), b.column(2).slice(lo, n), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()),
+                    pa.array(np.arange(rid, rid + n)), b.column(0).slice(lo, n), b.column(1).slice(lo, n), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()),
                     pa.array(cols[2], pa.float64()), pa.array(scores), pa.array(cols[3], pa.list_(pa.int64())), pa.array(cols[4], pa.list_(pa.int32()))], names=schema.names)
                 rid += n
-                lo = hi
 
-    scored = common.materialize(src.mapInArrow(run, schema), "scored")
+    scored = common.materialize(texts.mapInArrow(run, schema), "scored")
     tails = scored.select("rid", F.explode(F.arrays_zip("tail", "tail_n")).alias("x")).select("rid", F.col("x.tail").alias("h"), F.col("x.tail_n").alias("n"))
     rare = counts.where(F.col("c") < least) if least < math.inf else counts
     rare = rare.select(F.xxhash64("word").alias("h"), "c").groupBy("h").agg(F.sum("c").alias("c"))

@@ -72,3 +72,52 @@ def test_gradient_steps_read_every_training_text(spark):
     # many texts: shares of rounds, each window once
     assert lm_score.train_all(model, ids, lm_score.LEAST_WINDOWS * lm_score.STRIDE, 4) == windows
     assert np.isfinite(model.score(seqs)).all()
+
+
+def test_texts_are_read_once_and_counts_leave_out_held_texts(spark, monkeypatch):
+    path = registry.tokenizer_path("byte_bpe_50k.tiktoken")
+    rows = [(i, ["One two three", None, "", "two three two 50%\x1c off"][i % 4], [False, True, None][i % 3]) for i in range(48)]
+    src = spark.createDataFrame(rows, "key long, text string, held_out boolean").repartition(3)
+    words, texts = lm_score.read(src.withColumn("body", F.col("text").cast("binary")), path)
+    want = Counter(w for _, t, h in rows if h is False for w in lm_score.words_of((t or "").encode()))
+    assert {bytes(r.word): r.c for r in words.collect()} == want
+    sub = lm_score.Subwords(path)
+    lists = {i: lm_score.words_of((t or "").encode()) for i, t, _ in rows}
+    sub.learn(set().union(*lists.values()))
+    assert {r.key: np.frombuffer(r.ids, "<u2").tolist() for r in texts.collect()} == {i: sub.ids(ws).tolist() for i, ws in lists.items()}
+    # a task that holds few words passes them on in parts, with the same sums
+    monkeypatch.setattr(lm_score, "COUNT_WORDS", 2)
+    few = lm_score._Words(path)
+    got = Counter()
+    for ws in lists.values():
+        assert np.frombuffer(few.read([ws], np.ones(1, bool))[0], "<u2").tolist() == sub.ids(ws).tolist()
+        if len(few.numbers) > lm_score.COUNT_WORDS:
+            got.update(dict(zip(*(x if isinstance(x, list) else x.tolist() for x in few.counted()))))
+            few._start()
+    got.update(dict(zip(*(x if isinstance(x, list) else x.tolist() for x in few.counted()))))
+    assert got == Counter(w for ws in lists.values() for w in ws)
+
+
+def test_step_follows_the_numeric_gradient():
+    rng = np.random.default_rng(3)
+    net = lm_score.Attention(40, lm_score.CLASSES)
+    net.direct[:] = rng.standard_normal(net.direct.shape) * 0.3
+    win, before = rng.integers(0, 40, (70, lm_score.STRIDE)), rng.integers(0, 41, (70, lm_score.CONTEXT))
+    target = rng.integers(-1, lm_score.CLASSES, win.shape)
+    adam = lm_score.Adam(net)
+    moved = {}
+    adam._move = lambda rate: moved.update({n: adam.g[n].copy() for n in net.names()})
+    adam.step(win, before, target, 1.0)
+
+    def loss():
+        return -net.log_probs(win, before, target)[target >= 0].mean(dtype=np.float64)
+
+    for name in net.names():
+        x, g = getattr(net, name), moved[name]
+        at = np.unravel_index(np.argmax(abs(g)), g.shape)
+        old = float(x[at])
+        x[at] = old + 0.02
+        up = loss()
+        x[at] = old - 0.02
+        assert abs((up - loss()) / 0.04 - g[at]) < 0.05 * abs(g[at]) + 1e-6, name
+        x[at] = old
